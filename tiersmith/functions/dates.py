@@ -20,7 +20,7 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS) -> Column:
+def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS, iso_fallback: bool = True) -> Column:
     """Text -> DATE; null when no layout fits (never raises, ANSI or not).
 
     ``12/01/2018`` -> 2018-01-12 (day first), ``12/30/2018`` -> 2018-12-30
@@ -29,7 +29,8 @@ def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS) ->
     """
     c = _col(c)
     attempts = [F.try_to_date(c, fmt) for fmt in formats]
-    attempts.append(F.try_to_date(c))
+    if iso_fallback:
+        attempts.append(F.try_to_date(c))
     return F.coalesce(*attempts)
 
 
