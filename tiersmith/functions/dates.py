@@ -25,15 +25,29 @@ def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS, is
 
     ``12/01/2018`` -> 2018-01-12 (day first), ``12/30/2018`` -> 2018-12-30
     (month-first fallback), ``2018-12-05`` -> itself, ``31/02/2018`` -> null.
-    Date and timestamp inputs are simply truncated to a date.
+    With ``iso_fallback`` a text no layout fits is finally cast as a date.
     """
     c = _col(c)
-    attempts = [F.try_to_date(c, fmt) for fmt in formats]
+    if tuple(formats) == DAY_FIRST_FORMATS:
+        attempts = _day_or_month_first(c)
+    else:
+        attempts = [F.try_to_date(c, fmt) for fmt in formats]
     if iso_fallback:
         attempts.append(F.try_to_date(c))
     return F.coalesce(*attempts)
 
 
+def _day_or_month_first(c: Column) -> list[Column]:
+    # Same result as trying d/M/yyyy, then M/d/yyyy, but each text is handed
+    # to at most one of the two parsers: if the middle field is a valid month
+    # (<= 12) only the day-first reading can succeed where month-first could,
+    # and if it is above 12 only month-first can.  A failed parse costs far
+    # more than this integer test.
+    middle = F.get(F.split(c, "/"), 1).try_cast("int")
+    return [F.when(middle <= 12, F.try_to_date(c, DAY_FIRST_FORMATS[0])),
+            F.when(middle > 12, F.try_to_date(c, DAY_FIRST_FORMATS[1]))]
+
+
 def parse_date_or_fail(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS) -> Column:
     """Like :func:`parse_date` but a non-null text that fits no layout fails
     the job with the offending value in the message (bronze ``on_bad_date='fail'``)."""

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import parse_date, parse_date_or_fail, partition_keys
+from tiersmith.functions.text import strip_whitespace
 from tiersmith.operators.cleanse import cleanse
 from tiersmith.operators.customers import customer_metrics
 from tiersmith.operators.sales import sales_orders
@@ -51,7 +52,7 @@ def bronze_frame(source: DataFrame, on_bad_date: str = "fail", date_col: str = "
     if on_bad_date not in ("fail", "null"):
         raise ValueError("on_bad_date must be 'fail' or 'null'")
     parse = parse_date_or_fail if on_bad_date == "fail" else parse_date
-    d = parse(F.regexp_replace(F.col(date_col), r"^\s+|\s+$", ""))
+    d = parse(strip_whitespace(date_col))
     return source.withColumns(partition_keys(d))
 
 

@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Small inputs written into many day folders: let AQE keep several write
+    # tasks instead of packing everything into one (no effect on large data,
+    # whose shuffle partitions are far above this size).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -83,12 +83,15 @@ def register_table(
     and load its partitions; returns ``spark.table(...)``.
 
     With ``schema`` the columns and comments are declared; without it they are
-    taken from the files.  A prior definition of the same name is replaced
+    taken from the files' metadata.  A prior definition of the same name is replaced
     (only the catalog entry -- the files are external and untouched).
     """
     create_database(spark, database)
     name = f"`{database}`.`{table}`"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if schema is None:
+        # columns as the files declare them (footers + partition folders only)
+        schema = spark.read.parquet(location).schema
     cols = ""
     if schema is not None:
         defs = []

@@ -31,11 +31,19 @@ PARTITION_COLUMNS = ("year", "month", "day")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA) -> DataFrame:
-    """Header CSV with an explicit schema (no inference pass over the data).
-    Malformed rows keep their parseable fields; the rest become null."""
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("enforceSchema", False).option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).csv(path))
+    """Header CSV, typed by column *name*: every column is read as text (no
+    inference pass over the data), then each column named in ``schema`` is
+    ``try_cast`` to its type -- a bad value becomes null instead of failing
+    the job.  Optional columns may be absent and extra columns are kept as
+    text; column order in the file does not matter."""
+    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    types = {f.name: f.dataType for f in schema.fields}
+    return raw.select(*[
+        (F.col(f"`{c}`").try_cast(types[c]) if not isinstance(types[c], StringType) else F.col(f"`{c}`")).alias(c)
+        if c in types else F.col(f"`{c}`")
+        for c in raw.columns
+    ])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
