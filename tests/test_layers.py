@@ -35,8 +35,11 @@ def test_bronze_ingest_and_layers(spark):
     raw = fs.read_csv(spark, src)
     assert raw.count() == 3 and "Order Date" in raw.columns
     lake = fresh_path(spark, "lake")
-    stages = {r.stage: (r.records_in, r.records_out) for r in md.run_medallion(spark, src, lake).collect()}
+    run = md.run_medallion(spark, src, lake, anchor="2018-12-30", parallel_gold=True, database="tiersmith_run")
+    stages = {r.stage: (r.records_in, r.records_out) for r in run.collect()}
     assert stages == {"bronze": (3, 3), "silver": (3, 3), "gold_sales": (3, 3), "gold_customer": (3, 3)}
+    assert spark.table("tiersmith_run.gold_customer").count() == 3
+    assert spark.table("tiersmith_run.bronze_retail_sales").count() == 3
     bronze = os.path.join(lake, md.LAYER_DIRS["bronze"])
     assert any(d.startswith("year=") for d in os.listdir(bronze))
     silver = fs.read_layer(spark, os.path.join(lake, md.LAYER_DIRS["silver"]))
@@ -62,8 +65,14 @@ def _days(spark):
     return path
 
 
+def test_partition_predicate_sql():
+    assert pt.partition_predicate_sql(2018, 12) == "year = 2018 AND month = 12"
+    assert pt.partition_predicate_sql() == "TRUE"
+
+
 def test_pruned_and_range_scans(spark):
     path = _days(spark)
+    assert fs.read_layer(spark, path).filter(pt.partition_predicate_sql(2001, 7, 4)).count() == 1
     pruned = pt.pruned_scan(spark, path, year=2001, month=7)
     assert pruned.count() == 30
     plan = explain(pruned)

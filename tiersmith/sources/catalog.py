@@ -23,6 +23,22 @@ PARTITION_FIELDS = [
     _f("day", IntegerType(), "partition day"),
 ]
 
+BRONZE_TABLE = StructType([
+    _f("Row ID", LongType(), "source row identifier"),
+    _f("Order ID", StringType(), "order identifier"),
+    _f("Order Date", StringType(), "order date as delivered (text)"),
+    _f("Ship Date", StringType(), "ship date as delivered (text)"),
+    _f("Ship Mode", StringType(), "shipping mode"),
+    _f("Customer ID", StringType(), "customer identifier"),
+    _f("Customer Name", StringType(), "customer full name"),
+    _f("Segment", StringType(), "customer segment"),
+    _f("Country", StringType(), "country"),
+    _f("City", StringType(), "city"),
+    _f("Product ID", StringType(), "product identifier"),
+    _f("Sales", DoubleType(), "sales amount"),
+    _f("Quantity", StringType(), "quantity as delivered (text)"),
+] + PARTITION_FIELDS)
+
 SILVER_TABLE = StructType([
     _f("row_id", LongType(), "source row identifier"),
     _f("order_id", StringType(), "order identifier"),
@@ -60,6 +76,7 @@ GOLD_CUSTOMER_TABLE = StructType([
      for f in PARTITION_FIELDS])
 
 TABLE_DEFINITIONS = {
+    "bronze_retail_sales": BRONZE_TABLE,
     "silver_retail_sales": SILVER_TABLE,
     "gold_sales": GOLD_SALES_TABLE,
     "gold_customer": GOLD_CUSTOMER_TABLE,
@@ -107,6 +124,20 @@ def register_table(
     return spark.table(f"{database}.{table}")
 
 
+def register_layers(spark: SparkSession, database: str, paths: dict[str, str]) -> DataFrame:
+    """Register every written layer (keys ``bronze``, ``silver``,
+    ``gold_sales``, ``gold_customer`` of ``paths``; absent keys are skipped).
+    Returns ``(table_name, location)`` of what was registered."""
+    names = {"bronze": "bronze_retail_sales", "silver": "silver_retail_sales",
+             "gold_sales": "gold_sales", "gold_customer": "gold_customer"}
+    done = []
+    for layer, table in names.items():
+        if layer in paths:
+            register_table(spark, database, table, paths[layer], comment=f"{layer} layer")
+            done.append((f"{database}.{table}", paths[layer]))
+    return spark.createDataFrame(done, "table_name string, location string")
+
+
 def add_partitions(spark: SparkSession, database: str, table: str) -> None:
     """Pick up partition directories written since registration."""
     spark.catalog.recoverPartitions(f"{database}.{table}")

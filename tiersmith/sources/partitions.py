@@ -42,6 +42,13 @@ def partition_predicate(year: int | None = None, month: int | None = None, day:
     return cond
 
 
+def partition_predicate_sql(year: int | None = None, month: int | None = None, day: int | None = None) -> str:
+    """The same test as SQL text (``year = 2018 AND month = 12``), for
+    ``spark.sql`` or ``DataFrame.filter``; ``TRUE`` when nothing is given."""
+    parts = [f"{n} = {int(v)}" for n, v in (("year", year), ("month", month), ("day", day)) if v is not None]
+    return " AND ".join(parts) if parts else "TRUE"
+
+
 def pruned_scan(spark: SparkSession, path: str, year: int | None = None, month: int | None = None,
                 day: int | None = None) -> DataFrame:
     """Read only the directories matching the given year/month/day; the test
