@@ -125,3 +125,12 @@ def test_reports(spark):
     assert (summ.unique_customers, summ.total_orders) == (3, 8)
     st = rp.customer_stats(out).first()
     assert st.max_total == 4 and abs(st.avg_total - 8 / 3) < 1e-6
+
+
+def test_default_anchor_counts_lines_without_customer(spark):
+    # a line without customer still moves the anchor: 2019-01-31 -> last month starts 2018-12-31
+    extra = [(200, "ORD-099", D(2019, 1, 31), None, "Nobody", "Consumer", "USA", "X")]
+    got = {r.customer_id: r.orders_last_month for r in cu.customer_metrics(customer_lines(spark, extra)).collect()}
+    assert got == {"CUST-A": 0, "CUST-B": 0, "CUST-C": 0}
+    joined = {r.customer_id: r.orders_last_month for r in cu.customer_left_join(customer_lines(spark, extra)).collect()}
+    assert joined == got

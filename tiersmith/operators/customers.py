@@ -100,7 +100,9 @@ def customer_metrics(
         *[_earliest_non_null(a, tie).alias(f"_{a}") for a in _ATTRIBUTES],
     )
     if anchor is None:
-        anchor = anchor_date(per_order, "_last")
+        # latest date over all lines (one pruned column scan, partial max per
+        # task, no shuffle of rows), shared by every window
+        anchor = anchor_date(df)
     counts = []
     for m in months:
         start = months_before(anchor, m)
@@ -135,7 +137,7 @@ def customer_left_join(df: DataFrame, anchor=None, months: Sequence[int] = (1, 6
     Prefer :func:`customer_metrics` (same result, no joins)."""
     lines = df.filter(F.col("customer_id").isNotNull())
     if anchor is None:
-        anchor = anchor_date(lines)
+        anchor = anchor_date(df)
     attrs = parse_names(lines.groupBy("customer_id").agg(
         *[_earliest_non_null(a, ["order_date", "row_id"]).alias(f"_{a}") for a in _ATTRIBUTES]
     ).withColumn("customer_name", F.col("_customer_name.v"))).select(
