@@ -2,8 +2,9 @@
 
 Layers talk only through parquet directories (and optionally catalog
 tables), so each job can be re-run on its own after a failure; Spark's
-commit protocol makes every write all-or-nothing.  Row counts are observed
-while writing (``Observation``), not by extra passes over the data.
+commit protocol makes every write all-or-nothing.  Rows written are observed
+in the writing stage (``Observation``, exactly once per partition); rows read
+come from the input layer's parquet footers, not from a pass over the data.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from tiersmith.functions.text import strip_whitespace
 from tiersmith.operators.cleanse import cleanse
 from tiersmith.operators.customers import customer_metrics
 from tiersmith.operators.sales import sales_orders
-from tiersmith.sources.files import PARTITION_COLUMNS, read_csv, read_layer, write_partitioned
+from tiersmith.sources.files import PARTITION_COLUMNS, count_rows, read_csv, read_layer, write_partitioned
 
 # Folder name of each layer under the lake root.
 LAYER_DIRS = {
@@ -40,8 +41,9 @@ class StageResult:
 
 
 def _write_counted(df: DataFrame, path: str, name: str, partition_by=PARTITION_COLUMNS) -> int:
+    """Write and return the rows written (observed in the writing stage)."""
     obs = Observation(name)
-    write_partitioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    write_partitioned(df, path, partition_by, observation=obs)
     return int(obs.get["rows"])
 
 
@@ -71,11 +73,8 @@ def silver_frame(bronze: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, bronze_path: str, out_path: str, strict: bool = False) -> StageResult:
-    bronze = read_layer(spark, bronze_path)
-    obs_in = Observation("silver_in")
-    counted = bronze.observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    n_out = _write_counted(silver_frame(counted, strict), out_path, "silver_out")
-    return StageResult("silver", int(obs_in.get["rows"]), n_out, out_path)
+    n_out = _write_counted(silver_frame(read_layer(spark, bronze_path), strict), out_path, "silver_out")
+    return StageResult("silver", count_rows(spark, bronze_path), n_out, out_path)
 
 
 def gold_sales_frame(silver: DataFrame) -> DataFrame:
@@ -83,11 +82,8 @@ def gold_sales_frame(silver: DataFrame) -> DataFrame:
 
 
 def build_gold_sales(spark: SparkSession, silver_path: str, out_path: str) -> StageResult:
-    silver = read_layer(spark, silver_path)
-    obs_in = Observation("sales_in")
-    n_out = _write_counted(gold_sales_frame(silver.observe(obs_in, F.count(F.lit(1)).alias("rows"))),
-                           out_path, "sales_out")
-    return StageResult("gold_sales", int(obs_in.get["rows"]), n_out, out_path)
+    n_out = _write_counted(gold_sales_frame(read_layer(spark, silver_path)), out_path, "sales_out")
+    return StageResult("gold_sales", count_rows(spark, silver_path), n_out, out_path)
 
 
 def gold_customer_frame(silver: DataFrame, anchor: _dt.date | str | None = None, by: str = "first") -> DataFrame:
@@ -100,11 +96,8 @@ def gold_customer_frame(silver: DataFrame, anchor: _dt.date | str | None = None,
 
 def build_gold_customer(spark: SparkSession, silver_path: str, out_path: str,
                         anchor: _dt.date | str | None = None) -> StageResult:
-    silver = read_layer(spark, silver_path)
-    obs_in = Observation("customer_in")
-    n_out = _write_counted(gold_customer_frame(silver.observe(obs_in, F.count(F.lit(1)).alias("rows")), anchor),
-                           out_path, "customer_out")
-    return StageResult("gold_customer", int(obs_in.get["rows"]), n_out, out_path)
+    n_out = _write_counted(gold_customer_frame(read_layer(spark, silver_path), anchor), out_path, "customer_out")
+    return StageResult("gold_customer", count_rows(spark, silver_path), n_out, out_path)
 
 
 def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str, anchor=None,

@@ -67,6 +67,7 @@ def write_partitioned(
     mode: str = "overwrite",
     dynamic: bool = False,
     max_records_per_file: int = 5_000_000,
+    observation=None,
 ) -> None:
     """Snappy parquet, one directory per partition value.
 
@@ -75,9 +76,17 @@ def write_partitioned(
     task into several files, so one hot day never lands in a single task.
     ``dynamic=True`` replaces only the partitions present in ``df`` (daily
     re-runs); otherwise the whole table is replaced.
+
+    ``observation`` (a ``pyspark.sql.Observation``) receives ``rows``, the
+    number of rows written.  It is attached after the shuffle, in the
+    writing (result) stage, whose metric updates Spark applies exactly once
+    per partition even when tasks are retried or executors lost.
     """
     cols = list(partition_by)
-    writer = (df.hint("rebalance", *cols).write.mode(mode).option("compression", "snappy")
+    out = df.hint("rebalance", *cols) if cols else df
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    writer = (out.write.mode(mode).option("compression", "snappy")
               .option("maxRecordsPerFile", max_records_per_file)
               .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if cols:
@@ -85,17 +94,25 @@ def write_partitioned(
     writer.parquet(path)
 
 
-def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Unpartitioned snappy parquet."""
+def write_plain(df: DataFrame, path: str, mode: str = "overwrite", observation=None) -> None:
+    """Unpartitioned snappy parquet (``observation`` as in :func:`write_partitioned`)."""
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
+def count_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a written parquet layer.  No column is read: Spark answers
+    from the row-group metadata in the file footers."""
+    return spark.read.parquet(path).count()
+
+
 def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_COLUMNS,
                    name: str = "write") -> tuple[DataFrame, DataFrame]:
     """Write ``df`` and check the read-back.
 
     Returns ``(read_back, verification)``.  The written row count is observed
-    during the write itself (``Observation``, no second pass over ``df``); the
+    in the writing stage itself (``Observation``, no second pass over ``df``); the
     verification frame compares it with the rows and columns read back:
     ``(rows_written, rows_read, columns_match)``.
     """
@@ -103,11 +120,10 @@ def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = PARTI
 
     spark = df.sparkSession
     obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
-        write_partitioned(observed, path, partition_by)
+        write_partitioned(df, path, partition_by, observation=obs)
     else:
-        write_plain(observed, path)
+        write_plain(df, path, observation=obs)
     written = obs.get["rows"]
     back = read_layer(spark, path, df.columns)
     same_cols = sorted(spark.read.parquet(path).columns) == sorted(df.columns)
