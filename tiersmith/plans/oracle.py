@@ -208,6 +208,7 @@ ORACLES: dict[str, str] = {
     "bronze_scan": with_(SOURCE) + f"SELECT {_BRONZE}",
     "silver_scan": with_(SILVER) + f"SELECT {_SILVER_YMD}",
     "silver_write": with_(SILVER) + f"SELECT {_SILVER_YMD}",
+    "incremental_silver": with_(SILVER) + f"SELECT {_SILVER_YMD}",
     "gold_sales_write": with_(SILVER, sales_sql("silver")) + f"SELECT {_SALES_COLS}, {ymd('order_date')} FROM sales",
     "gold_customer_write": with_(SILVER, _cust(src="silver"))
     + f"SELECT {CUSTOMER_COLUMNS}, {ymd('first_order_date')} FROM customers",

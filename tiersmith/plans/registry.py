@@ -32,6 +32,7 @@ from tiersmith.sources import catalog as cat
 from tiersmith.sources import files as fs
 from tiersmith.sources import partitions as pt
 from tiersmith.sources.testdata import retail_lines, retail_source, table
+from tiersmith.streaming import incremental_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -409,6 +410,13 @@ def q_stage_metrics(spark, sf_dir):
     return md.run_medallion(spark, _csv_path(spark, sf_dir), fresh_path(spark, "lake"))
 
 
+def q_incremental_silver(spark, sf_dir):
+    # the bronze layer arrives as a file stream, several micro-batches of files
+    silver = fresh_path(spark, "silver_incremental")
+    incremental_silver(spark, _bronze_path(spark, sf_dir), silver, max_files_per_batch=800)
+    return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, _bronze_path(spark, sf_dir))).columns)
+
+
 # ------------------------------------------------------------- rows only ---
 
 def q_schema_check(spark, sf_dir):

@@ -1,0 +1,3 @@
+from tiersmith.streaming.incremental import incremental_silver, silver_for_days
+
+__all__ = ["incremental_silver", "silver_for_days"]
