@@ -75,3 +75,13 @@ def test_safe_cast(spark):
     df = spark.createDataFrame([("12.5",), ("abc",), (None,)], "s string")
     assert [r[0] for r in df.select(safe_cast("s", "double")).collect()] == [12.5, None, None]
     assert [r[0] for r in df.select(safe_cast(F.col("s"), "int")).collect()] == [None, None, None]
+
+
+def test_scale_conf():
+    from tiersmith.session import scale_conf
+
+    big = scale_conf(100 * 1024**4, executors=1000, cores_per_executor=8)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+    small = scale_conf(10 * 1024**3, executors=10, cores_per_executor=4)
+    assert small["spark.sql.shuffle.partitions"] == "80"  # two waves of 40 slots beat 40 partitions

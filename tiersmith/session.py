@@ -71,3 +71,40 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under :func:`shared_dir` for one written table."""
     return os.path.join(shared_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_MB = 1024 * 1024
+
+
+def scale_conf(
+    input_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    target_partition_bytes: int = 256 * _MB,
+    max_shuffle_partitions: int = 200_000,
+) -> dict[str, str]:
+    """Sizing for a cluster run, to pass as ``extra_conf`` of :func:`build_session`.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` so a
+    task's working set fits executor memory and spills rarely; the initial
+    shuffle partition count covers the whole input at that size (at least two
+    waves of task slots, at most ``max_shuffle_partitions`` to bound shuffle
+    metadata), and AQE coalesces whatever the partial aggregations shrink.
+    Skew splitting triggers at four times the target.
+
+    100 TB on 1000 executors x 8 cores -> 200,000 initial partitions of
+    ~512 MB input each, coalesced by AQE to ~256 MB shuffle blocks.
+    """
+    slots = max(1, executors * cores_per_executor)
+    wanted = -(-input_bytes // target_partition_bytes)
+    partitions = int(min(max(wanted, 2 * slots), max_shuffle_partitions))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * _MB),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
