@@ -131,7 +131,8 @@ def customer_metrics(
     return named.select(*cols)
 
 
-def customer_left_join(df: DataFrame, anchor=None, months: Sequence[int] = (1, 6)) -> DataFrame:
+def customer_left_join(df: DataFrame, anchor=None, months: Sequence[int] = (1, 6),
+                       tie_break: Sequence[str] = ("order_date", "row_id")) -> DataFrame:
     """The reference's shape, kept as a user-level operator: attributes left-
     joined with one count-distinct aggregate per window, missing counts 0.
     Prefer :func:`customer_metrics` (same result, no joins)."""
@@ -139,7 +140,7 @@ def customer_left_join(df: DataFrame, anchor=None, months: Sequence[int] = (1, 6
     if anchor is None:
         anchor = anchor_date(df)
     attrs = parse_names(lines.groupBy("customer_id").agg(
-        *[_earliest_non_null(a, ["order_date", "row_id"]).alias(f"_{a}") for a in _ATTRIBUTES]
+        *[_earliest_non_null(a, [c for c in tie_break if c in df.columns]).alias(f"_{a}") for a in _ATTRIBUTES]
     ).withColumn("customer_name", F.col("_customer_name.v"))).select(
         "customer_id", "customer_first_name", "customer_last_name",
         F.col("_segment.v").alias("customer_segment"), F.col("_country.v").alias("country"))

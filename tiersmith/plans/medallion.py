@@ -101,9 +101,11 @@ def build_gold_customer(spark: SparkSession, silver_path: str, out_path: str,
 
 
 def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str, anchor=None,
-                  source: DataFrame | None = None, on_bad_date: str = "null",
+                  source: DataFrame | None = None, on_bad_date: str = "fail",
                   parallel_gold: bool = False, database: str | None = None) -> DataFrame:
     """Bronze -> silver -> gold sales and gold customer on one session.
+    ``on_bad_date`` is the bronze rule (``fail`` by default, ``null`` keeps
+    such rows in the null partition; silver drops them either way).
     Returns ``(stage, records_in, records_out)``; any failure propagates
     (fail fast).  The two gold jobs depend only on silver: with
     ``parallel_gold`` they are submitted concurrently from two driver threads

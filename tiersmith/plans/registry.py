@@ -407,7 +407,7 @@ def q_customer_metrics(spark, sf_dir):
 
 
 def q_stage_metrics(spark, sf_dir):
-    return md.run_medallion(spark, _csv_path(spark, sf_dir), fresh_path(spark, "lake"))
+    return md.run_medallion(spark, _csv_path(spark, sf_dir), fresh_path(spark, "lake"), on_bad_date="null")
 
 
 def q_incremental_silver(spark, sf_dir):

@@ -118,7 +118,8 @@ def register_table(
         cols = "(" + ", ".join(defs) + ")"
     parts = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
     note = comment.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} {cols} USING PARQUET {parts} LOCATION '{location}' COMMENT '{note}'")
+    where = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} {cols} USING PARQUET {parts} LOCATION '{where}' COMMENT '{note}'")
     if partition_by:
         spark.catalog.recoverPartitions(f"{database}.{table}")
     return spark.table(f"{database}.{table}")
