@@ -77,33 +77,43 @@ SILVER_CASTS = {"row_id": "bigint", "sales": "double", "quantity": "bigint",
                 "discount": "double", "profit": "double"}
 
 
+def deduplicated_lines(
+    df: DataFrame,
+    row_key: str = "Row ID",
+    order_date: str = "Order Date",
+    ship_date: str = "Ship Date",
+    group_size_col: str | None = None,
+) -> DataFrame:
+    """Steps 1-3 and 6 of :func:`cleanse`: trimmed, one row per key, dates
+    parsed, typed, snake_case -- before any row is dropped.  Shared by the
+    cleanse and its metrics so both see the same survivors."""
+    validate_required_columns(df, [row_key, order_date, ship_date])
+    trimmed = trim_strings(df)
+    deduped = first_rows(trimmed, [row_key], group_size_col=group_size_col)
+    parsed = parse_date_columns(deduped, [order_date, ship_date])
+    renamed = snake_case_columns(parsed)
+    return renamed.withColumns({c: safe_cast(c, t) for c, t in SILVER_CASTS.items() if c in renamed.columns})
+
+
 def cleanse(
     df: DataFrame,
     row_key: str = "Row ID",
     order_date: str = "Order Date",
     ship_date: str = "Ship Date",
     strict: bool = False,
-    group_size_col: str | None = None,
 ) -> DataFrame:
     """Bronze (source-named) rows -> silver rows, lazily:
 
     1. every string column stripped of edge whitespace;
     2. one row per ``row_key`` (first by all other columns, deterministic);
-    3. dates parsed day-first with month-first and ISO fallbacks, bad -> null;
+    3. dates parsed day first with month-first and ISO fallbacks, bad -> null;
     4. rows without an order date dropped (``strict``: also rows missing ship
        date, sales or quantity);
     5. ship dates before the order date set to null;
     6. ``try_cast`` to silver types; names to snake_case.
-
-    ``group_size_col`` keeps the number of source rows each survivor stood
-    for (used by :func:`tiersmith.operators.quality.cleanse_metrics`).
     """
     validate_required_columns(df)
-    trimmed = trim_strings(df)
-    deduped = first_rows(trimmed, [row_key], group_size_col=group_size_col)
-    parsed = parse_date_columns(deduped, [order_date, ship_date])
-    renamed = snake_case_columns(parsed)
-    typed = renamed.withColumns({c: safe_cast(c, t) for c, t in SILVER_CASTS.items() if c in renamed.columns})
+    typed = deduplicated_lines(df, row_key, order_date, ship_date)
     kept = filter_valid_dates(typed, snake_case(order_date))
     if strict:
         kept = filter_strict(kept, (snake_case(order_date), snake_case(ship_date), "sales", "quantity"))

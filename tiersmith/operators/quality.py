@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tiersmith.functions.dates import parse_date
-from tiersmith.operators.cleanse import trim_strings
-from tiersmith.operators.dedup import _long, first_rows
+from tiersmith.functions.text import snake_case
+from tiersmith.operators.cleanse import deduplicated_lines
+from tiersmith.operators.dedup import _long
 
 
 def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -38,15 +38,15 @@ def cleanse_metrics(
 ) -> DataFrame:
     """Silver run metrics as ``(metric, value bigint)`` rows.
 
-    One shuffle (the row dedup, which also yields each survivor's group size)
-    and one global aggregate; the source is not scanned twice.
+    Computed over exactly the survivors :func:`cleanse` keeps (same dedup
+    step), which also carries each survivor's group size: one shuffle and one
+    global aggregate; the source is not scanned twice.
     """
-    deduped = first_rows(trim_strings(source).select(row_key, order_date, ship_date), [row_key],
-                         group_size_col="_rows")
-    od, sd = parse_date(order_date), parse_date(ship_date)
-    one = deduped.agg(
-        F.sum("_rows").alias("source_records"),
-        F.sum(F.col("_rows") - 1).alias("duplicates_removed"),
+    lines = deduplicated_lines(source, row_key, order_date, ship_date, group_size_col="source_rows")
+    od, sd = F.col(snake_case(order_date)), F.col(snake_case(ship_date))
+    one = lines.agg(
+        F.sum("source_rows").alias("source_records"),
+        F.sum(F.col("source_rows") - 1).alias("duplicates_removed"),
         F.count_if(od.isNull()).alias("invalid_order_dates"),
         F.count_if(sd.isNull()).alias("invalid_ship_dates"),
         F.count_if(od.isNull()).alias("null_order_dates_removed"),
