@@ -49,12 +49,16 @@ def main() -> None:
     csv = os.path.join(lake, "source_csv")
     fs.write_csv(retail_source(spark, sf_dir), csv)
     paths = {k: os.path.join(lake, v) for k, v in md.LAYER_DIRS.items()}
-    timed("bronze", lambda: md.ingest_bronze(spark, csv, paths["bronze"], on_bad_date="null"))
-    timed("silver", lambda: md.build_silver(spark, paths["bronze"], paths["silver"]))
-    timed("gold_sales", lambda: md.build_gold_sales(spark, paths["silver"], paths["gold_sales"]))
-    timed("gold_customer", lambda: md.build_gold_customer(spark, paths["silver"], paths["gold_customer"]))
+    # the stages chained as run_medallion chains them (counts and anchor passed on)
+    bronze = timed("bronze", lambda: md.ingest_bronze(spark, csv, paths["bronze"], on_bad_date="null"))
+    silver = timed("silver", lambda: md.build_silver(spark, paths["bronze"], paths["silver"],
+                                                     records_in=bronze.records_out))
+    timed("gold_sales", lambda: md.build_gold_sales(spark, paths["silver"], paths["gold_sales"],
+                                                    records_in=silver.records_out))
+    timed("gold_customer", lambda: md.build_gold_customer(spark, paths["silver"], paths["gold_customer"],
+                                                          silver.latest_order_date, records_in=silver.records_out))
     layers_total = round(sum(timings[k] for k in ("bronze", "silver", "gold_sales", "gold_customer")), 3)
-    input_rows = fs.count_rows(spark, paths["bronze"])  # parquet footers, no data pass
+    input_rows = bronze.records_out
 
     for key in HEADLINE:
         timed(f"q_{key}", lambda k=key: QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save())

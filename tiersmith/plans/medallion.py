@@ -38,6 +38,7 @@ class StageResult:
     records_in: int
     records_out: int
     path: str
+    latest_order_date: _dt.date | None = None
 
 
 def _write_counted(df: DataFrame, path: str, name: str, partition_by=PARTITION_COLUMNS) -> int:
@@ -47,6 +48,16 @@ def _write_counted(df: DataFrame, path: str, name: str, partition_by=PARTITION_C
     return int(obs.get["rows"])
 
 
+def _write_silver(df: DataFrame, path: str) -> tuple[int, _dt.date | None]:
+    """Write silver; observe rows written and the latest order date (``max``
+    is exact even if a stage is retried), which becomes gold's anchor."""
+    obs = Observation("silver_out")
+    write_partitioned(df, path, PARTITION_COLUMNS, observation=obs,
+                      extra_metrics=[F.max("order_date").alias("latest")])
+    got = obs.get
+    return int(got["rows"]), got.get("latest")
+
+
 def bronze_frame(source: DataFrame, on_bad_date: str = "fail", date_col: str = "Order Date") -> DataFrame:
     """Source rows plus ``year/month/day`` of the order date.  ``on_bad_date``:
     ``fail`` stops the job on an unparseable date, ``null`` keeps the row in
@@ -72,18 +83,24 @@ def silver_frame(bronze: DataFrame, strict: bool = False) -> DataFrame:
     return cleanse(src, strict=strict).withColumns(partition_keys("order_date"))
 
 
-def build_silver(spark: SparkSession, bronze_path: str, out_path: str, strict: bool = False) -> StageResult:
-    n_out = _write_counted(silver_frame(read_layer(spark, bronze_path), strict), out_path, "silver_out")
-    return StageResult("silver", count_rows(spark, bronze_path), n_out, out_path)
+def build_silver(spark: SparkSession, bronze_path: str, out_path: str, strict: bool = False,
+                 records_in: int | None = None) -> StageResult:
+    """``records_in`` may pass the bronze count already known (else it is read
+    from the bronze footers)."""
+    n_out, latest = _write_silver(silver_frame(read_layer(spark, bronze_path), strict), out_path)
+    n_in = records_in if records_in is not None else count_rows(spark, bronze_path)
+    return StageResult("silver", n_in, n_out, out_path, latest)
 
 
 def gold_sales_frame(silver: DataFrame) -> DataFrame:
     return sales_orders(silver).withColumns(partition_keys("order_date"))
 
 
-def build_gold_sales(spark: SparkSession, silver_path: str, out_path: str) -> StageResult:
+def build_gold_sales(spark: SparkSession, silver_path: str, out_path: str,
+                     records_in: int | None = None) -> StageResult:
     n_out = _write_counted(gold_sales_frame(read_layer(spark, silver_path)), out_path, "sales_out")
-    return StageResult("gold_sales", count_rows(spark, silver_path), n_out, out_path)
+    n_in = records_in if records_in is not None else count_rows(spark, silver_path)
+    return StageResult("gold_sales", n_in, n_out, out_path)
 
 
 def gold_customer_frame(silver: DataFrame, anchor: _dt.date | str | None = None, by: str = "first") -> DataFrame:
@@ -95,9 +112,12 @@ def gold_customer_frame(silver: DataFrame, anchor: _dt.date | str | None = None,
 
 
 def build_gold_customer(spark: SparkSession, silver_path: str, out_path: str,
-                        anchor: _dt.date | str | None = None) -> StageResult:
+                        anchor: _dt.date | str | None = None, records_in: int | None = None) -> StageResult:
+    """``anchor=None``: the latest order date in silver (a one-column scan
+    inside the plan)."""
     n_out = _write_counted(gold_customer_frame(read_layer(spark, silver_path), anchor), out_path, "customer_out")
-    return StageResult("gold_customer", count_rows(spark, silver_path), n_out, out_path)
+    n_in = records_in if records_in is not None else count_rows(spark, silver_path)
+    return StageResult("gold_customer", n_in, n_out, out_path)
 
 
 def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str, anchor=None,
@@ -112,10 +132,14 @@ def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str,
     and share the cluster.  ``database`` also registers the four layers as
     catalog tables."""
     paths = {k: os.path.join(lake_root, v) for k, v in LAYER_DIRS.items()}
-    results = [ingest_bronze(spark, source_path or "", paths["bronze"], on_bad_date, source)]
-    results.append(build_silver(spark, paths["bronze"], paths["silver"]))
-    gold = [lambda: build_gold_sales(spark, paths["silver"], paths["gold_sales"]),
-            lambda: build_gold_customer(spark, paths["silver"], paths["gold_customer"], anchor)]
+    bronze = ingest_bronze(spark, source_path or "", paths["bronze"], on_bad_date, source)
+    silver = build_silver(spark, paths["bronze"], paths["silver"], records_in=bronze.records_out)
+    results = [bronze, silver]
+    # the anchor observed while writing silver spares gold a scan of silver
+    gold_anchor = anchor if anchor is not None else silver.latest_order_date
+    gold = [lambda: build_gold_sales(spark, paths["silver"], paths["gold_sales"], records_in=silver.records_out),
+            lambda: build_gold_customer(spark, paths["silver"], paths["gold_customer"], gold_anchor,
+                                        records_in=silver.records_out)]
     if parallel_gold:
         from concurrent.futures import ThreadPoolExecutor
 

@@ -68,6 +68,7 @@ def write_partitioned(
     dynamic: bool = False,
     max_records_per_file: int = 5_000_000,
     observation=None,
+    extra_metrics=(),
 ) -> None:
     """Snappy parquet, one directory per partition value.
 
@@ -78,14 +79,14 @@ def write_partitioned(
     re-runs); otherwise the whole table is replaced.
 
     ``observation`` (a ``pyspark.sql.Observation``) receives ``rows``, the
-    number of rows written.  It is attached after the shuffle, in the
-    writing (result) stage, whose metric updates Spark applies exactly once
+    number of rows written, and any ``extra_metrics`` aggregate columns.  It
+    is attached after the shuffle, in the writing (result) stage, whose metric updates Spark applies exactly once
     per partition even when tasks are retried or executors lost.
     """
     cols = list(partition_by)
     out = df.hint("rebalance", *cols) if cols else df
     if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"), *extra_metrics)
     writer = (out.write.mode(mode).option("compression", "snappy")
               .option("maxRecordsPerFile", max_records_per_file)
               .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
