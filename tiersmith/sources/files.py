@@ -80,8 +80,9 @@ def write_partitioned(
 
     ``observation`` (a ``pyspark.sql.Observation``) receives ``rows``, the
     number of rows written, and any ``extra_metrics`` aggregate columns.  It
-    is attached after the shuffle, in the writing (result) stage, whose metric updates Spark applies exactly once
-    per partition even when tasks are retried or executors lost.
+    is attached after the shuffle, in the writing (result) stage, whose
+    metric updates Spark applies exactly once per partition even when tasks
+    are retried or executors lost.
     """
     cols = list(partition_by)
     out = df.hint("rebalance", *cols) if cols else df
