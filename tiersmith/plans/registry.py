@@ -48,12 +48,19 @@ _layers: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
+def _gone(path: str) -> bool:
+    # only local folders can be checked cheaply here; others are trusted
+    local = path[len("file:"):] if path.startswith("file:") else path
+    return "://" not in path and not os.path.exists(local)
+
+
 def _layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], None]) -> str:
-    """Write a layer once per (session, source dir, name); return its path."""
+    """Write a layer once per (session, source dir, name); return its path.
+    A layer whose folder has disappeared is written again."""
     key = (id(spark), os.path.abspath(sf_dir), name)
     with _lock:
         path = _layers.get(key)
-        if path is None:
+        if path is None or _gone(path):
             path = fresh_path(spark, name)
             build(path)
             _layers[key] = path
