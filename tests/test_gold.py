@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from tiersmith.operators import customers as cu
 from tiersmith.operators import reports as rp

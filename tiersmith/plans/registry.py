@@ -26,7 +26,6 @@ from tiersmith.operators import reports as rp
 from tiersmith.operators.dedup import duplicate_counts, first_rows
 from tiersmith.operators.sales import GOLD_SALES_COLUMNS, sales_orders, sales_project
 from tiersmith.plans import medallion as md
-from tiersmith.plans import oracle as o
 from tiersmith.session import fresh_path
 from tiersmith.sources import catalog as cat
 from tiersmith.sources import files as fs
