@@ -133,3 +133,11 @@ def test_default_anchor_counts_lines_without_customer(spark):
     assert got == {"CUST-A": 0, "CUST-B": 0, "CUST-C": 0}
     joined = {r.customer_id: r.orders_last_month for r in cu.customer_left_join(customer_lines(spark, extra)).collect()}
     assert joined == got
+
+
+def test_gold_customer_partition_by_latest(spark):
+    lines = customer_lines(spark)
+    first = {r.customer_id: (r.year, r.month) for r in md.gold_customer_frame(lines, "2018-12-30").collect()}
+    latest = {r.customer_id: (r.year, r.month) for r in md.gold_customer_frame(lines, "2018-12-30", "latest").collect()}
+    assert first == {"CUST-A": (2018, 2), "CUST-B": (2017, 12), "CUST-C": (2018, 1)}
+    assert latest == {"CUST-A": (2018, 12), "CUST-B": (2018, 12), "CUST-C": (2018, 11)}

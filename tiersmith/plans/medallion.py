@@ -106,16 +106,21 @@ def build_gold_sales(spark: SparkSession, silver_path: str, out_path: str,
 def gold_customer_frame(silver: DataFrame, anchor: _dt.date | str | None = None, by: str = "first") -> DataFrame:
     """Customer metrics partitioned by the customer's first order date
     (``by='latest'``: latest order date); the helper dates are dropped."""
+    if by not in ("first", "latest"):
+        raise ValueError("by must be 'first' or 'latest'")
     m = customer_metrics(silver, anchor=anchor, keep_order_dates=True)
     d = "first_order_date" if by == "first" else "latest_order_date"
     return m.withColumns(partition_keys(d)).drop("first_order_date", "latest_order_date")
 
 
 def build_gold_customer(spark: SparkSession, silver_path: str, out_path: str,
-                        anchor: _dt.date | str | None = None, records_in: int | None = None) -> StageResult:
+                        anchor: _dt.date | str | None = None, records_in: int | None = None,
+                        by: str = "first") -> StageResult:
     """``anchor=None``: the latest order date in silver (a one-column scan
-    inside the plan)."""
-    n_out = _write_counted(gold_customer_frame(read_layer(spark, silver_path), anchor), out_path, "customer_out")
+    inside the plan).  ``by``: partition by each customer's ``first`` or
+    ``latest`` order date."""
+    n_out = _write_counted(gold_customer_frame(read_layer(spark, silver_path), anchor, by), out_path,
+                           "customer_out")
     n_in = records_in if records_in is not None else count_rows(spark, silver_path)
     return StageResult("gold_customer", n_in, n_out, out_path)
 
