@@ -45,6 +45,14 @@ def main() -> None:
         timings[name] = round(time.perf_counter() - t0, 3)
         return out
 
+    # warm-up (untimed): the same code paths once over the smallest tables, so
+    # the first timed stage does not pay JVM class loading and JIT
+    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if os.path.isdir(warm_dir):
+        warm_csv = os.path.join(lake, "warmup_csv")
+        fs.write_csv(retail_source(spark, warm_dir), warm_csv)
+        md.ingest_bronze(spark, warm_csv, os.path.join(lake, "warmup_bronze"), on_bad_date="null")
+
     # setup (untimed): the raw CSV feed derived from the test tables
     csv = os.path.join(lake, "source_csv")
     fs.write_csv(retail_source(spark, sf_dir), csv)
