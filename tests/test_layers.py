@@ -37,6 +37,7 @@ def test_bronze_ingest_and_layers(spark):
     lake = fresh_path(spark, "lake")
     run = md.run_medallion(spark, src, lake, anchor="2018-12-30", parallel_gold=True, database="tiersmith_run")
     stages = {r.stage: (r.records_in, r.records_out) for r in run.collect()}
+    assert {r.success_rate for r in run.collect()} == {100.0}
     assert stages == {"bronze": (3, 3), "silver": (3, 3), "gold_sales": (3, 3), "gold_customer": (3, 3)}
     assert spark.table("tiersmith_run.gold_customer").count() == 3
     assert spark.table("tiersmith_run.bronze_retail_sales").count() == 3

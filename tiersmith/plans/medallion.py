@@ -131,7 +131,8 @@ def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str,
     """Bronze -> silver -> gold sales and gold customer on one session.
     ``on_bad_date`` is the bronze rule (``fail`` by default, ``null`` keeps
     such rows in the null partition; silver drops them either way).
-    Returns ``(stage, records_in, records_out)``; any failure propagates
+    Returns ``(stage, records_in, records_out, success_rate)`` (success rate =
+    out / in x 100, rounded to 4 places); any failure propagates
     (fail fast).  The two gold jobs depend only on silver: with
     ``parallel_gold`` they are submitted concurrently from two driver threads
     and share the cluster.  ``database`` also registers the four layers as
@@ -158,4 +159,6 @@ def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str,
 
         register_layers(spark, database, paths)
     rows = [(r.stage, r.records_in, r.records_out) for r in results]
-    return spark.createDataFrame(rows, "stage string, records_in bigint, records_out bigint")
+    summary = spark.createDataFrame(rows, "stage string, records_in bigint, records_out bigint")
+    return summary.withColumn("success_rate",
+                              F.round(F.col("records_out").cast("double") * 100 / F.col("records_in"), 4))

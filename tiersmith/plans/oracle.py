@@ -351,8 +351,10 @@ ORACLES: dict[str, str] = {
     "stage_metrics": with_(SILVER, "src_n AS (SELECT count(*) AS n FROM source)",
                            "sil AS (SELECT count(*) AS n, count(DISTINCT order_id) AS o, "
                            "count(DISTINCT customer_id) AS c FROM silver)")
-    + "SELECT 'bronze' AS stage, CAST(n AS BIGINT) AS records_in, CAST(n AS BIGINT) AS records_out FROM src_n "
+    + "SELECT stage, records_in, records_out, "
+      "round(CAST(records_out AS DOUBLE) * 100 / records_in, 4) AS success_rate FROM ("
+      "SELECT 'bronze' AS stage, CAST(n AS BIGINT) AS records_in, CAST(n AS BIGINT) AS records_out FROM src_n "
       "UNION ALL SELECT 'silver', CAST((SELECT n FROM src_n) AS BIGINT), CAST(n AS BIGINT) FROM sil "
       "UNION ALL SELECT 'gold_sales', CAST(n AS BIGINT), CAST(o AS BIGINT) FROM sil "
-      "UNION ALL SELECT 'gold_customer', CAST(n AS BIGINT), CAST(c AS BIGINT) FROM sil",
+      "UNION ALL SELECT 'gold_customer', CAST(n AS BIGINT), CAST(c AS BIGINT) FROM sil)",
 }
