@@ -279,6 +279,12 @@ ORACLES: dict[str, str] = {
     "null_counts": with_(SILVER) + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM silver"
         for c in SILVER_COLUMNS),
+    "sales_null_counts": with_(RETAIL, sales_sql("retail")) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM sales"
+        for c in ("order_id", "order_date", "shipment_date", "shipment_mode", "city")),
+    "customer_null_counts": with_(RETAIL, _cust()) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM customers"
+        for c in CUSTOMER_COLUMNS.split(", ")),
     "active_customers": with_(RETAIL, _cust())
     + "SELECT CAST(count(*) AS BIGINT) AS customers, CAST(count_if(orders_last_month > 0) AS BIGINT) AS active_last_month, "
       "CAST(count_if(orders_last_6_months > 0) AS BIGINT) AS active_last_6_months, "

@@ -295,6 +295,14 @@ def q_null_counts(spark, sf_dir):
     return qa.null_counts(cl.cleanse(retail_source(spark, sf_dir)))
 
 
+def q_sales_null_counts(spark, sf_dir):
+    return qa.null_counts(sales_orders(retail_lines(spark, sf_dir)))
+
+
+def q_customer_null_counts(spark, sf_dir):
+    return qa.null_counts(_customers(spark, sf_dir))
+
+
 def q_active_customers(spark, sf_dir):
     return rp.active_customers(_customers(spark, sf_dir))
 
