@@ -131,21 +131,26 @@ def _summed(counted: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def _distance_to(references: dict[str, tuple[np.ndarray, np.ndarray]]):
+    """Distance of a text's characters to the reference of its own language."""
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for lang, hist in batches:
+            out = np.ones(len(lang))
+            rows = np.stack(hist.to_list()) if len(lang) else np.zeros((0, len(CLASSES)))
+            for key in set(lang) & references.keys():
+                of = (lang == key).to_numpy()
+                out[of] = jensen_shannon(rows[of], references[key][0])
+            yield pd.Series(out)
+
+    return F.pandas_udf(run, "double")
+
+
 def language_references(counted: DataFrame, rounds: int = 2) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """References per ``_lang`` (see the module's text)."""
     usable = counted.where(~base_failed("stats.") & F.col("_lang").isNotNull())
     references = _summed(usable)
     for _ in range(rounds):
-        def own(batches: Iterator[tuple[pd.Series, pd.Series]], known=references) -> Iterator[pd.Series]:
-            for lang, hist in batches:
-                out = np.ones(len(lang))
-                rows = np.stack(hist.to_list()) if len(lang) else np.zeros((0, len(CLASSES)))
-                for key in set(lang) & known.keys():
-                    of = (lang == key).to_numpy()
-                    out[of] = jensen_shannon(rows[of], known[key][0])
-                yield pd.Series(out)
-
-        far = usable.withColumn("_own", F.pandas_udf(own, "double")("_lang", "stats.char_hist"))
+        far = usable.withColumn("_own", _distance_to(references)("_lang", "stats.char_hist"))
         middle = {r[0]: r[1] for r in far.groupBy("_lang").agg(F.percentile_approx("_own", 0.5, 10_000)).collect()}
         if not middle:
             break
