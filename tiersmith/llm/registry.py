@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiersmith.llm import bpe, langid, pu_quality, quality_rules
+from tiersmith.llm import bpe, jaccard_join, langid, packing, pu_quality, quality_rules
 from tiersmith.llm.common import held_out, json_bytes, table
 
 
@@ -22,6 +22,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, json_bytes(tokenizer_path("word_bpe_49k.json"))).select("doc_id", "bpe.*")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, ["doc_id"], json_bytes(tokenizer_path("byte_bpe_50k.json")))
+    return packing.pack(pieces).withColumn("piece", F.col("piece").cast("int"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -40,8 +46,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", F.when(F.col("score") >= pu_quality.KEEP_SCORE, 1).otherwise(0)))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op6_quality_rules, op8_language_id, op9_quality_classifier)
+    f.__name__: f for f in (op4_bpe, op5_best_fit_packing, op6_quality_rules, op8_language_id, op9_quality_classifier, op10_ngram_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
