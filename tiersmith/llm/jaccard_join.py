@@ -126,12 +126,17 @@ def _sets(docs: DataFrame, nodes: DataFrame, count: int, width: int) -> DataFram
             yield pd.Series([s.view(np.int64) for s in token_sets(batch, width)])
 
     keys = nodes.select("node", "key")
-    keyed = docs.withColumn("key", F.struct(F.col("_id").alias("id"), F.xxhash64("_text").alias("text")))
+    keyed = docs.withColumn("key", _key("_id", "_text"))
     same = (keyed["key"]["text"] == keys["key"]["text"]) & keyed["key"]["id"].eqNullSafe(keys["key"]["id"])
     found = keyed.join(_small(keys, count), same).select("node", "_text")
     return found.dropDuplicates(["node"]).select("node", F.pandas_udf(run, "array<long>")("_text").alias("tokens"))
 
 
+def _key(doc_id, text):
+    """Names a row: ids before null ids, then the text's hash."""
+    return F.struct(F.col(doc_id).isNull().alias("unnamed"), F.col(doc_id).alias("id"), F.xxhash64(text).alias("text"))
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -290,14 +295,15 @@ def _rooted(sigs: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id`` (smallest
-    id reachable by links) and ``text_key`` (xxhash64 of the text)."""
+    id reachable by links), ``text_key`` (xxhash64 of the text) and ``first``
+    (whether the row is, or repeats, the component's first)."""
     docs = df.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     rows = materialize(_sketches(docs, width, percent).select(
         "_id", "_s.n", F.when(F.col("_s.n") > 0, F.struct("_s.da", "_s.db")).alias("digest"), "_s.low",
-        F.struct(F.col("_id").alias("id"), F.xxhash64("_text").alias("text")).alias("key")))
+        _key("_id", "_text").alias("key")))
     nodes = materialize(with_rid(
         rows.where("n > 0").groupBy("digest").agg(F.min("_id").alias("least"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("low").alias("low")), "node"))
-    members = rows.select("_id", "n", "digest", F.col("key.text").alias("text_key"))
+    members = rows.select("_id", "n", "digest", "key")
     named = nodes.select("node", "key", "n")
     open_nodes = nodes.where(F.size("low") > 0)
     lists = materialize(_lists(_low_rows(open_nodes)))
@@ -341,10 +347,28 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         links = _verified(pairs, docs, named, width, percent)
         edges = links if edges is None else edges.union(links)
         roots = components(edges)
-    labelled = (nodes.select("node", "digest", "least").join(roots, "node", "left")
+    labelled = (nodes.select("node", "digest", "least", "key").join(roots, "node", "left")
                 .withColumn("root", F.coalesce("root", "node")))
-    names = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_digest = labelled.join(names, "root").select("digest", F.col("component_id"))
+    names = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.min("key").alias("head"))
+    by_digest = labelled.join(names, "root").select("digest", "component_id", "head")
+    blank = F.col("digest").isNull()
     return (members.join(by_digest, "digest", "left")
             .select(F.col("_id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("digest").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"), "text_key"))
+                    F.when(blank, F.col("_id")).otherwise(F.col("component_id")).alias("component_id"),
+                    F.col("key.text").alias("text_key"), (blank | F.col("key").eqNullSafe(F.col("head"))).alias("first")))
+
+
+def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``df`` without the rows that follow another of their component.  Rows
+    that repeat id and text are one document and leave one row; blank texts
+    are linked with nothing and all stay.  Only the ids to drop are joined."""
+    found = materialize(jaccard_components(df, doc_id, text, **options))
+    later, count = _counted(found.where(~F.col("first")).select("doc_id", "text_key").distinct())
+    told = _small(later.select(F.col("doc_id").alias("_later_id"), F.col("text_key").alias("_later_text")), count)
+    same = (F.xxhash64(F.col(text)) == F.col("_later_text")) & F.col(doc_id).eqNullSafe(F.col("_later_id"))
+    kept = df.join(told, same, "left_anti")
+    repeated = found.where("first and n_shingles > 0").groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
+    if not repeated:
+        return kept
+    blank = F.coalesce(F.length(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", "")), F.lit(0)) == 0
+    return kept.where(blank).union(kept.where(~blank).dropDuplicates([doc_id, text]))
