@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiersmith.llm import bpe, jaccard_join, langid, packing, pu_quality, quality_rules
+from tiersmith.llm import bpe, jaccard_join, kd_shards, langid, license_scan, norm_topk, packing, pu_quality, quality_rules, url_filter
 from tiersmith.llm.common import held_out, json_bytes, table
 
 
@@ -17,6 +17,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Dimensions that equal texts share: their rows are near each other in the tree.
+    placed = kd_shards.kd_shards(table(spark, sf_dir, "documents"), ["doc_id"], shards=8, dims=["n_chars", "lang"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_topk.exact_topk(table(spark, sf_dir, "embeddings"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_texts(docs, json_bytes(tokenizer_path("word_bpe_49k.json"))).select("doc_id", "bpe.*")
@@ -32,6 +47,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit_crf(docs)
@@ -50,8 +69,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op5_best_fit_packing, op6_quality_rules, op8_language_id, op9_quality_classifier, op10_ngram_jaccard_join)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_kd_tree_sharding, op2_license_scan, op3_exact_topk, op4_bpe, op5_best_fit_packing, op6_quality_rules,
+    op7_url_filter, op8_language_id, op9_quality_classifier, op10_ngram_jaccard_join)}
 
+# None of these can be expressed in SQL: see tests/llm for their brute-force versions.
 ORACLES: dict[str, str] = {}
