@@ -14,10 +14,13 @@ runs out of rare tokens it is extended through the frequent ones.
    ``RARE`` nodes are frequent.  Any token set gives right results as
    "frequent", it only has to be the same for all nodes.
 3. Nodes that keep too few rare tokens are extended over their whole sets.
-4. Candidates are verified on whole sets.  Each list first proposes its first
-   node with all others, then its last, and then all pairs that are still in
-   different components, so no link that joins two components is lost, and
-   groups of near copies are not compared all with all.
+4. Each list first proposes its first node with all others, so groups of near
+   copies are not compared all with all; while long lists still hold several
+   components, other nodes take that place; at last all pairs that are still in
+   different components are proposed, so no link that joins two is lost.
+   Candidates drop out if the low ends of their orders, of which both nodes
+   know all tokens, already differ too much; the others are verified on whole
+   sets.
 5. Components come from alternating large and small stars.
 
 Defined cases: null and blank texts have no tokens and stay alone; texts with
@@ -43,6 +46,10 @@ WIDTH, PERCENT = 4, 85
 RARE = 16
 # Sizes from which frequent tokens are dealt into so many groups (1: indexed alone, none lost).
 GROUPS = ((0, 1), (24, 16), (400, 256))
+# Lists longer than this that still hold several components get another star, up to so many times.
+LONG_LIST, STARS = 4 * RARE, 8
+# Tokens are 63-bit hashes; the index and the low ends keep their top 48 bits (equal ones only add candidates).
+TOKEN_BYTES, TOKEN_SHIFT = 6, 15
 # Rows up to which a side of a join is broadcast (about 16 bytes each).
 BROADCAST_ROWS = 1_000_000
 CHUNK_WORDS = 400_000
@@ -63,7 +70,7 @@ def misses(n, percent: int = PERCENT):
 
 
 def token_sets(texts, width: int = WIDTH) -> Iterator[np.ndarray]:
-    """Sorted distinct n-gram hashes (unsigned) of each text, in order."""
+    """Sorted distinct n-gram hashes (63 bits) of each text, in order."""
     waiting: list[list[bytes]] = []
     words = 0
 
@@ -75,7 +82,7 @@ def token_sets(texts, width: int = WIDTH) -> Iterator[np.ndarray]:
         shifted = np.zeros(len(hashes), np.uint64)
         for j in range(width):
             shifted[: len(hashes) - j] += hashes[j:] * _MUL[j % len(_MUL)] + np.uint64(j)
-        grams = _mix(shifted)
+        grams = _mix(shifted) >> np.uint64(1)
         at = 0
         for ws in waiting:
             n = len(ws)
@@ -85,7 +92,7 @@ def token_sets(texts, width: int = WIDTH) -> Iterator[np.ndarray]:
                 h = np.uint64(n)
                 for x in hashes[at: at + n]:
                     h = _mix(np.array([h * _MUL[4] + x]))[0]
-                yield np.array([h], np.uint64)
+                yield np.array([h >> np.uint64(1)], np.uint64)
             else:
                 yield np.zeros(0, np.uint64)
             at += n
@@ -101,6 +108,16 @@ def token_sets(texts, width: int = WIDTH) -> Iterator[np.ndarray]:
         yield from flush()
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    return (tokens >> np.uint64(TOKEN_SHIFT)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+
+
+def _unpacked(raw) -> np.ndarray:
+    wide = np.zeros((len(raw) // TOKEN_BYTES, 8), np.uint8)
+    wide[:, :TOKEN_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, TOKEN_BYTES)
+    return wide.view("<i8").ravel()
+
+
 def _sketches(df: DataFrame, width: int, percent: int) -> DataFrame:
     """Per document: size of its set, a digest of it, and the low end of its order."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -113,10 +130,10 @@ def _sketches(df: DataFrame, width: int, percent: int) -> DataFrame:
                 with np.errstate(over="ignore"):
                     a = _mix(np.array([(s * _MUL[5]).sum(dtype=np.uint64) + np.uint64(n)])).view(np.int64)[0]
                     b = _mix(np.array([_mix(s + _MUL[6]).sum(dtype=np.uint64)])).view(np.int64)[0]
-                rows.append((n, a, b, low.view(np.int64)))
+                rows.append((n, a, b, _packed(low)))
             yield pd.DataFrame(rows, columns=["n", "da", "db", "low"])
 
-    return df.withColumn("_s", F.pandas_udf(run, "n long, da long, db long, low array<long>")("_text"))
+    return df.withColumn("_s", F.pandas_udf(run, "n long, da long, db long, low binary")("_text"))
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, count: int, width: int) -> DataFrame:
@@ -146,18 +163,18 @@ def _counted(df: DataFrame) -> tuple[DataFrame, int]:
     return df, df.count()
 
 
-def _low_rows(nodes: DataFrame) -> DataFrame:
-    """(token, node) of the low ends; a token of over ``RARE`` nodes in one
-    batch gives a single row without a node."""
+def _low_rows(nodes: DataFrame, fold: bool) -> DataFrame:
+    """(token, node) of the low ends; with ``fold`` a token of over ``RARE``
+    nodes in one batch gives a single row without a node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("low")
-            sizes = np.diff(lists.offsets.to_numpy())
-            tokens = lists.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(batch.column("node").to_numpy(), sizes)
-            distinct, code, many = np.unique(tokens, return_inverse=True, return_counts=True)
-            few = many[code] <= RARE
-            hot = distinct[many > RARE]
+            lists = batch.column("low").to_pylist()
+            tokens = _unpacked(b"".join(lists))
+            owner = np.repeat(batch.column("node").to_numpy(), [len(x) // TOKEN_BYTES for x in lists])
+            few, hot = np.ones(len(tokens), bool), tokens[:0]
+            if fold:
+                distinct, code, many = np.unique(tokens, return_inverse=True, return_counts=True)
+                few, hot = many[code] <= RARE, distinct[many > RARE]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([tokens[few], hot])),
                 pa.concat_arrays([pa.array(owner[few]), pa.nulls(len(hot), pa.int64())])], ["token", "node"])
@@ -203,10 +220,11 @@ def _extended(sets: DataFrame, percent: int) -> DataFrame:
             out = []
             for tokens, frequent in zip(*batch):
                 s = np.asarray(tokens, np.int64).view(np.uint64)
-                hot = np.isin(s, np.asarray(frequent if frequent is not None else [], np.int64).view(np.uint64))
+                short = (s >> np.uint64(TOKEN_SHIFT)).view(np.int64)
+                hot = np.isin(short, np.asarray(frequent if frequent is not None else [], np.int64))
                 n = len(s)
                 need = misses(n, percent) + 1
-                alone, rest = s[~hot][:need], s[hot]
+                alone, rest = short[~hot][:need], s[hot]
                 pairs: list[np.ndarray] = []
                 if len(alone) < need:
                     # The spaces of all sizes that a partner may have.
@@ -215,7 +233,7 @@ def _extended(sets: DataFrame, percent: int) -> DataFrame:
                     for (low, groups), high in zip(GROUPS, bounds[1:]):
                         if most >= low and least < high:
                             pairs.append(_combinations(rest, need - len(alone), groups))
-                out.append(([*alone.view(np.int64).tolist()], np.concatenate(pairs).view(np.int64).tolist() if pairs else []))
+                out.append((alone.tolist(), np.concatenate(pairs).view(np.int64).tolist() if pairs else []))
             yield pd.DataFrame(out, columns=["alone", "pairs"])
 
     udf = F.pandas_udf(run, "alone array<long>, pairs array<long>")
@@ -244,16 +262,39 @@ def _combinations(tokens: np.ndarray, need: int, groups: int) -> np.ndarray:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes and low ends allow a link.
+
+    Up to the smaller of the last tokens of two low ends, both nodes' tokens
+    are all known; those that only one has must fit the difference allowed."""
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for n, x, m, y in zip(*batch):
+                x, y = _unpacked(x), _unpacked(y)
+                last = min([t[-1] for t, size in ((x, n), (y, m)) if len(t) < size], default=None)
+                if last is not None:  # tokens that equal the last one in their kept bits may go on beyond it
+                    x, y = x[x < last], y[y < last]
+                apart = len(x) + len(y) - 2 * int(np.isin(x, y).sum())
+                out.append(apart * (100 + percent) <= (100 - percent) * (n + m))
+            yield pd.Series(out, dtype=bool)
+
+    pairs, _ = _counted(pairs)
+    wanted, count = _counted(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    low = nodes.select("node", "n", "low").join(_small(wanted, count), "node")
+    both = (pairs.join(low.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("low").alias("la")), "a")
+            .join(low.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("low").alias("lb")), "b")
+            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    return materialize(both.where(F.pandas_udf(run, "boolean")("na", "la", "nb", "lb")).select("a", "b", "na", "nb"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different nodes that link, checked on whole sets."""
-    sized = (pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-             .join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-             .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    sized, _ = _counted(sized)
-    wanted, count = _counted(sized.select(F.col("a").alias("node")).union(sized.select("b")).distinct()
-                             .join(nodes.select("node", "key"), "node"))
+    near = _near(pairs, nodes, percent)
+    wanted, count = _counted(near.select(F.col("a").alias("node")).union(near.select("b")).distinct())
+    wanted = materialize(nodes.select("node", "key").join(_small(wanted, count), "node"))
     sets = materialize(_sets(docs, wanted, count, width))
-    both = (sized.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+    both = (near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
             .withColumn("shared", F.size(F.array_intersect("ta", "tb"))))
     return materialize(both.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"))
@@ -279,17 +320,26 @@ def components(edges: DataFrame) -> DataFrame:
     return materialize(stars.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node"))
 
 
-def _star_pairs(sigs: DataFrame, pick) -> DataFrame:
-    """Each list's picked node with the others of the list that are in other components."""
-    heads = (sigs.groupBy("sig").agg(pick(F.struct("node", "root")).alias("h"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+def _star_pairs(sigs: DataFrame, salt: int) -> DataFrame:
+    """Each list's first node (by a hash of ``salt``, or by itself) with the
+    others of the list that are in other components."""
+    order = F.col("node") if not salt else F.xxhash64(F.lit(salt), "node")
+    heads = (sigs.groupBy("sig").agg(F.min_by(F.struct("node", "root"), order).alias("h"), F.min("root").alias("r0"), F.max("root").alias("r1"))
              .where("r0 < r1").select("sig", F.col("h.node").alias("a"), F.col("h.root").alias("ra")))
     met = sigs.join(heads, "sig").where("root <> ra")
     return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
-def _rooted(sigs: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return sigs.withColumn("root", F.col("node"))
+def _first_pairs(sigs: DataFrame) -> DataFrame:
+    heads = sigs.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select("sig", "a")
+    return sigs.join(heads, "sig").where("node > a").select("a", F.col("node").alias("b")).distinct()
+
+
+def _short_tokens(sets: DataFrame) -> DataFrame:
+    return sets.select("node", F.explode(F.transform("tokens", lambda t: F.shiftright(t, TOKEN_SHIFT))).alias("token"))
+
+
+def _rooted(sigs: DataFrame, roots: DataFrame) -> DataFrame:
     return sigs.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -304,49 +354,50 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     nodes = materialize(with_rid(
         rows.where("n > 0").groupBy("digest").agg(F.min("_id").alias("least"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("low").alias("low")), "node"))
     members = rows.select("_id", "n", "digest", "key")
-    named = nodes.select("node", "key", "n")
-    open_nodes = nodes.where(F.size("low") > 0)
-    lists = materialize(_lists(_low_rows(open_nodes)))
+    open_nodes = nodes.where(F.length("low") > 0)
+    lists = materialize(_lists(_low_rows(open_nodes, True)))
     frequent, many = _counted(lists.where("node is null").select("token"))
-    low = open_nodes.select("node", F.explode("low").alias("token"))
-    sigs = lists.where("node is not null").select(F.col("token").alias("sig"), "node", F.lit(True).alias("alone"))
+    low = _low_rows(open_nodes, False)
+    sigs = lists.where("node is not null").select(F.col("token").alias("sig"), "node")
 
     def short_of_rare(tokens: DataFrame, count: int) -> DataFrame:
         """Nodes whose low end keeps too few rare tokens for a prefix."""
         met = low.join(_small(tokens, count), "token").groupBy("node").agg(F.count(F.lit(1)).alias("f"))
         need = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-        return (open_nodes.select("node", "key", "n", F.size("low").alias("k")).join(met, "node")
+        return (open_nodes.select("node", "key", "n", (F.length("low") / TOKEN_BYTES).alias("k")).join(met, "node")
                 .where(F.col("k") - F.col("f") < need).select("node", "key"))
 
     if many:
         some, count = _counted(short_of_rare(frequent, many))
-        whole = _sets(docs, some, count, width).select("node", F.explode("tokens").alias("token"))
+        whole = _short_tokens(_sets(docs, some, count, width))
         more = whole.groupBy("token").count().where(F.col("count") > RARE).select("token")
         frequent, many = _counted(frequent.union(more).distinct())
         some, count = _counted(short_of_rare(frequent, many))
         sets = materialize(_sets(docs, some, count, width))
-        hits = (sets.select("node", F.explode("tokens").alias("token")).join(_small(frequent, many), "token")
+        hits = (_short_tokens(sets).join(_small(frequent, many), "token")
                 .groupBy("node").agg(F.collect_list("token").alias("frequent")))
         own = materialize(_extended(sets.join(hits, "node", "left"), percent))
         alone, count = _counted(own.where("alone").select(F.col("sig").alias("token")).distinct())
-        met = low.join(_small(alone, count), "token").select(F.col("token").alias("sig"), "node", F.lit(True).alias("alone"))
-        sigs = sigs.union(own.select("sig", "node", "alone")).union(met)
-    sigs = materialize(sigs.select("sig", "node").distinct())
-    edges, roots = None, None
-    for pick in (F.min, F.max, None):
+        met = low.join(_small(alone, count), "token").select(F.col("token").alias("sig"), "node")
+        sigs = sigs.union(own.select("sig", "node")).union(met).distinct()
+    sigs = materialize(sigs)
+    edges = _verified(_first_pairs(sigs), docs, nodes, width, percent)
+    roots = components(edges)
+    for star in range(1, STARS):
         live = _rooted(sigs, roots)
-        if pick is not None:
-            pairs = _star_pairs(live, pick)
-        else:
-            mixed = live.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("sig")
-            live = live.join(mixed, "sig").join(named.select("node", "n"), "node")
-            a, b = (live.select("sig", *[F.col(c).alias(c + x) for c in ("node", "root", "n")]) for x in "ab")
-            pairs = (a.join(b, "sig").where("nodea < nodeb and roota <> rootb")
-                     .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-                     .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
-        links = _verified(pairs, docs, named, width, percent)
-        edges = links if edges is None else edges.union(links)
+        mixed = live.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c")).where("r0 < r1")
+        mixed = materialize(mixed.select("sig", "c"))
+        long = mixed.where(F.col("c") > LONG_LIST).select("sig")
+        if not long.limit(1).count():
+            break
+        edges = edges.union(_verified(_star_pairs(live.join(long, "sig"), star), docs, nodes, width, percent))
         roots = components(edges)
+    live = _rooted(sigs, roots).join(mixed.select("sig"), "sig").join(nodes.select("node", "n"), "node")
+    a, b = (live.select("sig", *[F.col(c).alias(c + x) for c in ("node", "root", "n")]) for x in "ab")
+    rest = (a.join(b, "sig").where("nodea < nodeb and roota <> rootb")
+            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+            .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
+    roots = components(edges.union(_verified(rest, docs, nodes, width, percent)))
     labelled = (nodes.select("node", "digest", "least", "key").join(roots, "node", "left")
                 .withColumn("root", F.coalesce("root", "node")))
     names = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.min("key").alias("head"))
