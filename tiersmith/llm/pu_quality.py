@@ -138,8 +138,9 @@ def _features_udf():
 
 
 def _matrix(rows: DataFrame) -> np.ndarray:
-    """Features of a bounded sample on the driver (a few MB; no texts)."""
-    got = [r[0] for r in rows.select(_features_udf()("_text")).collect()]
+    """Features of a bounded sample on the driver (a few MB; no texts), in an
+    order of their own, so that fitting does not depend on how rows arrive."""
+    got = sorted(r[0] for r in rows.select(_features_udf()("_text")).collect())
     return np.array(got, np.float32).reshape(-1, N_FEATURES)
 
 
