@@ -9,9 +9,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted text layouts, tried in this order (day first, then
-# month first); ISO ``yyyy-MM-dd`` is accepted last through a plain date cast.
-# Single pattern letters accept both padded and unpadded fields.
+# month first).  Single pattern letters accept padded and unpadded fields.
 DAY_FIRST_FORMATS = ("d/M/yyyy", "M/d/yyyy")
+# Further layouts, told apart by shape: a whole-text pattern and
+# the format of the part it captures.
+SHAPED_FORMATS = (
+    (r"^(\d{4}-\d{1,2}-\d{1,2})([ T]\d{1,2}:\d{2}(:\d{2})?)?$", "yyyy-M-d"),
+    (r"^(\d{1,2}-\d{1,2}-\d{4})$", "d-M-yyyy"),
+    (r"^(\d{1,2}\.\d{1,2}\.\d{4})$", "d.M.yyyy"),
+    (r"^(\d{1,2}/\d{1,2}/\d{2})$", "d/M/yy"),
+    (r"^([A-Z][a-z]{2} \d{1,2}, \d{4})$", "MMM d, yyyy"),
+)
+_WITH_TIME = r"^(\d{1,2}/\d{1,2}/\d{4}) \d{1,2}:\d{2}(:\d{2})?$"
 
 ColumnOrName = Column | str
 
@@ -25,15 +34,18 @@ def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS, is
 
     ``12/01/2018`` -> 2018-01-12 (day first), ``12/30/2018`` -> 2018-12-30
     (month-first fallback), ``2018-12-05`` -> itself, ``31/02/2018`` -> null.
-    With ``iso_fallback`` a text no layout fits is finally cast as a date.
+    ``iso_fallback`` also accepts ISO dates and the other layouts of
+    ``SHAPED_FORMATS``, and a time of day after the date, which is dropped.
+    Two-digit years are 2000 to 2099.  ``2018`` and ``2018-12-05 x`` are null.
     """
     c = _col(c)
     if tuple(formats) == DAY_FIRST_FORMATS:
-        attempts = _day_or_month_first(c)
+        plain = F.when(c.rlike(_WITH_TIME), F.regexp_extract(c, _WITH_TIME, 1)).otherwise(c) if iso_fallback else c
+        attempts = _day_or_month_first(plain)
     else:
         attempts = [F.try_to_date(c, fmt) for fmt in formats]
     if iso_fallback:
-        attempts.append(F.try_to_date(c))
+        attempts += [F.when(c.rlike(shape), F.try_to_date(F.regexp_extract(c, shape, 1), fmt)) for shape, fmt in SHAPED_FORMATS]
     return F.coalesce(*attempts)
 
 
@@ -44,8 +56,9 @@ def _day_or_month_first(c: Column) -> list[Column]:
     # and if it is above 12 only month-first can.  A failed parse costs far
     # more than this integer test.
     middle = F.get(F.split(c, "/"), 1).try_cast("int")
-    return [F.when(middle <= 12, F.try_to_date(c, DAY_FIRST_FORMATS[0])),
-            F.when(middle > 12, F.try_to_date(c, DAY_FIRST_FORMATS[1]))]
+    long_year = F.length(F.get(F.split(c, "/"), 2)) >= 4
+    return [F.when((middle <= 12) & long_year, F.try_to_date(c, DAY_FIRST_FORMATS[0])),
+            F.when((middle > 12) & long_year, F.try_to_date(c, DAY_FIRST_FORMATS[1]))]
 
 
 def parse_date_or_fail(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS) -> Column:

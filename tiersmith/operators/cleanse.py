@@ -77,21 +77,36 @@ SILVER_CASTS = {"row_id": "bigint", "sales": "double", "quantity": "bigint",
                 "discount": "double", "profit": "double"}
 
 
+# Columns that order copies of one row after their dates, before all others.
+TIE_BREAK = ("Order ID", "Product ID", "Sales")
+
+
+def dated_lines(df: DataFrame, row_key: str = "Row ID", order_date: str = "Order Date", ship_date: str = "Ship Date") -> DataFrame:
+    """Trimmed lines with parsed dates, the key ``_row`` (the numeric row id),
+    ``_own`` (a number of its own for each line without a usable row id, so
+    that such lines never form a group) and ``_ship`` (the ship date unless it
+    precedes the order date)."""
+    validate_required_columns(df, [row_key, order_date, ship_date])
+    parsed = parse_date_columns(trim_strings(df), [order_date, ship_date])
+    numbered = parsed.withColumn("_row", safe_cast(row_key, "bigint")).withColumn("_number", F.monotonically_increasing_id())
+    return (numbered.withColumn("_own", F.when(F.col("_row").isNull(), F.col("_number"))).drop("_number")
+            .withColumn("_ship", F.when(F.col(ship_date) >= F.col(order_date), F.col(ship_date))))
+
+
 def deduplicated_lines(
     df: DataFrame,
     row_key: str = "Row ID",
     order_date: str = "Order Date",
     ship_date: str = "Ship Date",
-    group_size_col: str | None = None,
 ) -> DataFrame:
-    """Steps 1-3 and 6 of :func:`cleanse`: trimmed, one row per key, dates
-    parsed, typed, snake_case -- before any row is dropped.  Shared by the
-    cleanse and its metrics so both see the same survivors."""
-    validate_required_columns(df, [row_key, order_date, ship_date])
-    trimmed = trim_strings(df)
-    deduped = first_rows(trimmed, [row_key], group_size_col=group_size_col)
-    parsed = parse_date_columns(deduped, [order_date, ship_date])
-    renamed = snake_case_columns(parsed)
+    """Steps 1-3 and 6 of :func:`cleanse`: trimmed, dates parsed, one line per
+    row id, typed, snake_case -- before any line is dropped.  Of the copies of
+    a row id the one with the earliest valid dates survives; lines without a
+    usable row id are all kept, with a null id."""
+    lines = dated_lines(df, row_key, order_date, ship_date)
+    dates = [order_date, "_ship", ship_date]
+    deduped = first_rows(lines, ["_row", "_own"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], nulls_last=dates)
+    renamed = snake_case_columns(deduped.drop("_row", "_own", "_ship"))
     return renamed.withColumns({c: safe_cast(c, t) for c, t in SILVER_CASTS.items() if c in renamed.columns})
 
 
@@ -105,8 +120,10 @@ def cleanse(
     """Bronze (source-named) rows -> silver rows, lazily:
 
     1. every string column stripped of edge whitespace;
-    2. one row per ``row_key`` (first by all other columns, deterministic);
-    3. dates parsed day first with month-first and ISO fallbacks, bad -> null;
+    2. dates parsed day first with month-first and ISO fallbacks, bad -> null;
+    3. one row per numeric ``row_key``: earliest order date, then earliest ship
+       date not before it, missing dates last, then ``TIE_BREAK`` and all other
+       columns; lines without a usable key stay, each for itself;
     4. rows without an order date dropped (``strict``: also rows missing ship
        date, sales or quantity);
     5. ship dates before the order date set to null;

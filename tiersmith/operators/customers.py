@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import months_before
 from tiersmith.functions.text import first_name, last_token, rest_name
+from tiersmith.session import shared_dir
 
 # Gold customer columns, in order.
 GOLD_CUSTOMER_COLUMNS = (
@@ -88,7 +89,9 @@ def customer_metrics(
 
     Counts distinct non-null ``order_id`` overall and in each trailing window
     ``order_date >= anchor - n months`` (``>`` when ``inclusive=False``).
-    ``anchor=None`` uses the latest order date in ``df``.  Attributes are the
+    ``anchor=None`` uses the latest order date in ``df``, which reads ``df`` a
+    second time; pass the date, or :func:`anchor_date` of a narrower table,
+    where there is one.  Attributes are the
     first non-null value by ``tie_break``.  ``keep_order_dates`` adds
     ``first_order_date`` / ``latest_order_date`` (used to partition the table).
     """
@@ -133,22 +136,28 @@ def customer_metrics(
 
 def customer_left_join(df: DataFrame, anchor=None, months: Sequence[int] = (1, 6),
                        tie_break: Sequence[str] = ("order_date", "row_id")) -> DataFrame:
-    """The reference's shape, kept as a user-level operator: attributes left-
-    joined with one count-distinct aggregate per window, missing counts 0.
-    Prefer :func:`customer_metrics` (same result, no joins)."""
-    lines = df.filter(F.col("customer_id").isNotNull())
+    """The join form, kept as a user-level operator: attributes left-joined
+    with one count aggregate per window, missing counts 0.  Every side comes
+    from one written table of a row per (customer, order), so the lines are
+    read once.  Prefer :func:`customer_metrics` (same result, no joins)."""
+    tie = [c for c in tie_break if c in df.columns]
+    shared_dir(df.sparkSession)  # a checkpoint folder is needed
+    orders = df.groupBy("customer_id", "order_id").agg(
+        F.max("order_date").alias("_last"), *[_earliest_non_null(a, tie).alias(f"_{a}") for a in _ATTRIBUTES],
+    ).checkpoint()
     if anchor is None:
-        anchor = anchor_date(df)
-    attrs = parse_names(lines.groupBy("customer_id").agg(
-        *[_earliest_non_null(a, [c for c in tie_break if c in df.columns]).alias(f"_{a}") for a in _ATTRIBUTES]
+        anchor = orders.select(F.max("_last")).scalar()
+    orders = orders.filter(F.col("customer_id").isNotNull())
+    attrs = parse_names(orders.groupBy("customer_id").agg(
+        *[F.min(f"_{a}").alias(f"_{a}") for a in _ATTRIBUTES]
     ).withColumn("customer_name", F.col("_customer_name.v"))).select(
         "customer_id", "customer_first_name", "customer_last_name",
         F.col("_segment.v").alias("customer_segment"), F.col("_country.v").alias("country"))
     out = attrs
     for m in months:
-        w = lines.filter(F.col("order_date") >= months_before(anchor, m)).groupBy("customer_id").agg(
-            F.count_distinct("order_id").cast("bigint").alias(window_column(m)))
+        w = orders.filter(F.col("_last") >= months_before(anchor, m)).groupBy("customer_id").agg(
+            F.count("order_id").cast("bigint").alias(window_column(m)))
         out = out.join(w, "customer_id", "left")
-    total = lines.groupBy("customer_id").agg(F.count_distinct("order_id").cast("bigint").alias("orders_total"))
+    total = orders.groupBy("customer_id").agg(F.count("order_id").cast("bigint").alias("orders_total"))
     out = out.join(total, "customer_id", "left")
     return out.fillna(0, subset=[window_column(m) for m in months] + ["orders_total"])

@@ -1,8 +1,9 @@
 """Deterministic "first row per key" and duplicate accounting.
 
 The survivor of each key group is the row that sorts first by ``order_by``
-and then by every remaining column (ascending, nulls first), so the result
-never depends on input order or partitioning.  It is computed as
+and then by every remaining column (ascending; nulls first, but last in the
+``nulls_last`` columns), so the result never depends on input order or
+partitioning.  It is computed as
 ``min(struct(order_by..., rest...))`` grouped by the key: Spark aggregates
 partially on the map side before the shuffle, so a key holding a large share
 of all rows reaches the reducer as at most one row per input partition.
@@ -21,6 +22,7 @@ def first_rows(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     group_size_col: str | None = None,
+    nulls_last: Sequence[str] = (),
 ) -> DataFrame:
     """One row per distinct ``keys`` (null keys form one group, as in
     ``dropDuplicates``), keeping the first row in the total order
@@ -31,7 +33,8 @@ def first_rows(
     keys = list(keys)
     order = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.min(F.struct(*order, *rest)).alias("_first")
+    ranked = [x for c in order for x in ([F.col(c).isNull().alias(f"_no_{c}"), F.col(c)] if c in nulls_last else [F.col(c)])]
+    packed = F.min(F.struct(*ranked, *[F.col(c) for c in rest])).alias("_first")
     aggs = [packed]
     if group_size_col:
         aggs.append(F.count(F.lit(1)).alias(group_size_col))

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tiersmith.functions.text import snake_case
-from tiersmith.operators.cleanse import deduplicated_lines
+from tiersmith.operators.cleanse import dated_lines
 from tiersmith.operators.dedup import _long
 
 
@@ -38,22 +37,26 @@ def cleanse_metrics(
 ) -> DataFrame:
     """Silver run metrics as ``(metric, value bigint)`` rows.
 
-    Computed over exactly the survivors :func:`cleanse` keeps (same dedup
-    step), which also carries each survivor's group size: one shuffle and one
-    global aggregate; the source is not scanned twice.
+    The survivors of :func:`cleanse` are chosen by their dates first, so the
+    key and the dates are all that is read and shuffled: one aggregation per
+    key (partial before the shuffle) and one global one.
     """
-    lines = deduplicated_lines(source, row_key, order_date, ship_date, group_size_col="source_rows")
-    od, sd = F.col(snake_case(order_date)), F.col(snake_case(ship_date))
-    one = lines.agg(
-        F.sum("source_rows").alias("source_records"),
-        F.sum(F.col("source_rows") - 1).alias("duplicates_removed"),
-        F.count_if(od.isNull()).alias("invalid_order_dates"),
-        F.count_if(sd.isNull()).alias("invalid_ship_dates"),
-        F.count_if(od.isNull()).alias("null_order_dates_removed"),
-        F.count_if(od.isNotNull() & (sd < od)).alias("invalid_ship_dates_before_order"),
-        F.count_if(od.isNotNull()).alias("final_records"),
+    lines = dated_lines(source.select(row_key, order_date, ship_date), row_key, order_date, ship_date)
+    order, ship = F.col(order_date), F.col(ship_date)
+    first = F.min(F.struct(order.isNull(), order.alias("o"), F.col("_ship").isNull(), F.col("_ship"), ship.isNull(), ship.alias("s")))
+    kept = lines.groupBy("_row", "_own").agg(first.alias("f"), F.count(F.lit(1)).alias("n"))
+    o, s = F.col("f.o"), F.col("f.s")
+    one = kept.agg(
+        F.sum("n").alias("source_records"),
+        F.sum(F.col("n") - 1).alias("duplicates_removed"),
+        F.count_if(F.col("_row").isNull()).alias("invalid_row_ids"),
+        F.count_if(o.isNull()).alias("invalid_order_dates"),
+        F.count_if(s.isNull()).alias("invalid_ship_dates"),
+        F.count_if(o.isNull()).alias("null_order_dates_removed"),
+        F.count_if(o.isNotNull() & (s < o)).alias("invalid_ship_dates_before_order"),
+        F.count_if(o.isNotNull()).alias("final_records"),
     ).withColumn("records_removed", F.col("source_records") - F.col("final_records"))
-    return _long(one, ["source_records", "duplicates_removed", "invalid_order_dates", "invalid_ship_dates",
+    return _long(one, ["source_records", "duplicates_removed", "invalid_row_ids", "invalid_order_dates", "invalid_ship_dates",
                        "null_order_dates_removed", "invalid_ship_dates_before_order", "final_records",
                        "records_removed"])
 

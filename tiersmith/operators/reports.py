@@ -39,7 +39,8 @@ def customer_summary(customers: DataFrame) -> DataFrame:
 
 
 def active_customers(customers: DataFrame) -> DataFrame:
-    """Customers with orders in the last month / 6 months, and their share (%)."""
+    """Customers with orders in the last month / 6 months, and their share (%;
+    null without customers)."""
     n = F.count(F.lit(1))
     m1 = F.count_if(F.col("orders_last_month") > 0)
     m6 = F.count_if(F.col("orders_last_6_months") > 0)
@@ -47,8 +48,8 @@ def active_customers(customers: DataFrame) -> DataFrame:
         n.cast("bigint").alias("customers"),
         m1.cast("bigint").alias("active_last_month"),
         m6.cast("bigint").alias("active_last_6_months"),
-        F.round(m1.cast("double") * 100 / n, 4).alias("pct_active_last_month"),
-        F.round(m6.cast("double") * 100 / n, 4).alias("pct_active_last_6_months"),
+        F.round(F.try_divide(m1.cast("double") * 100, n), 4).alias("pct_active_last_month"),
+        F.round(F.try_divide(m6.cast("double") * 100, n), 4).alias("pct_active_last_6_months"),
     )
 
 

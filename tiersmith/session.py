@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,10 +53,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for tables this library writes and reads back.
 
     On a cluster this is the shared ``spark.checkpoint.dir`` named by the
-    deployment (every executor and the driver can reach it).  Only when the
-    session names none -- local runs and tests -- a private folder is created
-    and registered as the checkpoint directory, so ``DataFrame.checkpoint``
-    works too.
+    deployment (every executor and the driver can reach it); a session on a
+    cluster that names none is refused, since a folder of the driver's machine
+    would be out of the executors' reach.  Only a local session without one
+    gets a private folder, registered as the checkpoint directory, so that
+    ``DataFrame.checkpoint`` works too.
+
+    What is written here belongs to the caller: tables under ``tables/`` stay
+    until the owner of the folder clears it; Spark removes checkpoints itself
+    with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
@@ -63,6 +69,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {master} share")
     local = tempfile.mkdtemp(prefix="tiersmith-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -89,11 +98,12 @@ def scale_conf(
     task's working set fits executor memory and spills rarely; the initial
     shuffle partition count covers the whole input at that size (at least two
     waves of task slots, at most ``max_shuffle_partitions`` to bound shuffle
-    metadata), and AQE coalesces whatever the partial aggregations shrink.
+    metadata: inputs above that many targets, 51 TB by default, get larger
+    partitions unless the parameter is raised), and AQE coalesces whatever the partial aggregations shrink.
     Skew splitting triggers at four times the target.
 
     100 TB on 1000 executors x 8 cores -> 200,000 initial partitions of
-    ~512 MB input each, coalesced by AQE to ~256 MB shuffle blocks.
+    ~512 MB input each.
     """
     slots = max(1, executors * cores_per_executor)
     wanted = -(-input_bytes // target_partition_bytes)

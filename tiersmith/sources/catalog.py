@@ -9,14 +9,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from tiersmith.session import shared_dir
+
 
 def _f(name: str, dtype, comment: str) -> StructField:
     return StructField(name, dtype, True, {"comment": comment})
 
 
-# The four published table definitions with column comments.
+# Columns and types of the four tables; the comments are this library's.
 PARTITION_FIELDS = [
     _f("year", IntegerType(), "partition year"),
     _f("month", IntegerType(), "partition month"),
@@ -34,7 +37,13 @@ BRONZE_TABLE = StructType([
     _f("Segment", StringType(), "customer segment"),
     _f("Country", StringType(), "country"),
     _f("City", StringType(), "city"),
+    _f("State", StringType(), "state"),
+    _f("Postal Code", StringType(), "postal code (text)"),
+    _f("Region", StringType(), "region"),
     _f("Product ID", StringType(), "product identifier"),
+    _f("Category", StringType(), "product category"),
+    _f("Sub-Category", StringType(), "product sub-category"),
+    _f("Product Name", StringType(), "product name"),
     _f("Sales", DoubleType(), "sales amount"),
     _f("Quantity", StringType(), "quantity as delivered (text)"),
 ] + PARTITION_FIELDS)
@@ -50,7 +59,13 @@ SILVER_TABLE = StructType([
     _f("segment", StringType(), "customer segment"),
     _f("country", StringType(), "country"),
     _f("city", StringType(), "city"),
+    _f("state", StringType(), "state"),
+    _f("postal_code", StringType(), "postal code (text)"),
+    _f("region", StringType(), "region"),
     _f("product_id", StringType(), "product identifier"),
+    _f("category", StringType(), "product category"),
+    _f("sub_category", StringType(), "product sub-category"),
+    _f("product_name", StringType(), "product name"),
     _f("sales", DoubleType(), "sales amount"),
     _f("quantity", LongType(), "quantity"),
 ] + PARTITION_FIELDS)
@@ -84,7 +99,24 @@ TABLE_DEFINITIONS = {
 
 
 def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    """The database, with a folder of its own under the shared one."""
+    where = _quoted(f"{shared_dir(spark)}/databases/{database}.db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{where}'")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _drop_external(spark: SparkSession, database: str, table: str) -> None:
+    """Drop a catalog entry; refuse a table whose files would go with it."""
+    name = f"`{database}`.`{table}`"
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        return
+    kind = spark.catalog.getTable(f"{database}.{table}").tableType
+    if kind not in ("EXTERNAL", "VIEW"):
+        raise ValueError(f"{name} is a {kind} table: dropping it would delete its files")
+    spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} IF EXISTS {name}")
 
 
 def register_table(
@@ -100,12 +132,13 @@ def register_table(
     and load its partitions; returns ``spark.table(...)``.
 
     With ``schema`` the columns and comments are declared; without it they are
-    taken from the files' metadata.  A prior definition of the same name is replaced
-    (only the catalog entry -- the files are external and untouched).
+    taken from the files' metadata.  A prior external definition of the same
+    name is replaced (only the catalog entry; readers find no table between the
+    drop and the new entry); a managed table of that name is refused.
     """
     create_database(spark, database)
     name = f"`{database}`.`{table}`"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _drop_external(spark, database, table)
     if schema is None:
         # columns as the files declare them (footers + partition folders only)
         schema = spark.read.parquet(location).schema
@@ -113,13 +146,11 @@ def register_table(
     if schema is not None:
         defs = []
         for f in schema.fields:
-            c = f.metadata.get("comment", "").replace("'", "\\'")
+            c = _quoted(f.metadata.get("comment", ""))
             defs.append(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{c}'" if c else ""))
         cols = "(" + ", ".join(defs) + ")"
     parts = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
-    note = comment.replace("'", "\\'")
-    where = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} {cols} USING PARQUET {parts} LOCATION '{where}' COMMENT '{note}'")
+    spark.sql(f"CREATE TABLE {name} {cols} USING PARQUET {parts} LOCATION '{_quoted(location)}' COMMENT '{_quoted(comment)}'")
     if partition_by:
         spark.catalog.recoverPartitions(f"{database}.{table}")
     return spark.table(f"{database}.{table}")
@@ -134,37 +165,35 @@ def register_layers(spark: SparkSession, database: str, paths: dict[str, str]) -
     done = []
     for layer, table in names.items():
         if layer in paths:
-            register_table(spark, database, table, paths[layer], comment=f"{layer} layer")
+            register_table(spark, database, table, paths[layer], schema=TABLE_DEFINITIONS[table], comment=f"{layer} layer")
             done.append((f"{database}.{table}", paths[layer]))
     return spark.createDataFrame(done, "table_name string, location string")
 
 
-def add_partitions(spark: SparkSession, database: str, table: str) -> None:
-    """Pick up partition directories written since registration."""
-    spark.catalog.recoverPartitions(f"{database}.{table}")
+def add_partitions(spark: SparkSession, database: str, table: str, days: DataFrame | None = None, location: str | None = None) -> None:
+    """Register partitions written since the table was.  With ``days`` (rows of
+    ``year, month, day``, bounded by the calendar) exactly these, without
+    listing the table's folders; else all folders are listed."""
+    if days is None:
+        spark.catalog.recoverPartitions(f"{database}.{table}")
+        return
+    for r in days.select("year", "month", "day").dropna().distinct().collect():
+        folder = f" LOCATION '{_quoted(f'{location}/year={r.year}/month={r.month}/day={r.day}')}'" if location else ""
+        spark.sql(f"ALTER TABLE `{database}`.`{table}` ADD IF NOT EXISTS PARTITION "
+                  f"(year={int(r.year)}, month={int(r.month)}, day={int(r.day)}){folder}")
 
 
 def table_partitions(spark: SparkSession, database: str, table: str) -> DataFrame:
-    """``SHOW PARTITIONS`` as a frame with int ``year, month, day`` columns."""
+    """``SHOW PARTITIONS`` as a frame with int ``year, month, day`` columns;
+    the partition of rows without a date has nulls."""
     shown = spark.sql(f"SHOW PARTITIONS `{database}`.`{table}`")
-    from pyspark.sql import functions as F
     kv = F.split(F.col("partition"), "/")
     return shown.select(*[
-        F.split(F.get(kv, i), "=").getItem(1).cast("int").alias(name)
+        F.split(F.get(kv, i), "=").getItem(1).try_cast("int").alias(name)
         for i, name in enumerate(("year", "month", "day"))
     ])
 
 
-def catalog_columns(spark: SparkSession, definitions: dict[str, StructType] | None = None) -> DataFrame:
-    """The declared table definitions as rows ``(table_name, position,
-    column_name, data_type, comment)``."""
-    defs = definitions or TABLE_DEFINITIONS
-    rows = [(t, i, f.name, f.dataType.simpleString(), f.metadata.get("comment", ""))
-            for t, s in defs.items() for i, f in enumerate(s.fields)]
-    return spark.createDataFrame(
-        rows, "table_name string, position int, column_name string, data_type string, comment string")
-
-
 def table_columns(spark: SparkSession, database: str, table: str) -> DataFrame:
     """Registered columns: ``(column_name, data_type, is_partition, comment)``."""
     cols = spark.catalog.listColumns(table, database)

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -22,41 +23,69 @@ SOURCE_SCHEMA = StructType([
     StructField("Segment", StringType()),
     StructField("Country", StringType()),
     StructField("City", StringType()),
+    StructField("State", StringType()),
+    StructField("Postal Code", StringType()),
+    StructField("Region", StringType()),
     StructField("Product ID", StringType()),
+    StructField("Category", StringType()),
+    StructField("Sub-Category", StringType()),
+    StructField("Product Name", StringType()),
     StructField("Sales", DoubleType()),
     StructField("Quantity", StringType()),
 ])
 
 PARTITION_COLUMNS = ("year", "month", "day")
+_CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA, multi_line: bool = True,
+             observation: Observation | None = None) -> DataFrame:
     """Header CSV, typed by column *name*: every column is read as text (no
     inference pass over the data), then each column named in ``schema`` is
     ``try_cast`` to its type -- a bad value becomes null instead of failing
     the job.  Optional columns may be absent and extra columns are kept as
-    text; column order in the file does not matter."""
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    text; column order in the file does not matter, but all files of one read
+    must have the same header: a file whose header differs stops the job with
+    its name.
+
+    Fields may be quoted, with quotes doubled inside; with ``multi_line`` they
+    may hold line breaks.  Such a file is not split, so deliver many files
+    rather than one large one, or pass ``False`` for files without line breaks
+    in fields.  ``observation`` receives ``rows`` and ``malformed`` (rows with
+    too few or too many fields) while the files are read."""
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
+              .option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    names = reader.csv(path).columns
+    text = StructType([StructField(c, StringType()) for c in [*names, _CORRUPT]])
+    raw = (reader.schema(text).option("enforceSchema", False).option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
+    if observation is not None:
+        raw = raw.observe(observation, F.count(F.lit(1)).alias("rows"), F.count(_CORRUPT).alias("malformed"))
     types = {f.name: f.dataType for f in schema.fields}
     return raw.select(*[
         (F.col(f"`{c}`").try_cast(types[c]) if not isinstance(types[c], StringType) else F.col(f"`{c}`")).alias(c)
         if c in types else F.col(f"`{c}`")
-        for c in raw.columns
+        for c in names
     ])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV that keeps text exactly (edge whitespace included)."""
-    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+    """Header CSV that keeps text exactly (edge whitespace, quotes and line
+    breaks included)."""
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def read_layer(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_layer(spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: StructType | None = None) -> DataFrame:
     """A parquet layer; ``year/month/day`` directories become int columns.
     ``columns`` re-selects the original order (partition columns come last
-    after a partitioned write)."""
-    df = spark.read.parquet(path)
+    after a partitioned write).  A layer without rows has no files to take a
+    schema from: it is read with the declared ``schema``, if one is given."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as exc:
+        if schema is None or exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        df = spark.read.schema(schema).parquet(path)
     return df.select(*columns) if columns else df
 
 
@@ -76,7 +105,7 @@ def write_partitioned(
     then packs small days together and splits a day that is too large for one
     task into several files, so one hot day never lands in a single task.
     ``dynamic=True`` replaces only the partitions present in ``df`` (daily
-    re-runs); otherwise the whole table is replaced.
+    re-runs); otherwise the whole table is replaced.  ``mode="append"`` adds files.
 
     ``observation`` (a ``pyspark.sql.Observation``) receives ``rows``, the
     number of rows written, and any ``extra_metrics`` aggregate columns.  It
@@ -103,10 +132,10 @@ def write_plain(df: DataFrame, path: str, mode: str = "overwrite", observation=N
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def count_rows(spark: SparkSession, path: str) -> int:
+def count_rows(spark: SparkSession, path: str, schema: StructType | None = None) -> int:
     """Rows of a written parquet layer.  No column is read: Spark answers
     from the row-group metadata in the file footers."""
-    return spark.read.parquet(path).count()
+    return read_layer(spark, path, schema=schema).count()
 
 
 def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_COLUMNS,
@@ -137,13 +166,16 @@ def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = PARTI
 
 def read_first_existing(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Read the first of ``paths`` that exists (e.g. a preferred location
-    with a fallback).  Only the driver lists folders; no data is read here."""
-    from pyspark.errors import AnalysisException
-
+    with a fallback); any other error of that path is raised.  Only the driver
+    lists folders; no data is read here."""
     last: Exception | None = None
     for p in paths:
         try:
-            return read_layer(spark, p, columns)
-        except AnalysisException as exc:  # path does not exist
+            found = spark.read.parquet(p)
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             last = exc
+            continue
+        return found.select(*columns) if columns else found
     raise FileNotFoundError(f"none of {list(paths)} exists") from last

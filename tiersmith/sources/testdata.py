@@ -62,17 +62,28 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of all orders: the narrow source of the anchor of trailing windows."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("order_date"))
+
+
 def _order_date_text() -> Column:
-    # Layout of the order-date text by o_orderkey % 20 --
-    # 0-9 dd/MM/yyyy, 10-11 MM/dd/yyyy, 12-13 ISO, 14-15 unpadded d/M/yyyy,
-    # 16-17 dd/MM/yyyy wrapped in a tab and spaces, 18 31 February, 19 'n/a'.
-    d = F.col("o_orderdate").cast("date")
-    k = F.col("o_orderkey") % 20
-    return (F.when(k < 10, F.date_format(d, "dd/MM/yyyy"))
+    # Layout of the order-date text by k = (order key + part key)
+    # % 20, so that copies of a row id differ -- 0-8 dd/MM/yyyy, 9 dd.MM.yyyy,
+    # 10-11 MM/dd/yyyy, 12 ISO, 13 d-M-yyyy, 14-15 unpadded d/M/yyyy, 16
+    # dd/MM/yyyy with a time, 17 dd/MM/yyyy wrapped in a tab and spaces, 18
+    # 31 February, 19 'n/a'.  Lines of every seventh supplier are dated three
+    # days later, so that a row id lies on several days.
+    d = F.date_add(F.col("o_orderdate").cast("date"), F.when(F.col("l_suppkey") % 7 == 0, 3).otherwise(0))
+    k = (F.col("o_orderkey") + F.col("l_partkey")) % 20
+    return (F.when(k < 9, F.date_format(d, "dd/MM/yyyy"))
+             .when(k == 9, F.date_format(d, "dd.MM.yyyy"))
              .when(k < 12, F.date_format(d, "MM/dd/yyyy"))
-             .when(k < 14, F.date_format(d, "yyyy-MM-dd"))
+             .when(k == 12, F.date_format(d, "yyyy-MM-dd"))
+             .when(k == 13, F.date_format(d, "d-M-yyyy"))
              .when(k < 16, F.date_format(d, "d/M/yyyy"))
-             .when(k < 18, F.concat(F.lit("\t "), F.date_format(d, "dd/MM/yyyy"), F.lit("  ")))
+             .when(k == 16, F.concat(F.date_format(d, "dd/MM/yyyy"), F.lit(" 10:30")))
+             .when(k == 17, F.concat(F.lit("\t "), F.date_format(d, "dd/MM/yyyy"), F.lit("  ")))
              .when(k == 18, F.concat(F.lit("31/02/"), F.date_format(d, "yyyy")))
              .otherwise(F.lit("n/a")))
 
@@ -87,15 +98,27 @@ def _ship_date_text() -> Column:
              .otherwise(F.lit("TBD")))
 
 
+def _product_name() -> Column:
+    # By l_partkey % 8 -- 0 a quoted word and a comma, 1 a line
+    # break, 2 a comma, else plain.
+    n, k = F.col("l_partkey").cast("string"), F.col("l_partkey") % 8
+    return (F.when(k == 0, F.concat(F.lit('Binder 7" wide, "'), n, F.lit('", black')))
+             .when(k == 1, F.concat(F.lit("Desk "), n, F.lit("\nassembled")))
+             .when(k == 2, F.concat(F.lit("Paper, "), n)).otherwise(F.concat(F.lit("Part "), n)))
+
+
 def retail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw feed: source column names, text dates, padded cities (customer key
-    divisible by 9), non-numeric quantity text (part key divisible by 50)."""
+    """Raw feed: source column names, everything but the sales amount as text:
+    dates in mixed layouts, padded cities (customer key divisible by 9),
+    non-numeric quantities (part key divisible by 50) and row ids (part key
+    divisible by 97), product names with quotes, commas and line breaks."""
     city = F.when(F.col("c_custkey") % 9 == 0, F.concat(F.lit("\t"), F.col("n_name"), F.lit("  "))) \
             .otherwise(F.col("n_name"))
     quantity = F.when(F.col("l_partkey") % 50 == 0, F.lit("n/a")) \
                 .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+    row_id = F.when(F.col("l_partkey") % 97 == 0, F.concat(F.lit("A-"), _row_id().cast("string"))).otherwise(_row_id().cast("string"))
     return _joined(spark, sf_dir).select(
-        _row_id().alias("Row ID"),
+        row_id.alias("Row ID"),
         F.col("l_orderkey").cast("string").alias("Order ID"),
         _order_date_text().alias("Order Date"),
         _ship_date_text().alias("Ship Date"),
@@ -105,7 +128,13 @@ def retail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("Segment"),
         F.col("r_name").alias("Country"),
         city.alias("City"),
+        F.concat(F.lit("S"), (F.col("c_custkey") % 50).cast("string")).alias("State"),
+        F.lpad((F.col("c_custkey") % 1000).cast("string"), 5, "0").alias("Postal Code"),
+        F.col("r_name").alias("Region"),
         F.col("l_partkey").cast("string").alias("Product ID"),
+        F.concat(F.lit("C"), (F.col("l_partkey") % 3).cast("string")).alias("Category"),
+        F.concat(F.lit("C"), (F.col("l_partkey") % 17).cast("string")).alias("Sub-Category"),
+        _product_name().alias("Product Name"),
         F.col("l_extendedprice").alias("Sales"),
         quantity.alias("Quantity"),
     )
