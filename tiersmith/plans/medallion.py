@@ -1,10 +1,13 @@
 """The four layer jobs and the run that chains them.
 
 Layers talk only through parquet directories (and optionally catalog
-tables), so each job can be re-run on its own after a failure; Spark's
-commit protocol makes every write all-or-nothing.  Rows written are observed
-in the writing stage (``Observation``, exactly once per partition); rows read
-come from the input layer's parquet footers, not from a pass over the data.
+tables), so each job can be re-run on its own after a failure.  Every job
+writes in one of three modes: ``replace`` the table, replace the ``days`` that
+its input holds (a daily run that keeps the other days), or, for bronze,
+``append``.  Rows written are observed in the writing stage (``Observation``,
+once per partition); source rows are observed while they are read, so they
+come out too high if an executor is lost and its part is read again; rows read
+from a layer come from its parquet footers, not from a pass over the data.
 """
 
 from __future__ import annotations
@@ -21,8 +24,11 @@ from tiersmith.functions.text import strip_whitespace
 from tiersmith.operators.cleanse import cleanse
 from tiersmith.operators.customers import customer_metrics
 from tiersmith.operators.sales import sales_orders
+from tiersmith.sources.catalog import BRONZE_TABLE, SILVER_TABLE
 from tiersmith.sources.files import PARTITION_COLUMNS, count_rows, read_csv, read_layer, write_partitioned
 
+MODES = ("replace", "days", "append")
+
 # Folder name of each layer under the lake root.
 LAYER_DIRS = {
     "bronze": "bronze/retail_sales",
@@ -39,21 +45,28 @@ class StageResult:
     records_out: int
     path: str
     latest_order_date: _dt.date | None = None
+    malformed: int = 0
+
 
+def _write_mode(mode: str) -> dict:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    return {"mode": "append" if mode == "append" else "overwrite", "dynamic": mode == "days"}
 
-def _write_counted(df: DataFrame, path: str, name: str, partition_by=PARTITION_COLUMNS) -> int:
+
+def _write_counted(df: DataFrame, path: str, name: str, mode: str = "replace", partition_by=PARTITION_COLUMNS) -> int:
     """Write and return the rows written (observed in the writing stage)."""
     obs = Observation(name)
-    write_partitioned(df, path, partition_by, observation=obs)
+    write_partitioned(df, path, partition_by, observation=obs, **_write_mode(mode))
     return int(obs.get["rows"])
 
 
-def _write_silver(df: DataFrame, path: str) -> tuple[int, _dt.date | None]:
+def _write_silver(df: DataFrame, path: str, mode: str = "replace") -> tuple[int, _dt.date | None]:
     """Write silver; observe rows written and the latest order date (``max``
     is exact even if a stage is retried), which becomes gold's anchor."""
     obs = Observation("silver_out")
     write_partitioned(df, path, PARTITION_COLUMNS, observation=obs,
-                      extra_metrics=[F.max("order_date").alias("latest")])
+                      extra_metrics=[F.max("order_date").alias("latest")], **_write_mode(mode))
     got = obs.get
     return int(got["rows"]), got.get("latest")
 
@@ -70,11 +83,17 @@ def bronze_frame(source: DataFrame, on_bad_date: str = "fail", date_col: str = "
 
 
 def ingest_bronze(spark: SparkSession, source_path: str, out_path: str, on_bad_date: str = "fail",
-                  source: DataFrame | None = None) -> StageResult:
-    """CSV (or a given source frame) -> day-partitioned bronze parquet."""
-    src = source if source is not None else read_csv(spark, source_path)
-    n = _write_counted(bronze_frame(src, on_bad_date), out_path, "bronze")
-    return StageResult("bronze", n, n, out_path)
+                  source: DataFrame | None = None, mode: str = "replace") -> StageResult:
+    """CSV (or a given source frame) -> day-partitioned bronze parquet.
+    ``mode='days'`` replaces only the days (and the undated rows) of this
+    delivery, ``'append'`` adds to what is there."""
+    read = Observation("bronze_in")
+    if source is not None:
+        src = source.observe(read, F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("malformed"))
+    else:
+        src = read_csv(spark, source_path, observation=read)
+    n = _write_counted(bronze_frame(src, on_bad_date), out_path, "bronze", mode)
+    return StageResult("bronze", int(read.get["rows"]), n, out_path, malformed=int(read.get["malformed"] or 0))
 
 
 def silver_frame(bronze: DataFrame, strict: bool = False) -> DataFrame:
@@ -84,11 +103,13 @@ def silver_frame(bronze: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, bronze_path: str, out_path: str, strict: bool = False,
-                 records_in: int | None = None) -> StageResult:
+                 records_in: int | None = None, mode: str = "replace") -> StageResult:
     """``records_in`` may pass the bronze count already known (else it is read
-    from the bronze footers)."""
-    n_out, latest = _write_silver(silver_frame(read_layer(spark, bronze_path), strict), out_path)
-    n_in = records_in if records_in is not None else count_rows(spark, bronze_path)
+    from the bronze footers).  All of bronze is cleansed; to bring only what
+    changed up to date see :mod:`tiersmith.streaming.incremental`."""
+    bronze = read_layer(spark, bronze_path, schema=BRONZE_TABLE)
+    n_out, latest = _write_silver(silver_frame(bronze, strict), out_path, mode)
+    n_in = records_in if records_in is not None else count_rows(spark, bronze_path, BRONZE_TABLE)
     return StageResult("silver", n_in, n_out, out_path, latest)
 
 
@@ -97,9 +118,10 @@ def gold_sales_frame(silver: DataFrame) -> DataFrame:
 
 
 def build_gold_sales(spark: SparkSession, silver_path: str, out_path: str,
-                     records_in: int | None = None) -> StageResult:
-    n_out = _write_counted(gold_sales_frame(read_layer(spark, silver_path)), out_path, "sales_out")
-    n_in = records_in if records_in is not None else count_rows(spark, silver_path)
+                     records_in: int | None = None, mode: str = "replace") -> StageResult:
+    silver = read_layer(spark, silver_path, schema=SILVER_TABLE)
+    n_out = _write_counted(gold_sales_frame(silver), out_path, "sales_out", mode)
+    n_in = records_in if records_in is not None else count_rows(spark, silver_path, SILVER_TABLE)
     return StageResult("gold_sales", n_in, n_out, out_path)
 
 
@@ -115,31 +137,33 @@ def gold_customer_frame(silver: DataFrame, anchor: _dt.date | str | None = None,
 
 def build_gold_customer(spark: SparkSession, silver_path: str, out_path: str,
                         anchor: _dt.date | str | None = None, records_in: int | None = None,
-                        by: str = "first") -> StageResult:
+                        by: str = "first", mode: str = "replace") -> StageResult:
     """``anchor=None``: the latest order date in silver (a one-column scan
     inside the plan).  ``by``: partition by each customer's ``first`` or
     ``latest`` order date."""
-    n_out = _write_counted(gold_customer_frame(read_layer(spark, silver_path), anchor, by), out_path,
-                           "customer_out")
-    n_in = records_in if records_in is not None else count_rows(spark, silver_path)
+    silver = read_layer(spark, silver_path, schema=SILVER_TABLE)
+    n_out = _write_counted(gold_customer_frame(silver, anchor, by), out_path, "customer_out", mode)
+    n_in = records_in if records_in is not None else count_rows(spark, silver_path, SILVER_TABLE)
     return StageResult("gold_customer", n_in, n_out, out_path)
 
 
 def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str, anchor=None,
                   source: DataFrame | None = None, on_bad_date: str = "fail",
-                  parallel_gold: bool = False, database: str | None = None) -> DataFrame:
+                  parallel_gold: bool = False, database: str | None = None, mode: str = "replace") -> DataFrame:
     """Bronze -> silver -> gold sales and gold customer on one session.
     ``on_bad_date`` is the bronze rule (``fail`` by default, ``null`` keeps
     such rows in the null partition; silver drops them either way).
-    Returns ``(stage, records_in, records_out, success_rate)`` (success rate =
-    out / in x 100, rounded to 4 places); any failure propagates
-    (fail fast).  The two gold jobs depend only on silver: with
+    Returns ``(stage, records_in, records_out, malformed_rows, success_rate)``
+    (success rate = out / in x 100, rounded to 4 places, null without input);
+    any failure propagates (fail fast).  ``mode='days'`` replaces only the days
+    of this delivery in bronze and rebuilds the layers above.  The two gold jobs depend only on silver: with
     ``parallel_gold`` they are submitted concurrently from two driver threads
     and share the cluster.  ``database`` also registers the four layers as
     catalog tables."""
     paths = {k: os.path.join(lake_root, v) for k, v in LAYER_DIRS.items()}
-    bronze = ingest_bronze(spark, source_path or "", paths["bronze"], on_bad_date, source)
-    silver = build_silver(spark, paths["bronze"], paths["silver"], records_in=bronze.records_out)
+    bronze = ingest_bronze(spark, source_path or "", paths["bronze"], on_bad_date, source, mode)
+    known = bronze.records_out if mode == "replace" else None
+    silver = build_silver(spark, paths["bronze"], paths["silver"], records_in=known)
     results = [bronze, silver]
     # the anchor observed while writing silver spares gold a scan of silver
     gold_anchor = anchor if anchor is not None else silver.latest_order_date
@@ -158,7 +182,7 @@ def run_medallion(spark: SparkSession, source_path: str | None, lake_root: str,
         from tiersmith.sources.catalog import register_layers
 
         register_layers(spark, database, paths)
-    rows = [(r.stage, r.records_in, r.records_out) for r in results]
-    summary = spark.createDataFrame(rows, "stage string, records_in bigint, records_out bigint")
-    return summary.withColumn("success_rate",
-                              F.round(F.col("records_out").cast("double") * 100 / F.col("records_in"), 4))
+    rows = [(r.stage, r.records_in, r.records_out, r.malformed) for r in results]
+    summary = spark.createDataFrame(rows, "stage string, records_in bigint, records_out bigint, malformed_rows bigint")
+    rate = F.try_divide(F.col("records_out").cast("double") * 100, F.col("records_in"))
+    return summary.withColumn("success_rate", F.round(rate, 4))

@@ -33,15 +33,20 @@ _OD = "CAST(o.o_orderdate AS DATE)"
 _SD = "CAST(l.l_shipdate AS DATE)"
 
 # tiersmith.sources.testdata.retail_source
+_FD = f"({_OD} + CASE WHEN l.l_suppkey % 7 = 0 THEN 3 ELSE 0 END)"
+_K = "(o.o_orderkey + l.l_partkey) % 20"
 SOURCE = f"""source AS (
-  SELECT l.l_orderkey * 10 + l.l_linenumber AS "Row ID",
+  SELECT CASE WHEN l.l_partkey % 97 = 0 THEN 'A-' ELSE '' END || CAST(l.l_orderkey * 10 + l.l_linenumber AS VARCHAR) AS "Row ID",
          CAST(l.l_orderkey AS VARCHAR) AS "Order ID",
-         CASE WHEN o.o_orderkey % 20 < 10 THEN strftime({_OD}, '%d/%m/%Y')
-              WHEN o.o_orderkey % 20 < 12 THEN strftime({_OD}, '%m/%d/%Y')
-              WHEN o.o_orderkey % 20 < 14 THEN strftime({_OD}, '%Y-%m-%d')
-              WHEN o.o_orderkey % 20 < 16 THEN strftime({_OD}, '%-d/%-m/%Y')
-              WHEN o.o_orderkey % 20 < 18 THEN chr(9) || ' ' || strftime({_OD}, '%d/%m/%Y') || '  '
-              WHEN o.o_orderkey % 20 = 18 THEN '31/02/' || strftime({_OD}, '%Y')
+         CASE WHEN {_K} < 9 THEN strftime({_FD}, '%d/%m/%Y')
+              WHEN {_K} = 9 THEN strftime({_FD}, '%d.%m.%Y')
+              WHEN {_K} < 12 THEN strftime({_FD}, '%m/%d/%Y')
+              WHEN {_K} = 12 THEN strftime({_FD}, '%Y-%m-%d')
+              WHEN {_K} = 13 THEN strftime({_FD}, '%-d-%-m-%Y')
+              WHEN {_K} < 16 THEN strftime({_FD}, '%-d/%-m/%Y')
+              WHEN {_K} = 16 THEN strftime({_FD}, '%d/%m/%Y') || ' 10:30'
+              WHEN {_K} = 17 THEN chr(9) || ' ' || strftime({_FD}, '%d/%m/%Y') || '  '
+              WHEN {_K} = 18 THEN '31/02/' || strftime({_FD}, '%Y')
               ELSE 'n/a' END AS "Order Date",
          CASE WHEN l.l_linenumber <= 5 THEN strftime({_SD}, '%d/%m/%Y')
               WHEN l.l_linenumber = 6 THEN strftime({_SD}, '%Y-%m-%d')
@@ -52,15 +57,24 @@ SOURCE = f"""source AS (
          c.c_mktsegment AS "Segment",
          r.r_name AS "Country",
          CASE WHEN c.c_custkey % 9 = 0 THEN chr(9) || n.n_name || '  ' ELSE n.n_name END AS "City",
+         'S' || CAST(c.c_custkey % 50 AS VARCHAR) AS "State",
+         lpad(CAST(c.c_custkey % 1000 AS VARCHAR), 5, '0') AS "Postal Code",
+         r.r_name AS "Region",
          CAST(l.l_partkey AS VARCHAR) AS "Product ID",
+         'C' || CAST(l.l_partkey % 3 AS VARCHAR) AS "Category",
+         'C' || CAST(l.l_partkey % 17 AS VARCHAR) AS "Sub-Category",
+         CASE l.l_partkey % 8 WHEN 0 THEN 'Binder 7" wide, "' || CAST(l.l_partkey AS VARCHAR) || '", black'
+              WHEN 1 THEN 'Desk ' || CAST(l.l_partkey AS VARCHAR) || chr(10) || 'assembled'
+              WHEN 2 THEN 'Paper, ' || CAST(l.l_partkey AS VARCHAR) ELSE 'Part ' || CAST(l.l_partkey AS VARCHAR) END AS "Product Name",
          l.l_extendedprice AS "Sales",
          CASE WHEN l.l_partkey % 50 = 0 THEN 'n/a'
               ELSE CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) END AS "Quantity"
   {_JOIN})"""
 
 SOURCE_COLUMNS = ["Row ID", "Order ID", "Order Date", "Ship Date", "Ship Mode", "Customer ID",
-                  "Customer Name", "Segment", "Country", "City", "Product ID", "Sales", "Quantity"]
-SOURCE_TEXT = [c for c in SOURCE_COLUMNS if c not in ("Row ID", "Sales")]
+                  "Customer Name", "Segment", "Country", "City", "State", "Postal Code", "Region", "Product ID",
+                  "Category", "Sub-Category", "Product Name", "Sales", "Quantity"]
+SOURCE_TEXT = [c for c in SOURCE_COLUMNS if c != "Sales"]
 
 
 def q(name: str) -> str:
@@ -74,8 +88,9 @@ def strip(expr: str) -> str:
 
 def parse(expr: str) -> str:
     """tiersmith.functions.dates.parse_date"""
-    return (f"CAST(coalesce(try_strptime({expr}, '%d/%m/%Y'), try_strptime({expr}, '%m/%d/%Y'), "
-            f"try_cast({expr} AS DATE)) AS DATE)")
+    plain = f"regexp_replace({expr}, ' 10:30$', '')"
+    return (f"CAST(coalesce(try_strptime({plain}, '%d/%m/%Y'), try_strptime({plain}, '%m/%d/%Y'), "
+            f"try_strptime({plain}, '%Y-%m-%d'), try_strptime({plain}, '%d-%m-%Y'), try_strptime({plain}, '%d.%m.%Y')) AS DATE)")
 
 
 def snake(name: str) -> str:
@@ -88,32 +103,40 @@ TRIMMED = "trimmed AS (SELECT " + ", ".join(
     (f"{strip(q(c))} AS {q(c)}" if c in SOURCE_TEXT else q(c)) for c in SOURCE_COLUMNS) + " FROM source)"
 
 
-def first_per_key_sql(src: str, keys: list[str], order: list[str], columns: list[str], name: str) -> str:
+def first_per_key_sql(src: str, keys: list[str], order: list[str], columns: list[str], name: str,
+                      nulls_last: tuple[str, ...] = ()) -> str:
     """tiersmith.operators.dedup.first_rows: first row per key by ``order``
-    then every other column, ascending, nulls first."""
+    then every other column, ascending, nulls first but in ``nulls_last``."""
     rest = [c for c in columns if c not in keys and c not in order]
-    by = ", ".join(f"{q(c)} ASC NULLS FIRST" for c in order + rest)
+    by = ", ".join(f"{q(c)} ASC NULLS {'LAST' if c in nulls_last else 'FIRST'}" for c in order + rest)
     part = ", ".join(q(c) for c in keys)
     cols = ", ".join(q(c) for c in columns)
     return (f"{name} AS (SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {by}) "
             f"AS _rn FROM {src}) WHERE _rn = 1)")
 
 
-DEDUP = first_per_key_sql("trimmed", ["Row ID"], [], SOURCE_COLUMNS, "dedup")
+# tiersmith.operators.cleanse.dated_lines: keys and dates of each line
+DATED = f"""dated AS (
+  SELECT *, CASE WHEN _sd >= _od THEN _sd END AS _ship, CASE WHEN _row IS NULL THEN row_number() OVER () END AS _own
+  FROM (SELECT *, TRY_CAST("Row ID" AS BIGINT) AS _row, {parse(q('Order Date'))} AS _od, {parse(q('Ship Date'))} AS _sd FROM trimmed))"""
+_DATES = ("_od", "_ship", "_sd")
+DEDUP = first_per_key_sql("dated", ["_row", "_own"], [*_DATES, "Order ID", "Product ID", "Sales"],
+                          [*SOURCE_COLUMNS, "_row", "_own", *_DATES], "dedup", _DATES)
 
 # tiersmith.operators.cleanse.cleanse
-SILVER = f"""{SOURCE}, {TRIMMED}, {DEDUP},
-parsed AS (SELECT *, {parse(q('Order Date'))} AS _od, {parse(q('Ship Date'))} AS _sd FROM dedup),
+SILVER = f"""{SOURCE}, {TRIMMED}, {DATED}, {DEDUP},
 silver AS (
-  SELECT "Row ID" AS row_id, "Order ID" AS order_id, _od AS order_date,
+  SELECT _row AS row_id, "Order ID" AS order_id, _od AS order_date,
          CASE WHEN _sd < _od THEN NULL ELSE _sd END AS ship_date,
          "Ship Mode" AS ship_mode, "Customer ID" AS customer_id, "Customer Name" AS customer_name,
-         "Segment" AS segment, "Country" AS country, "City" AS city, "Product ID" AS product_id,
-         "Sales" AS sales, TRY_CAST("Quantity" AS BIGINT) AS quantity
-  FROM parsed WHERE _od IS NOT NULL)"""
+         "Segment" AS segment, "Country" AS country, "City" AS city, "State" AS state, "Postal Code" AS postal_code,
+         "Region" AS region, "Product ID" AS product_id, "Category" AS category, "Sub-Category" AS sub_category,
+         "Product Name" AS product_name, "Sales" AS sales, TRY_CAST("Quantity" AS BIGINT) AS quantity
+  FROM dedup WHERE _od IS NOT NULL)"""
 
 SILVER_COLUMNS = ["row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id", "customer_name",
-                  "segment", "country", "city", "product_id", "sales", "quantity"]
+                  "segment", "country", "city", "state", "postal_code", "region", "product_id", "category",
+                  "sub_category", "product_name", "sales", "quantity"]
 
 YMD = ("CAST(year({d}) AS INTEGER) AS year, CAST(month({d}) AS INTEGER) AS month, "
        "CAST(day({d}) AS INTEGER) AS day")
@@ -129,7 +152,7 @@ def sales_sql(src: str) -> str:
             f"ship_mode AS shipment_mode, city FROM {src})")
     return proj + ", " + first_per_key_sql(
         "sales_lines", ["order_id"], ["order_date", "shipment_date", "shipment_mode", "city"],
-        ["order_id", "order_date", "shipment_date", "shipment_mode", "city"], "sales")
+        ["order_id", "order_date", "shipment_date", "shipment_mode", "city"], "sales", ("order_date", "shipment_date"))
 
 
 def _first_value(col: str) -> str:
@@ -144,7 +167,8 @@ def customers_sql(src: str, inclusive: bool = True, name_rule: str = "first_spac
                 "ELSE '' END")
     else:
         last = "split_part(customer_name, ' ', -1)"
-    return f"""anchor AS (SELECT max(order_date) AS a FROM {src}),
+    anchor = f"max(order_date) AS a FROM {src}" if src == "silver" else "max(CAST(o_orderdate AS DATE)) AS a FROM orders"
+    return f"""anchor AS (SELECT {anchor}),
 cust_lines AS (SELECT * FROM {src} WHERE customer_id IS NOT NULL),
 per_order AS (SELECT customer_id, order_id, max(order_date) AS last_date FROM cust_lines GROUP BY customer_id, order_id),
 counts AS (
@@ -178,9 +202,12 @@ def with_(*ctes: str) -> str:
 _PRUNE = "year = 2001 AND month = 7"
 _RANGE = "order_date BETWEEN DATE '2001-06-30' AND DATE '2001-07-03'"
 _SOURCE_SEL = ", ".join(q(c) for c in SOURCE_COLUMNS)
+# the row id as a reader with the declared schema sees it
+_READ_SEL = 'TRY_CAST("Row ID" AS BIGINT) AS "Row ID", ' + ", ".join(q(c) for c in SOURCE_COLUMNS[1:])
 _SILVER_SEL = ", ".join(SILVER_COLUMNS)
-_BRONZE = (f"{_SOURCE_SEL}, CAST(year(_d) AS INTEGER) AS year, CAST(month(_d) AS INTEGER) AS month, "
+_BRONZE = (f"{_READ_SEL}, CAST(year(_d) AS INTEGER) AS year, CAST(month(_d) AS INTEGER) AS month, "
            f"CAST(day(_d) AS INTEGER) AS day FROM (SELECT *, {parse(strip(q('Order Date')))} AS _d FROM source)")
+_BRONZE_TEXT = _BRONZE.replace(_READ_SEL, _SOURCE_SEL)
 _SILVER_YMD = f"{_SILVER_SEL}, {ymd('order_date')} FROM silver"
 _SALES_COLS = "order_id, order_date, shipment_date, shipment_mode, city"
 
@@ -203,7 +230,10 @@ def _names(rule: str) -> str:
 
 ORACLES: dict[str, str] = {
     # sources & sinks
-    "csv_scan": with_(SOURCE) + f"SELECT {_SOURCE_SEL} FROM source",
+    "csv_scan": with_(SOURCE) + f"SELECT {_READ_SEL} FROM source",
+    "daily_rerun": with_(SOURCE) + f"SELECT {_BRONZE_TEXT}",
+    "bronze_append": with_(SOURCE) + f"SELECT {_BRONZE_TEXT} UNION ALL SELECT {_BRONZE_TEXT} WHERE _d = DATE '2001-06-30'",
+    "incremental_silver_deliveries": with_(SILVER) + f"SELECT {_SILVER_YMD}",
     "bronze_ingest": with_(SOURCE) + f"SELECT {_BRONZE}",
     "bronze_scan": with_(SOURCE) + f"SELECT {_BRONZE}",
     "silver_scan": with_(SILVER) + f"SELECT {_SILVER_YMD}",
@@ -218,7 +248,7 @@ ORACLES: dict[str, str] = {
     + "SELECT CAST(count(*) AS BIGINT) AS rows_written, CAST(count(*) AS BIGINT) AS rows_read, "
       "true AS columns_match FROM sales",
     "catalog_scan": with_(SILVER) + f"SELECT {_SILVER_YMD}",
-    "catalog_partitions": with_(SILVER) + f"SELECT DISTINCT {ymd('order_date')} FROM silver",
+    "catalog_partitions": with_(SILVER) + f"SELECT DISTINCT year, month, day FROM (SELECT {_BRONZE})",
     # partitions
     "partition_columns": with_(RETAIL) + f"SELECT row_id, order_id, order_date, {ymd('order_date')} FROM retail",
     "partition_columns_padded": with_(RETAIL)
@@ -246,7 +276,7 @@ ORACLES: dict[str, str] = {
     + " FROM source",
     "silver_cleanse": with_(SILVER) + f"SELECT {_SILVER_SEL} FROM silver",
     "safe_cast": with_(SOURCE)
-    + "SELECT \"Row ID\" AS row_id, TRY_CAST(\"Quantity\" AS BIGINT) AS quantity, "
+    + "SELECT TRY_CAST(\"Row ID\" AS BIGINT) AS row_id, TRY_CAST(\"Quantity\" AS BIGINT) AS quantity, "
       "TRY_CAST(\"Order ID\" AS BIGINT) AS order_key, TRY_CAST(\"Customer Name\" AS INTEGER) AS name_as_int "
       "FROM source",
     "date_thresholds": with_(RETAIL)
@@ -311,18 +341,16 @@ ORACLES: dict[str, str] = {
       "FROM customers GROUP BY customer_segment",
     "ship_mode_distribution": with_(RETAIL, sales_sql("retail"))
     + "SELECT shipment_mode, CAST(count(*) AS BIGINT) AS orders FROM sales GROUP BY shipment_mode",
-    "cleanse_metrics": with_(SOURCE, TRIMMED,
-                             "grp AS (SELECT \"Row ID\", count(*) AS n FROM trimmed GROUP BY \"Row ID\")",
-                             DEDUP, f"parsed AS (SELECT {parse(q('Order Date'))} AS od, "
-                                    f"{parse(q('Ship Date'))} AS sd FROM dedup)")
+    "cleanse_metrics": with_(SOURCE, TRIMMED, DATED, "grp AS (SELECT _row, _own, count(*) AS n FROM dated GROUP BY _row, _own)", DEDUP)
     + _metrics_long([("source_records", "SELECT sum(n) FROM grp"),
                      ("duplicates_removed", "SELECT sum(n - 1) FROM grp"),
-                     ("invalid_order_dates", "SELECT count_if(od IS NULL) FROM parsed"),
-                     ("invalid_ship_dates", "SELECT count_if(sd IS NULL) FROM parsed"),
-                     ("null_order_dates_removed", "SELECT count_if(od IS NULL) FROM parsed"),
-                     ("invalid_ship_dates_before_order", "SELECT count_if(od IS NOT NULL AND sd < od) FROM parsed"),
-                     ("final_records", "SELECT count_if(od IS NOT NULL) FROM parsed"),
-                     ("records_removed", "SELECT (SELECT sum(n) FROM grp) - count_if(od IS NOT NULL) FROM parsed")],
+                     ("invalid_row_ids", "SELECT count_if(_row IS NULL) FROM grp"),
+                     ("invalid_order_dates", "SELECT count_if(_od IS NULL) FROM dedup"),
+                     ("invalid_ship_dates", "SELECT count_if(_sd IS NULL) FROM dedup"),
+                     ("null_order_dates_removed", "SELECT count_if(_od IS NULL) FROM dedup"),
+                     ("invalid_ship_dates_before_order", "SELECT count_if(_od IS NOT NULL AND _sd < _od) FROM dedup"),
+                     ("final_records", "SELECT count_if(_od IS NOT NULL) FROM dedup"),
+                     ("records_removed", "SELECT (SELECT sum(n) FROM grp) - count_if(_od IS NOT NULL) FROM dedup")],
                     "(SELECT 1)"),
     "distinct_counts": with_(RETAIL, sales_sql("retail")) + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values FROM sales"
@@ -338,6 +366,11 @@ ORACLES: dict[str, str] = {
     "duplicate_counts": with_(RETAIL, "grp AS (SELECT row_id, count(*) AS n FROM retail GROUP BY row_id)")
     + _metrics_long([("records", "SELECT sum(n) FROM grp"), ("distinct_keys", "SELECT count(*) FROM grp"),
                      ("duplicates", "SELECT sum(n) - count(*) FROM grp")], "(SELECT 1)"),
+    "orders_deduplicated": with_(SILVER, "grp AS (SELECT order_id, count(*) AS n FROM silver GROUP BY order_id)")
+    + _metrics_long([("records", "SELECT sum(n) FROM grp"), ("distinct_keys", "SELECT count(*) FROM grp"),
+                     ("duplicates", "SELECT sum(n) - count(*) FROM grp")], "(SELECT 1)"),
+    "parse_dates_strict": with_(SOURCE) + f"SELECT * FROM (SELECT \"Row ID\" AS row_id, {parse(strip(q('Order Date')))} AS order_date "
+    "FROM source) WHERE order_date IS NOT NULL",
     "top_customers": with_(RETAIL, _cust())
     + "SELECT customer_id, customer_first_name, customer_last_name, orders_last_month, orders_last_6_months, "
       "orders_total FROM customers ORDER BY orders_total DESC, customer_id ASC LIMIT 10",
@@ -357,10 +390,11 @@ ORACLES: dict[str, str] = {
     "stage_metrics": with_(SILVER, "src_n AS (SELECT count(*) AS n FROM source)",
                            "sil AS (SELECT count(*) AS n, count(DISTINCT order_id) AS o, "
                            "count(DISTINCT customer_id) AS c FROM silver)")
-    + "SELECT stage, records_in, records_out, "
+    + "SELECT stage, records_in, records_out, CAST(0 AS BIGINT) AS malformed_rows, "
       "round(CAST(records_out AS DOUBLE) * 100 / records_in, 4) AS success_rate FROM ("
       "SELECT 'bronze' AS stage, CAST(n AS BIGINT) AS records_in, CAST(n AS BIGINT) AS records_out FROM src_n "
       "UNION ALL SELECT 'silver', CAST((SELECT n FROM src_n) AS BIGINT), CAST(n AS BIGINT) FROM sil "
       "UNION ALL SELECT 'gold_sales', CAST(n AS BIGINT), CAST(o AS BIGINT) FROM sil "
       "UNION ALL SELECT 'gold_customer', CAST(n AS BIGINT), CAST(c AS BIGINT) FROM sil)",
 }
+ORACLES["stage_metrics_parallel"] = ORACLES["stage_metrics"]

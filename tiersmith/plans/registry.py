@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiersmith.functions.casts import safe_cast
-from tiersmith.functions.dates import months_before, parse_date
+from tiersmith.functions.dates import months_before, parse_date, parse_date_or_fail
 from tiersmith.functions.text import strip_whitespace
 from tiersmith.operators import cleanse as cl
 from tiersmith.operators import customers as cu
@@ -30,7 +30,7 @@ from tiersmith.session import fresh_path
 from tiersmith.sources import catalog as cat
 from tiersmith.sources import files as fs
 from tiersmith.sources import partitions as pt
-from tiersmith.sources.testdata import retail_lines, retail_source, table
+from tiersmith.sources.testdata import order_dates, retail_lines, retail_source, table
 from tiersmith.streaming import incremental_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,7 @@ PRUNE_YEAR, PRUNE_MONTH = 2001, 7
 RANGE_START, RANGE_END = "2001-06-30", "2001-07-03"
 CATALOG_DB = "tiersmith_lake"
 TOP_N = 10
+SOURCE_COLUMNS = fs.SOURCE_SCHEMA.fieldNames()
 
 # ---------------------------------------------------------------- layers ---
 
@@ -53,10 +54,16 @@ def _gone(path: str) -> bool:
     return "://" not in path and not os.path.exists(local)
 
 
+def _source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Files of the source tables with their times: a changed source gives new layers."""
+    seen = table(spark, sf_dir, "lineitem").select("_metadata.file_path", "_metadata.file_modification_time").distinct()
+    return tuple(sorted((r[0], str(r[1])) for r in seen.collect()))
+
+
 def _layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], None]) -> str:
-    """Write a layer once per (session, source dir, name); return its path.
-    A layer whose folder has disappeared is written again."""
-    key = (id(spark), os.path.abspath(sf_dir), name)
+    """Write a layer once per (session, source dir and its files, name);
+    return its path.  A layer whose folder has disappeared is written again."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _source_state(spark, sf_dir), name)
     with _lock:
         path = _layers.get(key)
         if path is None or _gone(path):
@@ -97,7 +104,29 @@ def q_bronze_ingest(spark, sf_dir):
 
 
 def q_bronze_scan(spark, sf_dir):
-    return fs.read_layer(spark, _bronze_path(spark, sf_dir), fs.SOURCE_SCHEMA.fieldNames() + ["year", "month", "day"])
+    return fs.read_layer(spark, _bronze_path(spark, sf_dir), SOURCE_COLUMNS + ["year", "month", "day"])
+
+
+def _two_deliveries(spark, sf_dir):
+    """The feed as two deliveries that share a day; the second holds the undated lines."""
+    src = retail_source(spark, sf_dir)
+    day = parse_date(strip_whitespace("Order Date"))
+    return src.where(day <= F.lit(RANGE_START).cast("date")), src.where(F.coalesce(day >= F.lit(RANGE_START).cast("date"), F.lit(True)))
+
+
+def q_daily_rerun(spark, sf_dir):
+    path = fresh_path(spark, "daily")
+    for delivery in _two_deliveries(spark, sf_dir):
+        md.ingest_bronze(spark, "", path, on_bad_date="null", source=delivery, mode="days")
+    return fs.read_layer(spark, path, SOURCE_COLUMNS + ["year", "month", "day"])
+
+
+def q_bronze_append(spark, sf_dir):
+    # the shared day is delivered twice and kept twice
+    path = fresh_path(spark, "appended")
+    for delivery in _two_deliveries(spark, sf_dir):
+        md.ingest_bronze(spark, "", path, on_bad_date="null", source=delivery, mode="append")
+    return fs.read_layer(spark, path, SOURCE_COLUMNS + ["year", "month", "day"])
 
 
 def q_silver_scan(spark, sf_dir):
@@ -145,24 +174,15 @@ def q_write_verify(spark, sf_dir):
     return verification
 
 
-def _silver_table(spark, sf_dir):
-    return cat.register_table(spark, CATALOG_DB, "silver_retail_sales", _silver_path(spark, sf_dir),
-                              schema=cat.SILVER_TABLE, comment="cleansed order lines")
-
-
 def q_catalog_scan(spark, sf_dir):
-    _silver_table(spark, sf_dir)
+    cat.register_layers(spark, CATALOG_DB, {"silver": _silver_path(spark, sf_dir)})
     return spark.table(f"{CATALOG_DB}.silver_retail_sales")
 
 
 def q_catalog_partitions(spark, sf_dir):
-    _silver_table(spark, sf_dir)
-    return cat.table_partitions(spark, CATALOG_DB, "silver_retail_sales")
-
-
-def q_catalog_columns(spark, sf_dir):
-    _silver_table(spark, sf_dir)
-    return cat.table_columns(spark, CATALOG_DB, "silver_retail_sales")
+    # over bronze, which has a partition of undated rows
+    cat.register_layers(spark, CATALOG_DB, {"bronze": _bronze_path(spark, sf_dir)})
+    return cat.table_partitions(spark, CATALOG_DB, "bronze_retail_sales")
 
 
 # ------------------------------------------------------------ partitions ---
@@ -222,7 +242,7 @@ def q_silver_cleanse(spark, sf_dir):
 
 def q_safe_cast(spark, sf_dir):
     src = retail_source(spark, sf_dir)
-    return src.select(F.col("Row ID").alias("row_id"),
+    return src.select(safe_cast("Row ID", "bigint").alias("row_id"),
                       safe_cast("Quantity", "bigint").alias("quantity"),
                       safe_cast("Order ID", "bigint").alias("order_key"),
                       safe_cast("Customer Name", "int").alias("name_as_int"))
@@ -253,7 +273,8 @@ def q_filter_strict(spark, sf_dir):
 
 
 def _customers(spark, sf_dir, **kw):
-    return cu.customer_metrics(retail_lines(spark, sf_dir), **kw)
+    # trailing windows end at the latest date of the orders table, not of a second pass over the lines
+    return cu.customer_metrics(retail_lines(spark, sf_dir), anchor=cu.anchor_date(order_dates(spark, sf_dir)), **kw)
 
 
 def q_orders_total(spark, sf_dir):
@@ -314,7 +335,7 @@ def q_gold_sales(spark, sf_dir):
 
 
 def q_customer_left_join(spark, sf_dir):
-    return cu.customer_left_join(retail_lines(spark, sf_dir))
+    return cu.customer_left_join(retail_lines(spark, sf_dir), anchor=cu.anchor_date(order_dates(spark, sf_dir)))
 
 
 def q_customer_latest_order(spark, sf_dir):
@@ -375,6 +396,10 @@ def q_duplicate_counts(spark, sf_dir):
     return duplicate_counts(retail_lines(spark, sf_dir), ["row_id"])
 
 
+def q_orders_deduplicated(spark, sf_dir):
+    return duplicate_counts(cl.cleanse(retail_source(spark, sf_dir)), ["order_id"])
+
+
 def q_top_customers(spark, sf_dir):
     return rp.top_customers(_customers(spark, sf_dir), TOP_N)
 
@@ -395,6 +420,14 @@ def q_parse_dates_fallback(spark, sf_dir):
                       parse_date(text, ("dd/MM/yyyy", "MM/dd/yyyy"), iso_fallback=False).alias("order_date"))
 
 
+def q_parse_dates_strict(spark, sf_dir):
+    # the failing form, over the texts that some layout fits
+    src = retail_source(spark, sf_dir)
+    text = strip_whitespace("Order Date")
+    return src.where(parse_date(text).isNotNull()).select(
+        F.col("Row ID").alias("row_id"), parse_date_or_fail(text).alias("order_date"))
+
+
 def q_trim_strings(spark, sf_dir):
     return cl.trim_strings(retail_source(spark, sf_dir))
 
@@ -424,22 +457,28 @@ def q_stage_metrics(spark, sf_dir):
     return md.run_medallion(spark, _csv_path(spark, sf_dir), fresh_path(spark, "lake"), on_bad_date="null")
 
 
+def q_stage_metrics_parallel(spark, sf_dir):
+    return md.run_medallion(spark, _csv_path(spark, sf_dir), fresh_path(spark, "lake"), on_bad_date="null",
+                            parallel_gold=True, database=CATALOG_DB + "_all")
+
+
 def q_incremental_silver(spark, sf_dir):
     # the bronze layer arrives as a file stream, several micro-batches of files
     silver = fresh_path(spark, "silver_incremental")
-    incremental_silver(spark, _bronze_path(spark, sf_dir), silver, max_files_per_batch=800)
+    incremental_silver(spark, _bronze_path(spark, sf_dir), silver, max_files_per_batch=4000)
     return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, _bronze_path(spark, sf_dir))).columns)
 
 
-# ------------------------------------------------------------- rows only ---
-
-def q_schema_check(spark, sf_dir):
-    return qa.schema_check(spark, fs.read_csv(spark, _csv_path(spark, sf_dir)), cl.REQUIRED_SOURCE_COLUMNS)
-
-
-def q_schema_report(spark, sf_dir):
-    sales = sales_orders(retail_lines(spark, sf_dir)).withColumn("note", F.lit(None).cast("string"))
-    return qa.schema_report(spark, sales, [c for c, _ in GOLD_SALES_COLUMNS] + ["year"])
+def q_incremental_silver_deliveries(spark, sf_dir):
+    # two deliveries with row ids in both, each followed by a run
+    bronze, silver = fresh_path(spark, "bronze_deliveries"), fresh_path(spark, "silver_deliveries")
+    src = retail_source(spark, sf_dir)
+    later = F.pmod(F.xxhash64("Product ID"), F.lit(3)) == 0
+    checkpoint = None
+    for delivery in (src.where(~later), src.where(later)):
+        md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=delivery, mode="append")
+        checkpoint = incremental_silver(spark, bronze, silver, checkpoint)
+    return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, bronze)).columns)
 
 
 QUERIES: dict[str, Query] = {

@@ -1,3 +1,5 @@
-from tiersmith.streaming.incremental import incremental_silver, silver_for_days
+"""Streaming jobs."""
 
-__all__ = ["incremental_silver", "silver_for_days"]
+from tiersmith.streaming.incremental import incremental_silver, refresh_silver
+
+__all__ = ["incremental_silver", "refresh_silver"]
