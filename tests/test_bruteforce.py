@@ -71,7 +71,7 @@ def brute_sales(rows):
     for oid in {r[1] for r in rows}:
         cand = [(r[2], r[3], r[4], r[9]) for r in rows if r[1] == oid]
         key = lambda c: tuple((v is not None, v if v is not None else "") if i >= 2 else
-                              (v is not None, v or dt.date.min) for i, v in enumerate(c))
+                              (v is None, v or dt.date.min) for i, v in enumerate(c))  # missing dates last
         out[oid] = (oid,) + min(cand, key=key)
     return out
 

@@ -17,6 +17,18 @@ D = dt.date
     ("1/2/2018", D(2018, 2, 1)),         # unpadded
     ("2018-12-05", D(2018, 12, 5)),      # ISO
     ("29/02/2000", D(2000, 2, 29)),
+    ("05/01/2018 10:30", D(2018, 1, 5)),
+    ("12/30/2018 10:30:15", D(2018, 12, 30)),
+    ("2018-12-05 10:30", D(2018, 12, 5)),
+    ("2018-12-05T10:30:00", D(2018, 12, 5)),
+    ("05/01/18", D(2018, 1, 5)),
+    ("5-1-2018", D(2018, 1, 5)),
+    ("05.01.2018", D(2018, 1, 5)),
+    ("Jan 5, 2018", D(2018, 1, 5)),
+    ("2018-12-05 junk", None),
+    ("2018", None),
+    ("2018-13-05", None),
+    ("31.02.2018", None),
     ("31/02/2018", None),                # impossible date
     ("13/13/2018", None),
     ("bad", None),

@@ -34,7 +34,7 @@ source_row = st.tuples(
 
 def to_source(spark, rows):
     names = SOURCE_SCHEMA.fieldNames()
-    full = [r + ("USA", "Boston", "P1", 1.0, "1") for r in rows]
+    full = [r + ("USA", "Boston", "MA", "02101", "East", "P1", "Cat", "Sub", "Name", 1.0, "1") for r in rows]
     return spark.createDataFrame(full, SOURCE_SCHEMA).select(*names)
 
 
@@ -53,7 +53,7 @@ def test_cleanse_properties(spark, rows):
     assert m["source_records"] == m["final_records"] + m["duplicates_removed"] + m["null_order_dates_removed"]
     assert m["final_records"] == len(out)
     # cleansing is idempotent on its own output (renamed back to source names)
-    back = {v: k for k, v in zip(SOURCE_SCHEMA.fieldNames(), [f.lower().replace(" ", "_") for f in
+    back = {v: k for k, v in zip(SOURCE_SCHEMA.fieldNames(), [f.lower().replace(" ", "_").replace("-", "_") for f in
                                                                 SOURCE_SCHEMA.fieldNames()])}
     again = cl.cleanse(silver.select([silver[c].cast("string").alias(back[c]) if c in ("order_date", "ship_date")
                                       else silver[c].alias(back[c]) for c in silver.columns]))

@@ -57,8 +57,8 @@ def test_cleanse_edge_cases(spark):
     assert out[9].city == "New York"
     assert out[10].quantity is None
     assert set(out[1].asDict()) == {"row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id",
-                                    "customer_name", "segment", "country", "city", "product_id", "sales",
-                                    "quantity"}
+                                    "customer_name", "segment", "country", "city", "state", "postal_code", "region",
+                                    "product_id", "category", "sub_category", "product_name", "sales", "quantity"}
     m = {r.metric: r.value for r in cleanse_metrics(source(spark, rows)).collect()}
     assert m["source_records"] == 11 and m["duplicates_removed"] == 1
     assert m["null_order_dates_removed"] == 4 and m["final_records"] == 6
