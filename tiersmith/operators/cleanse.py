@@ -82,14 +82,12 @@ TIE_BREAK = ("Order ID", "Product ID", "Sales")
 
 
 def dated_lines(df: DataFrame, row_key: str = "Row ID", order_date: str = "Order Date", ship_date: str = "Ship Date") -> DataFrame:
-    """Trimmed lines with parsed dates, the key ``_row`` (the numeric row id),
-    ``_own`` (a number of its own for each line without a usable row id, so
-    that such lines never form a group) and ``_ship`` (the ship date unless it
-    precedes the order date)."""
+    """Trimmed lines with parsed dates, the key ``_row`` (the numeric row id;
+    null where it is none) and ``_ship`` (the ship date unless it precedes the
+    order date)."""
     validate_required_columns(df, [row_key, order_date, ship_date])
     parsed = parse_date_columns(trim_strings(df), [order_date, ship_date])
-    numbered = parsed.withColumn("_row", safe_cast(row_key, "bigint")).withColumn("_number", F.monotonically_increasing_id())
-    return (numbered.withColumn("_own", F.when(F.col("_row").isNull(), F.col("_number"))).drop("_number")
+    return (parsed.withColumn("_row", safe_cast(row_key, "bigint"))
             .withColumn("_ship", F.when(F.col(ship_date) >= F.col(order_date), F.col(ship_date))))
 
 
@@ -105,8 +103,9 @@ def deduplicated_lines(
     usable row id are all kept, with a null id."""
     lines = dated_lines(df, row_key, order_date, ship_date)
     dates = [order_date, "_ship", ship_date]
-    deduped = first_rows(lines, ["_row", "_own"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], nulls_last=dates)
-    renamed = snake_case_columns(deduped.drop("_row", "_own", "_ship"))
+    usable = F.col("_row").isNotNull()
+    deduped = first_rows(lines.where(usable), ["_row"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], nulls_last=dates)
+    renamed = snake_case_columns(deduped.union(lines.where(~usable)).drop("_row", "_ship"))
     return renamed.withColumns({c: safe_cast(c, t) for c, t in SILVER_CASTS.items() if c in renamed.columns})
 
 

@@ -43,8 +43,10 @@ def cleanse_metrics(
     """
     lines = dated_lines(source.select(row_key, order_date, ship_date), row_key, order_date, ship_date)
     order, ship = F.col(order_date), F.col(ship_date)
-    first = F.min(F.struct(order.isNull(), order.alias("o"), F.col("_ship").isNull(), F.col("_ship"), ship.isNull(), ship.alias("s")))
-    kept = lines.groupBy("_row", "_own").agg(first.alias("f"), F.count(F.lit(1)).alias("n"))
+    ranked = F.struct(order.isNull(), order.alias("o"), F.col("_ship").isNull(), F.col("_ship"), ship.isNull(), ship.alias("s"))
+    usable = F.col("_row").isNotNull()
+    kept = (lines.where(usable).groupBy("_row").agg(F.min(ranked).alias("f"), F.count(F.lit(1)).alias("n"))
+            .union(lines.where(~usable).select("_row", ranked, F.lit(1).cast("bigint"))))
     o, s = F.col("f.o"), F.col("f.s")
     one = kept.agg(
         F.sum("n").alias("source_records"),
