@@ -48,7 +48,7 @@ def test_target_bytes_and_empty(spark, docs):
 
 
 def brute(vectors, k=10):
-    ok = [(i, np.floor(1024 * np.array(v, float)).astype(object)) for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    ok = [(i, [int(x) for x in np.floor(1024 * np.array(v, float))]) for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
     for at, (q, a) in enumerate(ok):
         if q is not None and q % 100 == 0:
@@ -69,7 +69,7 @@ def test_topk_equals_brute_force(spark, monkeypatch, case):
         v = np.round(v)
         v[: n // 3] = v[0]
     if case == "large":
-        v *= 1e7
+        v *= 1e5
     vectors = [(int(i), [float(x) for x in row]) for i, row in zip(rng.permutation(n), v)]
     vectors += [(200, None), (300, [float("nan")] * 8), (400, [None] + [1.0] * 7), (None, [0.5] * 8), (100, list(vectors[0][1])), (500, [float("inf")] + [0.0] * 7), (600, [])]
     df = spark.createDataFrame([(i, x, 0) for i, x in vectors], "vec_id long, embedding array<double>, score int")

@@ -40,7 +40,8 @@ def test_trees_learn_from_labelled_urls(spark):
     for i in range(600):
         bad = i % 2
         tail = "".join(rng.choice("0123456789" if bad else "abcdefgh") for _ in range(20))
-        rows.append((i, f"http://{'de.example' if i < 400 else 'example'}.{'info' if i >= 400 else 'com' if bad else 'org'}/{'de' if bad else 'x'}/{tail}", bad))
+        host, lang = ("example.com", "de" if bad else "fr") if i < 400 else ("example.info", "xx")
+        rows.append((i, f"http://{host}/{lang}/{tail}", bad))
     df = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
     got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(df).collect()}
     held = [got[i] == ("block" if bad else "allow") for i, _, bad in rows if i >= 400]
@@ -109,6 +110,6 @@ def test_rows_of_texts(spark, docs):
     rows = [(1, f"Some words. {mit} More. {mit}"), (2, None), (3, ""), (4, "nothing here " * 5000 + gpl.upper()), (5, gpl.replace("General ", "")), (5, gpl.replace("General ", "")), (None, mit), (7, "the mit of")]
     df = docs(rows).withColumnRenamed("lang", "license")
     got = sorted(((str(r["doc_id"]), r["license"], r["matched"], r["start"], r["stop"], [tuple(s) for s in r["spans"]]) for r in license_scan.scan_licenses(df).collect()))
-    assert got == sorted([("1", "MIT (statement)", 5, 2, 7, [(2, 7)]), ("1", "MIT (statement)", 5, 8, 13, [(8, 13)]), ("4", "GPL-3.0 (statement)", 11, 10_000, 10_011, [(10_000, 10_011)]),
-                          ("5", "GPL-3.0 (statement)", 10, 0, 10, [(0, 10)]), ("5", "GPL-3.0 (statement)", 10, 0, 10, [(0, 10)]), ("None", "MIT (statement)", 5, 0, 5, [(0, 5)])])
+    assert got == sorted([("1", "MIT (statement)", 5, 2, 7, [(2, 7)]), ("1", "MIT (statement)", 5, 8, 13, [(8, 13)]), ("4", "GPL-3.0 (statement)", 12, 10_000, 10_012, [(10_000, 10_012)]),
+                          ("5", "GPL-3.0 (statement)", 11, 0, 11, [(0, 11)]), ("5", "GPL-3.0 (statement)", 11, 0, 11, [(0, 11)]), ("None", "MIT (statement)", 5, 0, 5, [(0, 5)])])
     assert license_scan.scan_licenses(docs([])).count() == 0

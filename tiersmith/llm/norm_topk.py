@@ -15,7 +15,8 @@ Defined cases: null vectors and vectors with null or non-finite components
 take no part, neither as queries nor as candidates; shorter vectors count as
 padded with zeros; fewer than k candidates are returned all; ties go to the
 smaller id; a row is no candidate of itself, but rows that repeat it are;
-rows without an id take part as candidates only, after all others in ties.
+rows without an id take part as candidates only, after all others in ties;
+scores are 64-bit integers and wrap beyond that.
 """
 
 from __future__ import annotations
