@@ -3,13 +3,14 @@ ranks without a hot group, deterministic bounded samples, text patterns."""
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiersmith.session import shared_dir
+from tiersmith.session import fresh_path, shared_dir
 
 # Fixed value: a word is a run without space, tab, newline, VT, FF or CR.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -26,7 +27,40 @@ def materialize(df: DataFrame) -> DataFrame:
     reads the written rows, so row ids and samples stay the same when an
     executor is lost, and nothing upstream is computed twice."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return out
+
+
+class Scratch:
+    """Tables written one after the other into a folder of their own in the
+    shared folder, and read back with the size of their files.  (A checkpoint
+    keeps the estimated size of its plan, and such estimates multiply with
+    every join: a chain of rounds ends in numbers of millions of digits.)"""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.count = spark, fresh_path(spark, name), 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.count}"
+        self.count += 1
+        df.write.parquet(path)
+        release(self.spark)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Collect the driver's garbage.  Spark removes the shuffle files and
+    checkpoints of plans that nobody holds any more only once the driver's JVM
+    has collected them, by default every half hour; a chain of many short jobs
+    would pile them up on the executors' disks until then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def with_rid(df: DataFrame, name: str = "_rid") -> DataFrame:

@@ -15,9 +15,9 @@ runs out of rare tokens it is extended through the frequent ones.
    "frequent", it only has to be the same for all nodes.
 3. Nodes that keep too few rare tokens are extended over their whole sets.
 4. Each list first proposes its first node with all others, so groups of near
-   copies are not compared all with all; while long lists still hold several
-   components, other nodes take that place; at last all pairs that are still in
-   different components are proposed, so no link that joins two is lost.
+   copies are not compared all with all; while long lists still hold nodes not
+   known to be connected, other nodes take that place; at last all such pairs
+   are proposed, so no link that joins two components is lost.
    Candidates drop out if the low ends of their orders, of which both nodes
    know all tokens, already differ too much; the others are verified on whole
    sets.
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiersmith.llm.common import materialize, with_rid
+from tiersmith.llm.common import Scratch, with_rid
 
 WIDTH, PERCENT = 4, 85
 # A token in more nodes than this is frequent.
@@ -47,7 +47,7 @@ RARE = 16
 # Sizes from which frequent tokens are dealt into so many groups (1: indexed alone, none lost).
 GROUPS = ((0, 1), (24, 16), (400, 256))
 # Lists longer than this that still hold several components get another star, up to so many times.
-LONG_LIST, STARS = 4 * RARE, 8
+LONG_LIST, STARS = 4 * RARE, 3
 # Tokens are 63-bit hashes; the index and the low ends keep their top 48 bits (equal ones only add candidates).
 TOKEN_BYTES, TOKEN_SHIFT = 6, 15
 # Rows up to which a side of a join is broadcast (about 16 bytes each).
@@ -158,8 +158,8 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, int]:
-    df = materialize(df)
+def _counted(df: DataFrame, put: Scratch) -> tuple[DataFrame, int]:
+    df = put(df)
     return df, df.count()
 
 
@@ -262,7 +262,7 @@ def _combinations(tokens: np.ndarray, need: int, groups: int) -> np.ndarray:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int, put: Scratch) -> DataFrame:
     """Pairs (a, b) whose sizes and low ends allow a link.
 
     Up to the smaller of the last tokens of two low ends, both nodes' tokens
@@ -279,51 +279,59 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 out.append(apart * (100 + percent) <= (100 - percent) * (n + m))
             yield pd.Series(out, dtype=bool)
 
-    pairs, _ = _counted(pairs)
-    wanted, count = _counted(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    pairs = put(pairs)
+    wanted, count = _counted(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), put)
     low = nodes.select("node", "n", "low").join(_small(wanted, count), "node")
     both = (pairs.join(low.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("low").alias("la")), "a")
             .join(low.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("low").alias("lb")), "b")
             .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    return materialize(both.where(F.pandas_udf(run, "boolean")("na", "la", "nb", "lb")).select("a", "b", "na", "nb"))
+    return put(both.where(F.pandas_udf(run, "boolean")("na", "la", "nb", "lb")).select("a", "b", "na", "nb"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int, put: Scratch) -> DataFrame:
     """Pairs (a, b) of different nodes that link, checked on whole sets."""
-    near = _near(pairs, nodes, percent)
-    wanted, count = _counted(near.select(F.col("a").alias("node")).union(near.select("b")).distinct())
-    wanted = materialize(nodes.select("node", "key").join(_small(wanted, count), "node"))
-    sets = materialize(_sets(docs, wanted, count, width))
+    near = _near(pairs, nodes, percent, put)
+    wanted, count = _counted(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), put)
+    wanted = put(nodes.select("node", "key").join(_small(wanted, count), "node"))
+    sets = put(_sets(docs, wanted, count, width))
     both = (near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
             .withColumn("shared", F.size(F.array_intersect("ta", "tb"))))
-    return materialize(both.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"))
+    return put(both.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, put: Scratch | None = None) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of ``edges`` (a, b)."""
-    stars = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    put = put or Scratch(edges.sparkSession, "components")
+    stars = put(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
     while True:
         both = stars.union(stars.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (both.join(least, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u")
-        stars = materialize(small.select("u", F.col("m").alias("v"))
+        stars = put(small.select("u", F.col("m").alias("v"))
                             .union(small.where("v <> m").select("v", "m")).distinct())
         now = stars.agg(F.count(F.lit(1)), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.col("u").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    return materialize(stars.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node"))
+    return stars.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+
+
+def _hubs(links: DataFrame, put: Scratch) -> DataFrame:
+    """(node, root): the smallest node that a node, or that one, links with.
+    Nodes of one root are connected; connected nodes may still have several."""
+    one = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+    up = one.select(F.col("node").alias("root"), F.col("root").alias("above"))
+    return put(one.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root")))
 
 
 def _star_pairs(sigs: DataFrame, salt: int) -> DataFrame:
-    """Each list's first node (by a hash of ``salt``, or by itself) with the
-    others of the list that are in other components."""
-    order = F.col("node") if not salt else F.xxhash64(F.lit(salt), "node")
+    """Each list's first node by a hash of ``salt`` with those not known to be
+    connected with it."""
+    order = F.xxhash64(F.lit(salt), "node")
     heads = (sigs.groupBy("sig").agg(F.min_by(F.struct("node", "root"), order).alias("h"), F.min("root").alias("r0"), F.max("root").alias("r1"))
              .where("r0 < r1").select("sig", F.col("h.node").alias("a"), F.col("h.root").alias("ra")))
     met = sigs.join(heads, "sig").where("root <> ra")
@@ -347,16 +355,17 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """Per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id`` (smallest
     id reachable by links), ``text_key`` (xxhash64 of the text) and ``first``
     (whether the row is, or repeats, the component's first)."""
+    kept, put = Scratch(df.sparkSession, "jaccard"), Scratch(df.sparkSession, "jaccard-rounds")
     docs = df.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    rows = materialize(_sketches(docs, width, percent).select(
+    rows = kept(_sketches(docs, width, percent).select(
         "_id", "_s.n", F.when(F.col("_s.n") > 0, F.struct("_s.da", "_s.db")).alias("digest"), "_s.low",
         _key("_id", "_text").alias("key")))
-    nodes = materialize(with_rid(
+    nodes = kept(with_rid(
         rows.where("n > 0").groupBy("digest").agg(F.min("_id").alias("least"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("low").alias("low")), "node"))
     members = rows.select("_id", "n", "digest", "key")
     open_nodes = nodes.where(F.length("low") > 0)
-    lists = materialize(_lists(_low_rows(open_nodes, True)))
-    frequent, many = _counted(lists.where("node is null").select("token"))
+    lists = put(_lists(_low_rows(open_nodes, True)))
+    frequent, many = _counted(lists.where("node is null").select("token"), put)
     low = _low_rows(open_nodes, False)
     sigs = lists.where("node is not null").select(F.col("token").alias("sig"), "node")
 
@@ -368,36 +377,37 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 .where(F.col("k") - F.col("f") < need).select("node", "key"))
 
     if many:
-        some, count = _counted(short_of_rare(frequent, many))
+        some, count = _counted(short_of_rare(frequent, many), put)
         whole = _short_tokens(_sets(docs, some, count, width))
         more = whole.groupBy("token").count().where(F.col("count") > RARE).select("token")
-        frequent, many = _counted(frequent.union(more).distinct())
-        some, count = _counted(short_of_rare(frequent, many))
-        sets = materialize(_sets(docs, some, count, width))
+        frequent, many = _counted(frequent.union(more).distinct(), put)
+        some, count = _counted(short_of_rare(frequent, many), put)
+        sets = put(_sets(docs, some, count, width))
         hits = (_short_tokens(sets).join(_small(frequent, many), "token")
                 .groupBy("node").agg(F.collect_list("token").alias("frequent")))
-        own = materialize(_extended(sets.join(hits, "node", "left"), percent))
-        alone, count = _counted(own.where("alone").select(F.col("sig").alias("token")).distinct())
+        own = put(_extended(sets.join(hits, "node", "left"), percent))
+        alone, count = _counted(own.where("alone").select(F.col("sig").alias("token")).distinct(), put)
         met = low.join(_small(alone, count), "token").select(F.col("token").alias("sig"), "node")
         sigs = sigs.union(own.select("sig", "node")).union(met).distinct()
-    sigs = materialize(sigs)
-    edges = _verified(_first_pairs(sigs), docs, nodes, width, percent)
-    roots = components(edges)
+    sigs = put(sigs)
+    edges = _verified(_first_pairs(sigs), docs, nodes, width, percent, put)
+    roots = _hubs(edges, put)
     for star in range(1, STARS):
         live = _rooted(sigs, roots)
         mixed = live.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c")).where("r0 < r1")
-        mixed = materialize(mixed.select("sig", "c"))
+        mixed = put(mixed.select("sig", "c"))
         long = mixed.where(F.col("c") > LONG_LIST).select("sig")
         if not long.limit(1).count():
             break
-        edges = edges.union(_verified(_star_pairs(live.join(long, "sig"), star), docs, nodes, width, percent))
-        roots = components(edges)
+        edges = edges.union(_verified(_star_pairs(live.join(long, "sig"), star), docs, nodes, width, percent, put))
+        roots = _hubs(edges, put)
     live = _rooted(sigs, roots).join(mixed.select("sig"), "sig").join(nodes.select("node", "n"), "node")
     a, b = (live.select("sig", *[F.col(c).alias(c + x) for c in ("node", "root", "n")]) for x in "ab")
     rest = (a.join(b, "sig").where("nodea < nodeb and roota <> rootb")
             .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
             .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
-    roots = components(edges.union(_verified(rest, docs, nodes, width, percent)))
+    roots = kept(components(edges.union(_verified(rest, docs, nodes, width, percent, put)), put))
+    put.remove()
     labelled = (nodes.select("node", "digest", "least", "key").join(roots, "node", "left")
                 .withColumn("root", F.coalesce("root", "node")))
     names = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.min("key").alias("head"))
@@ -413,8 +423,9 @@ def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     """``df`` without the rows that follow another of their component.  Rows
     that repeat id and text are one document and leave one row; blank texts
     are linked with nothing and all stay.  Only the ids to drop are joined."""
-    found = materialize(jaccard_components(df, doc_id, text, **options))
-    later, count = _counted(found.where(~F.col("first")).select("doc_id", "text_key").distinct())
+    put = Scratch(df.sparkSession, "keep-first")
+    found = put(jaccard_components(df, doc_id, text, **options))
+    later, count = _counted(found.where(~F.col("first")).select("doc_id", "text_key").distinct(), put)
     told = _small(later.select(F.col("doc_id").alias("_later_id"), F.col("text_key").alias("_later_text")), count)
     same = (F.xxhash64(F.col(text)) == F.col("_later_text")) & F.col(doc_id).eqNullSafe(F.col("_later_id"))
     kept = df.join(told, same, "left_anti")
