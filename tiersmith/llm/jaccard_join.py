@@ -301,7 +301,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, p
 
 
 def components(edges: DataFrame, put: Scratch | None = None) -> DataFrame:
-    """(node, root): the smallest node reachable, for every node of ``edges`` (a, b)."""
+    """(node, root): the smallest node reachable, for every node of ``edges``
+    (a, b) but the smallest ones themselves."""
     put = put or Scratch(edges.sparkSession, "components")
     stars = put(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
