@@ -99,3 +99,11 @@ def test_keep_first(spark, docs):
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect() if r["text"]) == sorted([("2", a.upper()), ("4", "else " * 3), ("11", "z y x w v u")])
     assert kept.where("text is null").count() == 3
     assert jaccard_join.keep_first(docs([])).count() == 0
+
+
+def test_sets_of_single_texts():
+    for text in ("", None, "a", "a b", "A b c", "a b c d", "a b c d e"):
+        (got,) = jaccard_join.token_sets([text])
+        assert len(got) == len(token_set(text)) and (got < 2 ** 63).all()
+    assert len({next(jaccard_join.token_sets([t])).tobytes() for t in ("a", "a b", "b a", "a b c", "a b c d")}) == 5
+    assert next(jaccard_join.token_sets(["A  b\tC"])).tolist() == next(jaccard_join.token_sets(["a b c"])).tolist()

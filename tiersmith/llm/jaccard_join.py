@@ -81,7 +81,7 @@ def token_sets(texts, width: int = WIDTH) -> Iterator[np.ndarray]:
         hashes = pd.util.hash_array(distinct, categorize=False)[codes] if len(flat) else np.zeros(0, np.uint64)
         shifted = np.zeros(len(hashes), np.uint64)
         for j in range(width):
-            shifted[: len(hashes) - j] += hashes[j:] * _MUL[j % len(_MUL)] + np.uint64(j)
+            shifted[: max(0, len(hashes) - j)] += hashes[j:] * _MUL[j % len(_MUL)] + np.uint64(j)
         grams = _mix(shifted) >> np.uint64(1)
         at = 0
         for ws in waiting:
