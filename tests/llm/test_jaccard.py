@@ -73,6 +73,35 @@ def test_leftovers_of_a_star_are_compared(spark, docs):
     assert set(got.values()) == {0}
 
 
+@pytest.mark.parametrize("rare", [2, 16])
+def test_sets_that_may_miss_nothing_link_with_larger_ones(spark, docs, monkeypatch, rare):
+    """Nine words against the same with one more at either end: 6 of 7 shingles."""
+    monkeypatch.setattr(jaccard_join, "RARE", rare)
+    rng = random.Random(rare)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts = []
+    for copies in [1] * 30 + [25, 40]:
+        core = [word() for _ in range(9)]
+        texts.append(" ".join(core))  # links with all of the others, most of which link only through it
+        for _ in range(copies):
+            texts += [" ".join(core + [word()]), " ".join([word()] + core)]
+    for n in range(4, 14):  # small sets of every size, each in one longer by a word
+        core = [word() for _ in range(n)]
+        texts += [" ".join(core), " ".join(core + [word()])]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = jaccard_join.jaccard_components(docs(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute(rows)
+    small = [r["text"] for r in jaccard_join.keep_first(docs(rows)).collect()]
+    assert len(small) == len({c for _, _, c in brute(rows)})
+
+
+def test_sizes_with_a_larger_partner():
+    for percent in (50, 85, 90, 99, 100):
+        for n in range(1, 250):
+            assert jaccard_join.larger(n, percent) == (100 * n >= percent * (n + 1))
+
+
 def test_frequent_prefixes_and_regimes():
     import numpy as np
 

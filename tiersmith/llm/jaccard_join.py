@@ -9,7 +9,8 @@ by their pairs, so that a passage shared by many documents makes no long
 lists unless most of a document consists of such passages; where a prefix
 runs out of rare tokens it is extended through the frequent ones.
 
-1. Sets of equal tokens are one node (pre-aggregated by digest).
+1. Sets of equal tokens are one node (pre-aggregated by digest).  Sets so
+   small that neither a smaller nor a larger one links with them end here.
 2. Tokens at the low end of each node's order are counted; those in over
    ``RARE`` nodes are frequent.  Any token set gives right results as
    "frequent", it only has to be the same for all nodes.
@@ -69,6 +70,11 @@ def misses(n, percent: int = PERCENT):
     return n - -(-percent * n // 100)
 
 
+def larger(n: int, percent: int = PERCENT) -> bool:
+    """Whether a set of ``n`` tokens links with any larger one."""
+    return 100 * n // percent > n
+
+
 def token_sets(texts, width: int = WIDTH) -> Iterator[np.ndarray]:
     """Sorted distinct n-gram hashes (63 bits) of each text, in order."""
     waiting: list[list[bytes]] = []
@@ -126,7 +132,8 @@ def _sketches(df: DataFrame, width: int, percent: int) -> DataFrame:
             for s in token_sets(batch, width):
                 n = len(s)
                 e = misses(n, percent)
-                low = s[: int(1.2 * (e + 1)) + 4] if e else s[:0]
+                # Also where nothing may be missed (e == 0), a larger partner may hold the whole set.
+                low = s[: int(1.2 * (e + 1)) + 4] if e or larger(n, percent) else s[:0]
                 with np.errstate(over="ignore"):
                     a = _mix(np.array([(s * _MUL[5]).sum(dtype=np.uint64) + np.uint64(n)])).view(np.int64)[0]
                     b = _mix(np.array([_mix(s + _MUL[6]).sum(dtype=np.uint64)])).view(np.int64)[0]
