@@ -113,3 +113,58 @@ def test_rows_of_texts(spark, docs):
     assert got == sorted([("1", "MIT (statement)", 5, 2, 7, [(2, 7)]), ("1", "MIT (statement)", 5, 8, 13, [(8, 13)]), ("4", "GPL-3.0 (statement)", 12, 10_000, 10_012, [(10_000, 10_012)]),
                           ("5", "GPL-3.0 (statement)", 11, 0, 11, [(0, 11)]), ("5", "GPL-3.0 (statement)", 11, 0, 11, [(0, 11)]), ("None", "MIT (statement)", 5, 0, 5, [(0, 5)])])
     assert license_scan.scan_licenses(docs([])).count() == 0
+
+
+def names_in(index, text):
+    return [m["license"] for m in index.scan(text)]
+
+
+def test_every_template_is_found_as_itself():
+    """Whole texts, notices and statements, also with a few words changed."""
+    templates = license_scan.all_templates()
+    index, rng = license_scan.Index(templates), random.Random(4)
+    for name, text in templates.items():
+        (got,) = index.scan(f"some words before {text} and some after")
+        assert (got["license"], got["coverage"]) == (name, 1.0)
+        words = text.split()
+        if len(words) > 60 and len(words) < 2000:
+            told = {w.encode() for part in license_scan.TELLING.get(name, ((), ())) for w in part}
+            changed = [w if rng.random() < 0.97 or license_scan.words_of(w)[0:1] == [] or license_scan.words_of(w)[0] in told else "other" for w in words]
+            assert names_in(index, " ".join(changed)) == [name]
+
+
+def test_whole_texts_are_wanted():
+    """The opening of a license is not the license, and its span reaches its end."""
+    templates = license_scan.all_templates()
+    index = license_scan.Index(templates)
+    for name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-2.0"):
+        words = templates[name].split()
+        assert name not in names_in(index, " ".join(words[: len(words) // 2]))
+        (got,) = index.scan(" ".join(["x"] * 7 + words))
+        assert got["start"] == 7 and got["stop"] == 7 + len(words)
+    two = index.scan(" x ".join([templates["MIT"]] * 2 + [templates["GPL-2.0"]] * 2))
+    assert [m["license"] for m in two] == ["MIT", "MIT", "GPL-2.0", "GPL-2.0"]
+
+
+def test_words_that_tell_licenses_apart():
+    index = license_scan.Index(license_scan.all_templates())
+    gnu = "This work is licensed under the GNU {}, version {}."
+    for text, expected in (
+        (gnu.format("Lesser General Public License", "3"), ["LGPL-3.0 (statement)"]),
+        (gnu.format("General Public License", "2"), ["GPL-2.0 (statement)"]),
+        (gnu.format("Affero General Public License", "3"), ["AGPL-3.0 (statement)"]),
+        (gnu.format("General Public License", "4"), []),
+        (gnu.format("Free Documentation License", "3"), []),
+        ("Released under the Zlib License.", []),
+        ("Released under the BSD 3-Clause License.", ["BSD-3-Clause (statement)"]),
+        ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0 (statement)"]),
+        ("Licensed under CC BY-NC 2.0.", []),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        (license_scan.TEMPLATES["GPL-2.0-only (notice)"].replace("version 2", "version 1"), []),
+    ):
+        assert names_in(index, text) == expected, text
+    # Relatives without a template of their own are not taken for their neighbour.
+    texts = license_scan.all_templates()
+    assert "BSD-3-Clause" not in names_in(index, texts["BSD-3-Clause"].replace("3. Neither", "3. All advertising materials must display an acknowledgement. 4. Neither"))
+    assert names_in(index, texts["CC-BY-SA-4.0"].replace("ShareAlike", "")) == []
+    assert names_in(index, texts["ISC"].replace("provided that the\nabove copyright notice and this permission notice appear in all copies", "")) == []
