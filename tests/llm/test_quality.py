@@ -89,6 +89,18 @@ def test_classifier_on_tables(spark, docs):
     assert np.array_equal(model.weights[0], again.weights[0])
 
 
+def test_classifier_where_every_text_is_labelled(spark, docs):
+    junk = [(1000 + i, " ".join([random.Random(i).choice(EN).upper() + "!!"] * 60)) for i in range(60)]
+    df = docs([(i, prose(EN, 80, i)) for i in range(240)] + junk)
+    labels = df.selectExpr("doc_id", "if(doc_id < 1000, 1, 0) AS quality")
+    model = pu_quality.fit_pu(df, labels)
+    got = df.select("doc_id", held_out().alias("held_out"), pu_quality.score_column(model).alias("p")).collect()
+    held = [(r["doc_id"] < 1000, r["p"] >= pu_quality.KEEP_SCORE) for r in got if r["held_out"]]
+    assert model.constant is None and {a for a, _ in held} == {True, False}
+    assert sum(a == b for a, b in held) > 0.95 * len(held) > 30
+    assert pu_quality.fit_pu(df.where("doc_id < 1000"), labels.where("quality = 1")).constant == 1  # no other rows
+
+
 def test_classifier_without_labels_or_rows(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     for rows in ([], [(1, "some words"), (2, None)]):

@@ -1,7 +1,7 @@
 """Quality classifier by positive-unlabelled learning (operator 9).
 
-A small network is fitted on trusted positives and unlabelled documents by
-minimising the non-negative unbiased risk
+A small network is fitted on trusted positives and documents of all kinds
+(labelled or not, taken as unlabelled) by minimising the non-negative unbiased risk
 ``prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))``
 with the sigmoid loss; where the bracket is negative, the step goes back up
 its gradient.  The class prior is estimated from the labelled training rows.
@@ -11,9 +11,9 @@ training rows, so that the score reads as a probability.
 Fitting takes bounded samples (``FIT_ROWS`` of each kind, chosen by a hash of
 the id); scoring is one narrow pass over all texts.
 
-Defined cases: null and blank texts score 0; without positives or without
-unlabelled rows every text with a word scores the prior (1 if there are no
-labels at all); repeated rows score alike; other columns are ignored; texts
+Defined cases: null and blank texts score 0; without positives or without any
+other rows every text with a word scores the prior (1 if there are no labels at
+all); repeated rows score alike; other columns are ignored; texts
 are read whole.
 """
 
@@ -144,6 +144,12 @@ def _matrix(rows: DataFrame) -> np.ndarray:
     return np.array(got, np.float32).reshape(-1, N_FEATURES)
 
 
+def _others(texts: DataFrame, marks: DataFrame) -> bool:
+    """Whether any text is not labelled good."""
+    good = marks.where("_y = 1").select("_id")
+    return bool(texts.select("_id").join(good, "_id", "left_anti").limit(1).count())
+
+
 def fit_pu(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, label: str = "quality") -> PuModel:
     """Fit on documents whose id is not held out: at most ``3 * rows`` rows a kind."""
     marks = (labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_y"))
@@ -165,10 +171,12 @@ def fit_pu(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, label: str
         # The sample of labels is bounded by ``3 * rows`` ids, so it may be broadcast.
         ids = marks.where((F.col("_y") == y) & (sample_key("_id") < share(n))).limit(3 * rows)
         known[y] = _matrix(texts.join(F.broadcast(ids), "_id").limit(3 * rows)) if n else np.zeros((0, N_FEATURES), np.float32)
-    total = docs.count()
-    drawn = texts.where(sample_key("_id") < share(total)).limit(3 * rows)
-    unlabelled = _matrix(drawn.join(labels.select(F.col("doc_id").alias("_id")).distinct(), "_id", "left_anti"))
-    if not len(known[1]) or not len(unlabelled):
+    # The unlabelled side is drawn from all texts, labelled or not: that is the marginal that the risk is about.
+    drawn = texts.where(sample_key("_id") < share(texts.count())).limit(3 * rows)
+    if not len(known[1]) or not (len(known[0]) or _others(texts, marks)):
+        return PuModel(prior)
+    unlabelled = _matrix(drawn)
+    if not len(unlabelled):
         return PuModel(prior)
     model = PuModel().fit(known[1], unlabelled, min(max(prior, 0.05), 0.95))
     if len(known[0]):
