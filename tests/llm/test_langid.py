@@ -87,3 +87,15 @@ def test_nothing_to_learn(spark, docs):
     got = df.select(langid.language_column(langid.fit_crf(df)).alias("l")).collect()
     assert [r["l"]["lang_pred"] for r in got] == ["und", "und"]
     assert docs([]).select(langid.language_column(langid.fit_crf(docs([])))).count() == 0
+
+
+def test_every_letter_of_a_long_run_counts(spark, docs):
+    """Runs that differ in their middle only, as in scripts without spaces."""
+    rng = random.Random(8)
+    df = docs([(i, text(lang, 80, rng), lang) for i, lang in enumerate(["en", "de"] * 60)])
+    model = langid.fit_crf(df)
+    runs = [(lang, "x" * 8 + "".join(rng.choice(SYLLABLES[lang]) for _ in range(n)) + "x" * 8) for lang in ("en", "de") for n in (12, 40, 400, 30_000)]
+    got = docs([(i, run) for i, (_, run) in enumerate(runs)]).select("doc_id", langid.language_column(model).alias("l")).collect()
+    assert {r["doc_id"]: r["l"]["lang_pred"] for r in got} == {i: lang for i, (lang, _) in enumerate(runs)}
+    assert "".join(langid.text_words("Ab" * 50_000 + " é")) == "ab" * 50_000 + "é"
+    assert max(map(len, langid.text_words("Ab" * 50_000))) == langid._WIDTH

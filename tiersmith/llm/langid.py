@@ -1,6 +1,7 @@
 """Language identification by a linear-chain conditional random field (operator 8).
 
-The words of a text (runs of letters, lower-cased) form a chain.  A word's
+The words of a text (runs of letters, lower-cased; runs of over ``_WIDTH``
+letters, as in scripts without spaces, are cut into pieces) form a chain.  A word's
 label scores come from hashed features: its prefixes and suffixes, character
 n-grams and the word itself; learned transitions link neighbours.  Posteriors
 come from forward-backward, run over all texts of a batch side by side; a
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 
 from tiersmith.llm.common import held_out, sample_key
 
-WORDS = re.compile(r"[^\W\d_]+")
+_WIDTH = 16  # characters of a word that features look at
+# Longer runs of letters are consecutive words, so every letter counts.
+WORDS = re.compile(rf"[^\W\d_]{{1,{_WIDTH}}}")
 FIT_DOCS, FIT_WORDS = 400, 160
 BUCKETS = 1 << 16
 EPOCHS, CHAIN = 3, 48
@@ -37,7 +40,6 @@ EPOCHS, CHAIN = 3, 48
 PIECE = 128
 # Words whose scores are held at a time while a batch of texts is labelled.
 CHUNK_WORDS = 400_000
-_WIDTH = 16  # characters of a word that features look at, from either end
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
