@@ -44,3 +44,18 @@ def test_incremental_silver_processes_only_new_days(spark):
     assert sorted(r.row_id for r in after.collect()) == [1, 2, 3]
     assert {f: os.path.getmtime(os.path.join(day5, f)) for f in os.listdir(day5)} == stamp
     assert after.filter(F.col("row_id") == 1).first().ship_date.day == 7
+
+
+def test_query_runs_in_three_micro_batches(spark, monkeypatch):
+    """Whatever the number of day folders, a later batch meets silver of an earlier one."""
+    from tiersmith.plans import registry
+
+    bronze = fresh_path(spark, "bronze_batches")
+    lines = [f"{i},O{i},{i + 1:02d}/01/2018,28/02/2018,Std,C1,Ann Lee,Consumer,US,Boston\n" for i in range(9)]
+    md.ingest_bronze(spark, csv(spark, lines + lines[:2]), bronze, on_bad_date="null")
+    checkpoints = []
+    monkeypatch.setattr(registry, "_bronze_path", lambda spark, sf_dir: bronze)
+    monkeypatch.setattr(registry, "incremental_silver", lambda *a, **k: checkpoints.append(incremental_silver(*a, **k)))
+    assert registry.q_incremental_silver(spark, "").count() == 9
+    commits = os.listdir(os.path.join(checkpoints[0].removeprefix("file:"), "commits"))
+    assert sum(c.isdigit() for c in commits) == 3

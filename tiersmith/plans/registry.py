@@ -463,10 +463,11 @@ def q_stage_metrics_parallel(spark, sf_dir):
 
 
 def q_incremental_silver(spark, sf_dir):
-    # the bronze layer arrives as a file stream, several micro-batches of files
-    silver = fresh_path(spark, "silver_incremental")
-    incremental_silver(spark, _bronze_path(spark, sf_dir), silver, max_files_per_batch=4000)
-    return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, _bronze_path(spark, sf_dir))).columns)
+    # the bronze layer arrives as a file stream, in three micro-batches of files
+    bronze, silver = _bronze_path(spark, sf_dir), fresh_path(spark, "silver_incremental")
+    files = len(fs.read_layer(spark, bronze).inputFiles())
+    incremental_silver(spark, bronze, silver, max_files_per_batch=max(1, -(-files // 3)))
+    return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, bronze)).columns)
 
 
 def q_incremental_silver_deliveries(spark, sf_dir):
