@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiersmith.llm import bpe, jaccard_join, kd_shards, langid, lexical, license_scan, merkle, norm_topk, packing, pu_quality, quality_rules, url_filter
+from tiersmith.llm import bpe, decontaminate, jaccard_join, kd_shards, langid, lexical, license_scan, merkle, norm_topk, packing, pu_quality, quality_rules, url_filter
 from tiersmith.llm.common import held_out, json_bytes, table
 
 
@@ -69,6 +69,12 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = F.translate("text", merkle.UPPER, merkle.LOWER)
     found = merkle.manifest(table(spark, sf_dir, "documents"), replaced={"text": lowered}, where=merkle.tampered())
@@ -84,7 +90,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_kd_tree_sharding, op2_license_scan, op3_exact_topk, op4_bpe, op5_best_fit_packing, op6_quality_rules,
     op7_url_filter, op8_language_id, op9_quality_classifier, op10_ngram_jaccard_join,
-    op12_merkle_manifest, op13_ranked_search)}
+    op11_benchmark_decontamination, op12_merkle_manifest, op13_ranked_search)}
 
 # None of these can be expressed in SQL: see tests/llm for their brute-force versions.
 ORACLES: dict[str, str] = {}
