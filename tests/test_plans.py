@@ -71,3 +71,13 @@ def test_rebalanced_write_plan(spark):
     df = add_partition_columns(silver(spark).drop("year", "month", "day"))
     p = plan(df.hint("rebalance", "year", "month", "day"))
     assert "REBALANCE_PARTITIONS_BY_COL" in p
+
+
+def test_dates_are_parsed_few_times(spark):
+    """An expression that repeats its text multiplies until the generated code is too large to compile."""
+    from tiersmith.plans.registry import QUERIES
+
+    parses, size = {"parse_dates": 2, "cleanse_metrics": 4, "filter_strict": 4, "null_counts": 5, "silver_cleanse": 5}, 30_000
+    for key, most in parses.items():
+        text = QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < text.count("cast(regexp_extract") <= most and len(text) < size, key

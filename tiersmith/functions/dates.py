@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 # Accepted text layouts, tried in this order (day first, then
 # month first).  Single pattern letters accept padded and unpadded fields.
 DAY_FIRST_FORMATS = ("d/M/yyyy", "M/d/yyyy")
-# Further layouts, told apart by shape: a whole-text pattern and
-# the format of the part it captures.
-SHAPED_FORMATS = (
-    (r"^(\d{4}-\d{1,2}-\d{1,2})([ T]\d{1,2}:\d{2}(:\d{2})?)?$", "yyyy-M-d"),
-    (r"^(\d{1,2}-\d{1,2}-\d{4})$", "d-M-yyyy"),
-    (r"^(\d{1,2}\.\d{1,2}\.\d{4})$", "d.M.yyyy"),
-    (r"^(\d{1,2}/\d{1,2}/\d{2})$", "d/M/yy"),
-    (r"^([A-Z][a-z]{2} \d{1,2}, \d{4})$", "MMM d, yyyy"),
+# What each layout is rewritten to, year first.  A middle field up
+# to 12 is the month (day first); only a larger one is read month first.
+_TIME = r"( \d{1,2}:\d{2}(:\d{2})?)?"
+_DAY_FIRST = (r"(\d{1,2})/(0?[1-9]|1[0-2])/(\d{4})", "$3-$2-$1")
+_MONTH_FIRST = (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+_SHAPED = (
+    (r"(\d{4}-\d{1,2}-\d{1,2})([ T]\d{1,2}:\d{2}(:\d{2})?)?", "$1"),
+    (r"(\d{1,2})([-.])(\d{1,2})\2(\d{4})", "$4-$3-$1"),
+    (r"(\d{1,2})/(\d{1,2})/(\d{2})", "20$3-$2-$1"),
+    (r"([A-Z][a-z]{2}) (\d{1,2}), (\d{4})", "$3-$1-$2"),
 )
-_WITH_TIME = r"^(\d{1,2}/\d{1,2}/\d{4}) \d{1,2}:\d{2}(:\d{2})?$"
+_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+# Marks a rewritten text, so that nothing else is taken for a date.
+_MARK = "\u0001"
 
 ColumnOrName = Column | str
 
@@ -39,26 +43,25 @@ def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS, is
     Two-digit years are 2000 to 2099.  ``2018`` and ``2018-12-05 x`` are null.
     """
     c = _col(c)
-    if tuple(formats) == DAY_FIRST_FORMATS:
-        plain = F.when(c.rlike(_WITH_TIME), F.regexp_extract(c, _WITH_TIME, 1)).otherwise(c) if iso_fallback else c
-        attempts = _day_or_month_first(plain)
-    else:
+    if tuple(formats) != DAY_FIRST_FORMATS:
         attempts = [F.try_to_date(c, fmt) for fmt in formats]
-    if iso_fallback:
-        attempts += [F.when(c.rlike(shape), F.try_to_date(F.regexp_extract(c, shape, 1), fmt)) for shape, fmt in SHAPED_FORMATS]
-    return F.coalesce(*attempts)
-
-
-def _day_or_month_first(c: Column) -> list[Column]:
-    # Same result as trying d/M/yyyy, then M/d/yyyy, but each text is handed
-    # to at most one of the two parsers: if the middle field is a valid month
-    # (<= 12) only the day-first reading can succeed where month-first could,
-    # and if it is above 12 only month-first can.  A failed parse costs far
-    # more than this integer test.
-    middle = F.get(F.split(c, "/"), 1).try_cast("int")
-    long_year = F.length(F.get(F.split(c, "/"), 2)) >= 4
-    return [F.when((middle <= 12) & long_year, F.try_to_date(c, DAY_FIRST_FORMATS[0])),
-            F.when((middle > 12) & long_year, F.try_to_date(c, DAY_FIRST_FORMATS[1]))]
+        return F.coalesce(*attempts, *([_rewritten(c, _SHAPED)] if iso_fallback else []))
+    time = _TIME if iso_fallback else ""
+    layouts = [(_DAY_FIRST[0] + time, _DAY_FIRST[1]), (_MONTH_FIRST[0] + time, _MONTH_FIRST[1])]
+    return _rewritten(c, [*layouts, *(_SHAPED if iso_fallback else ())])
+
+
+def _rewritten(c: Column, layouts) -> Column:
+    """The date of a text in one of ``layouts``.  The text is one chain of
+    rewrites to year-month-day and parsed once, so the expression holds it once:
+    an expression that repeats its input multiplies with every use, until the
+    generated code is too large to be compiled."""
+    for shape, year_first in layouts:
+        c = F.regexp_replace(c, f"^{shape}$", f"{_MARK}{year_first}")
+        if "[A-Z]" in shape:
+            for number, month in enumerate(_MONTHS, 1):
+                c = F.replace(c, F.lit(f"-{month}-"), F.lit(f"-{number}-"))
+    return F.regexp_extract(c, rf"^{_MARK}((?!0000)\d{{4}}-\d{{1,2}}-\d{{1,2}})$", 1).try_cast("date")
 
 
 def parse_date_or_fail(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS) -> Column:
