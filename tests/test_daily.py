@@ -70,6 +70,31 @@ def test_days_mode_keeps_the_other_days(spark):
         md.ingest_bronze(spark, "", bronze, source=source(spark, [("9", "O9", "05/01/2018", None)]), mode="other")
 
 
+def test_days_mode_keeps_undated_rows_of_other_deliveries(spark):
+    bronze = fresh_path(spark, "undated")
+    first = [("1", "O1", "05/01/2018", None), ("3", "O3", "n/a", None), ("3", "O3", "n/a", None)]
+    second = [("2", "O2", "06/01/2018", None), ("4", "O4", "n/a", None)]
+
+    def deliver(rows, **name):
+        md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=source(spark, rows), mode="days", **name)
+        return sorted(r["Order ID"] for r in fs.read_layer(spark, bronze).collect())
+
+    assert deliver(first, delivery="a") == ["O1", "O3", "O3"]
+    assert deliver(second, delivery="b") == ["O1", "O2", "O3", "O3", "O4"]
+    assert deliver(second, delivery="b") == ["O1", "O2", "O3", "O3", "O4"]           # a re-run
+    assert deliver(first[:2], delivery="a") == ["O1", "O2", "O3", "O4"]              # a corrected one
+    assert deliver([("5", "O5", "n/a", None)]) == ["O1", "O2", "O3", "O4", "O5"]     # without any day or name
+    md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=source(spark, [("6", "O6", "n/a", None)]), mode="append")
+    assert deliver([("2", "O7", "06/01/2018", None)], delivery="b") == ["O1", "O3", "O5", "O6", "O7"]
+
+
+def test_days_mode_counts_its_own_rows(spark):
+    bronze = fresh_path(spark, "undated_counts")
+    for name, rows in (("a", [("1", "O1", "n/a", None)]), ("b", [("2", "O2", "n/a", None), ("3", "O3", "05/01/2018", None)])):
+        got = md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=source(spark, rows), mode="days", delivery=name)
+        assert (got.records_in, got.records_out) == (len(rows), len(rows))
+
+
 def full_silver(spark, bronze):
     return silver_rows(md.silver_frame(fs.read_layer(spark, bronze)))
 
@@ -91,6 +116,26 @@ def test_incremental_silver_equals_the_full_job(spark, per_batch):
     assert not os.path.isdir(os.path.join(silver.removeprefix("file:"), "year=2018", "month=1", "day=8"))
 
 
+def test_incremental_silver_after_days_came_again_or_went(spark):
+    bronze, silver = fresh_path(spark, "br"), fresh_path(spark, "sr")
+    deliveries = [
+        [("1", "O1", "05/01/2018", None), ("2", "O2", "05/01/2018", None), ("A", "O3", "05/01/2018", None), ("2", "O4", "07/01/2018", None)],
+        [("1", "O1", "05/01/2018", None)],                                      # row 2 moves to its other copy, the loose line goes
+        [("2", "O5", "05/01/2018", None), ("B", "O6", "06/01/2018", None)],     # row 1 goes, row 2 comes back
+        [("9", "O9", "bad", None)],
+    ]
+    checkpoint = None
+    for i, rows in enumerate(deliveries):
+        md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=source(spark, rows), mode="days", delivery=str(i))
+        checkpoint = incremental_silver(spark, bronze, silver, checkpoint)
+        assert silver_rows(fs.read_layer(spark, silver)) == full_silver(spark, bronze)
+    assert [r[1] for r in full_silver(spark, bronze)] == ["O5", "O6"]
+    day = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{bronze}/year=2018/month=1/day=6")
+    day.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(day, True)
+    incremental_silver(spark, bronze, silver, checkpoint)
+    assert silver_rows(fs.read_layer(spark, silver)) == full_silver(spark, bronze)
+
+
 def test_affected_days_prune_the_bronze_scan(spark):
     bronze = fresh_path(spark, "bp")
     md.ingest_bronze(spark, "", bronze, source=source(spark, [(str(i), "O", f"{i:02d}/01/2018", None) for i in range(1, 29)]))

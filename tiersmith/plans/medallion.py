@@ -13,9 +13,11 @@ from a layer come from its parquet footers, not from a pass over the data.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from tiersmith.functions.text import strip_whitespace
 from tiersmith.operators.cleanse import cleanse
 from tiersmith.operators.customers import customer_metrics
 from tiersmith.operators.sales import sales_orders
+from tiersmith.session import shared_dir
 from tiersmith.sources.catalog import BRONZE_TABLE, SILVER_TABLE
 from tiersmith.sources.files import PARTITION_COLUMNS, count_rows, read_csv, read_layer, write_partitioned
 
@@ -83,19 +86,55 @@ def bronze_frame(source: DataFrame, on_bad_date: str = "fail", date_col: str = "
 
 
 def ingest_bronze(spark: SparkSession, source_path: str, out_path: str, on_bad_date: str = "fail",
-                  source: DataFrame | None = None, mode: str = "replace") -> StageResult:
+                  source: DataFrame | None = None, mode: str = "replace", delivery: str | None = None) -> StageResult:
     """CSV (or a given source frame) -> day-partitioned bronze parquet.
-    ``mode='days'`` replaces only the days (and the undated rows) of this
-    delivery, ``'append'`` adds to what is there."""
+    ``mode='days'`` replaces only the days of this delivery, ``'append'`` adds
+    to what is there.  Undated rows belong to no day: in ``days`` mode those of
+    other deliveries stay, those that an earlier run of this ``delivery`` left
+    are replaced.  A delivery is named by ``source_path`` unless a name is
+    given; an unnamed frame goes by its first and last day, which takes a pass."""
     read = Observation("bronze_in")
     if source is not None:
         src = source.observe(read, F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("malformed"))
     else:
         src = read_csv(spark, source_path, observation=read)
-    n = _write_counted(bronze_frame(src, on_bad_date), out_path, "bronze", mode)
+    frame = bronze_frame(src, on_bad_date)
+    if mode == "days" and on_bad_date == "null":
+        if not (delivery or source_path):
+            day = F.make_date("year", "month", "day")
+            delivery = "..".join(str(d) for d in bronze_frame(source, on_bad_date).agg(F.min(day), F.max(day)).first())
+        n = _write_days(spark, frame, out_path, delivery or source_path)
+    else:
+        n = _write_counted(frame, out_path, "bronze", mode)
     return StageResult("bronze", int(read.get["rows"]), n, out_path, malformed=int(read.get["malformed"] or 0))
 
 
+def _write_days(spark: SparkSession, frame: DataFrame, out_path: str, delivery: str) -> int:
+    """Replace the days of ``frame``, and the undated rows of its delivery.
+
+    A record of each delivery's undated rows lies in a folder of the table that
+    readers skip.  It is written after the table: a run that dies in between
+    must be run again under the same name before the next delivery, and may
+    leave its own undated rows twice until the run after that."""
+    record = f"{out_path}/_undated/{hashlib.sha256(delivery.encode()).hexdigest()[:32]}"
+    undated = F.col("year").isNull()
+
+    def undated_rows(path: str) -> DataFrame:
+        try:
+            return spark.read.schema(frame.schema).parquet(path).where(undated).select(*frame.columns)
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], frame.schema)
+
+    shared_dir(spark)
+    # Materialized, since the partition they are read from is written again.
+    kept = undated_rows(out_path).exceptAll(undated_rows(record)).checkpoint()
+    n = _write_counted(frame.unionByName(kept), out_path, "bronze", "days") - kept.count()
+    undated_rows(out_path).exceptAll(kept).write.mode("overwrite").parquet(record)
+    return n
+
+
 def silver_frame(bronze: DataFrame, strict: bool = False) -> DataFrame:
     """Bronze rows -> cleansed silver rows with partition columns."""
     src = bronze.drop(*[c for c in PARTITION_COLUMNS if c in bronze.columns])

@@ -228,12 +228,21 @@ def _names(rule: str) -> str:
             f"{last} AS customer_last_name FROM (SELECT p_partkey AS partkey, {name} AS customer_name FROM part)")
 
 
+# Days of one year come again without the lines of a sub-category; a day that holds no others stays.
+_DELIVERED = f"""delivered AS (
+  SELECT * EXCLUDE (_d, _others) FROM (
+    SELECT *, count(*) FILTER (WHERE "Sub-Category" <> 'C3') OVER (PARTITION BY _d) AS _others
+    FROM (SELECT *, {parse(strip(q('Order Date')))} AS _d FROM source))
+  WHERE "Sub-Category" <> 'C3' OR _others = 0 OR _d IS NULL OR _d NOT BETWEEN DATE '2001-01-01' AND DATE '2001-12-31')"""
+
 ORACLES: dict[str, str] = {
     # sources & sinks
     "csv_scan": with_(SOURCE) + f"SELECT {_READ_SEL} FROM source",
     "daily_rerun": with_(SOURCE) + f"SELECT {_BRONZE_TEXT}",
     "bronze_append": with_(SOURCE) + f"SELECT {_BRONZE_TEXT} UNION ALL SELECT {_BRONZE_TEXT} WHERE _d = DATE '2001-06-30'",
     "incremental_silver_deliveries": with_(SILVER) + f"SELECT {_SILVER_YMD}",
+    "incremental_silver_replaced": with_(SILVER.replace("FROM source", "FROM delivered").replace(SOURCE, f"{SOURCE}, {_DELIVERED}", 1))
+    + f"SELECT {_SILVER_YMD}",
     "bronze_ingest": with_(SOURCE) + f"SELECT {_BRONZE}",
     "bronze_scan": with_(SOURCE) + f"SELECT {_BRONZE}",
     "silver_scan": with_(SILVER) + f"SELECT {_SILVER_YMD}",
