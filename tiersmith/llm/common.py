@@ -3,10 +3,14 @@ ranks without a hot group, deterministic bounded samples, text patterns."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +67,37 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+    """While it lasts, Python gets that many rows at a time: the working sets
+    of texts and their tokens are a batch each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def tidied(run):
+    """For a function over batches: once it ends, its memory goes back to the
+    system.  Python workers are reused, and what each kind of work leaves
+    unused in them would add up from stage to stage."""
+    @functools.wraps(run)
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidy
+
+
 def with_rid(df: DataFrame, name: str = "_rid") -> DataFrame:
     """Adds a unique row id.  It depends on the partitioning: materialize
     before the id is used twice."""

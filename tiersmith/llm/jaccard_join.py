@@ -15,14 +15,18 @@ runs out of rare tokens it is extended through the frequent ones.
    ``RARE`` nodes are frequent.  Any token set gives right results as
    "frequent", it only has to be the same for all nodes.
 3. Nodes that keep too few rare tokens are extended over their whole sets.
-4. Each list first proposes its first node with all others, so groups of near
-   copies are not compared all with all; while long lists still hold nodes not
-   known to be connected, other nodes take that place; at last all such pairs
-   are proposed, so no link that joins two components is lost.
+4. Each list proposes its most central node (the one of the fewest rare tokens)
+   with all others, so groups of near copies are not compared all with all.
+5. Lists that still hold several components: short ones propose all pairs of
+   different components.  Long ones are dealt anew by one more token: each node
+   is written as its difference to the list's head (tokens it adds, tokens it
+   lacks), and a pair not settled by the head must share many of these tokens,
+   so of the rarest half of one node's difference at least one is shared
+   (:func:`_dealt_anew`).  No link that joins two components is lost.
    Candidates drop out if the low ends of their orders, of which both nodes
    know all tokens, already differ too much; the others are verified on whole
    sets.
-5. Components come from alternating large and small stars.
+6. Components come from alternating large and small stars.
 
 Defined cases: null and blank texts have no tokens and stay alone; texts with
 fewer than ``width`` words are one token; equal sets link; repeated rows
@@ -37,23 +41,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiersmith.llm.common import Scratch, with_rid
+from tiersmith.llm.common import Scratch, small_batches, tidied, with_rid
 
 WIDTH, PERCENT = 4, 85
 # A token in more nodes than this is frequent.
 RARE = 16
 # Sizes from which frequent tokens are dealt into so many groups (1: indexed alone, none lost).
 GROUPS = ((0, 1), (24, 16), (400, 256))
-# Lists longer than this that still hold several components get another star, up to so many times.
-LONG_LIST, STARS = 4 * RARE, 3
+# Lists longer than this that still hold several components are dealt anew.
+LONG_LIST = 4 * RARE
+# Centrality of nodes that have rare tokens enough (others: how many they have).
+OUTER = 1 << 30
 # Tokens are 63-bit hashes; the index and the low ends keep their top 48 bits (equal ones only add candidates).
 TOKEN_BYTES, TOKEN_SHIFT = 6, 15
 # Rows up to which a side of a join is broadcast (about 16 bytes each).
 BROADCAST_ROWS = 1_000_000
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 100_000
 
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -126,6 +132,7 @@ def _unpacked(raw) -> np.ndarray:
 
 def _sketches(df: DataFrame, width: int, percent: int) -> DataFrame:
     """Per document: size of its set, a digest of it, and the low end of its order."""
+    @tidied
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -145,6 +152,7 @@ def _sketches(df: DataFrame, width: int, percent: int) -> DataFrame:
 
 def _sets(docs: DataFrame, nodes: DataFrame, count: int, width: int) -> DataFrame:
     """Whole sets of some nodes, read again from one text of each."""
+    @tidied
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([s.view(np.int64) for s in token_sets(batch, width)])
@@ -173,6 +181,7 @@ def _counted(df: DataFrame, put: Scratch) -> tuple[DataFrame, int]:
 def _low_rows(nodes: DataFrame, fold: bool) -> DataFrame:
     """(token, node) of the low ends; with ``fold`` a token of over ``RARE``
     nodes in one batch gives a single row without a node."""
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("low").to_pylist()
@@ -192,6 +201,7 @@ def _low_rows(nodes: DataFrame, fold: bool) -> DataFrame:
 def _lists(rows: DataFrame) -> DataFrame:
     """Of rows dealt and sorted by token: those of tokens in 2 to ``RARE``
     nodes, and one row without a node for each token in more."""
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_tokens, held_nodes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -221,7 +231,9 @@ def _lists(rows: DataFrame) -> DataFrame:
 
 
 def _extended(sets: DataFrame, percent: int) -> DataFrame:
-    """Signatures (``sig``, ``node``, ``alone``) of whole sets with their frequent tokens."""
+    """Signatures (``sig``, ``node``, ``outer``: rare tokens of the node's prefix,
+    ``alone``: whether this is one) of whole sets with their frequent tokens."""
+    @tidied
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -240,13 +252,12 @@ def _extended(sets: DataFrame, percent: int) -> DataFrame:
                     for (low, groups), high in zip(GROUPS, bounds[1:]):
                         if most >= low and least < high:
                             pairs.append(_combinations(rest, need - len(alone), groups))
-                out.append((alone.tolist(), np.concatenate(pairs).view(np.int64).tolist() if pairs else []))
-            yield pd.DataFrame(out, columns=["alone", "pairs"])
+                out.append((np.r_[alone, np.concatenate(pairs).view(np.int64)] if pairs else alone, len(alone)))
+            yield pd.DataFrame(out, columns=["sigs", "alone"])
 
-    udf = F.pandas_udf(run, "alone array<long>, pairs array<long>")
-    made = sets.withColumn("_g", udf("tokens", "frequent")).select("node", "_g.*")
-    return (made.select("node", F.explode("alone").alias("sig"), F.lit(True).alias("alone"))
-            .union(made.select("node", F.explode("pairs").alias("sig"), F.lit(False).alias("alone"))))
+    made = sets.select("node", F.pandas_udf(run, "sigs array<long>, alone int")("tokens", "frequent").alias("g"))
+    return made.select("node", F.posexplode("g.sigs").alias("i", "sig"), F.col("g.alone").alias("outer")).select(
+        "sig", "node", "outer", (F.col("i") < F.col("outer")).alias("alone"))
 
 
 def _combinations(tokens: np.ndarray, need: int, groups: int) -> np.ndarray:
@@ -274,6 +285,7 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int, put: Scratch) -> Dat
 
     Up to the smaller of the last tokens of two low ends, both nodes' tokens
     are all known; those that only one has must fit the difference allowed."""
+    @tidied
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
@@ -336,19 +348,50 @@ def _hubs(links: DataFrame, put: Scratch) -> DataFrame:
     return put(one.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root")))
 
 
-def _star_pairs(sigs: DataFrame, salt: int) -> DataFrame:
-    """Each list's first node by a hash of ``salt`` with those not known to be
-    connected with it."""
-    order = F.xxhash64(F.lit(salt), "node")
-    heads = (sigs.groupBy("sig").agg(F.min_by(F.struct("node", "root"), order).alias("h"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-             .where("r0 < r1").select("sig", F.col("h.node").alias("a"), F.col("h.root").alias("ra")))
-    met = sigs.join(heads, "sig").where("root <> ra")
-    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+def _heads(sigs: DataFrame) -> DataFrame:
+    """(sig, head): the most central node of each list of several."""
+    first = sigs.groupBy("sig").agg(F.min(F.struct("outer", "node")).alias("h"), F.count(F.lit(1)).alias("c"))
+    return first.where("c > 1").select("sig", F.col("h.node").alias("head"))
 
 
 def _first_pairs(sigs: DataFrame) -> DataFrame:
-    heads = sigs.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select("sig", "a")
-    return sigs.join(heads, "sig").where("node > a").select("a", F.col("node").alias("b")).distinct()
+    met = sigs.join(_heads(sigs), "sig").where("node <> head")
+    return met.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
+def _dealt_anew(live: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int, put: Scratch) -> DataFrame:
+    """Pairs (a, b) of different components that may link, of long lists
+    ``live`` (sig, node, root, outer) whose heads were compared with all.
+
+    With ``x`` and ``y`` tokens in the differences of A and B to a head, the
+    sets differ in at least ``x + y - 2 s`` tokens if the differences share
+    ``s``.  A link allows ``d = (100 - t) / (100 + t)`` of both sizes, so ``s >=
+    (x + y - d) / 2``.  If that is 0 or less, both link with the head itself: B
+    is larger than the head by ``y`` at most.  So one node, A, does not, and
+    ``s`` is more than ``y (1 - q) / 2``, ``q`` being that fraction: with tokens
+    ordered by rarity, one is among the first ``y (1 + q) / 2`` of B."""
+    less, more = 100 - percent, 100 + percent
+    groups = put(live.join(_heads(live), "sig").select("head", "node", "root").distinct())
+    wanted, count = _counted(groups.select("node").union(groups.select("head")).distinct(), put)
+    sets = put(_sets(docs, nodes.select("node", "key").join(_small(wanted, count), "node"), count, width))
+    both = (groups.join(sets, "node").join(sets.select(F.col("node").alias("head"), F.col("tokens").alias("theirs")), "head"))
+    # Tokens have 63 bits: their complements, tokens that a node lacks, are other numbers.
+    lacks = F.transform(F.array_except("theirs", "tokens"), lambda t: F.bitwise_not(t))
+    differ = both.select("head", "node", "root", F.size("tokens").alias("n"), F.size("theirs").alias("nh"),
+                         F.concat(F.array_except("tokens", "theirs"), lacks).alias("d")).withColumn("x", F.size("d"))
+    each = put(differ.select("head", "node", "root", "n", "x", (more * F.col("x") > less * (F.col("n") + F.col("nh"))).alias("far"),
+                             F.explode("d").alias("t")))
+    often = each.groupBy("head", "t").agg(F.count(F.lit(1)).alias("f"))
+    ranked = put(each.join(often, ["head", "t"]).withColumn(
+        "pos", F.row_number().over(Window.partitionBy("head", "node").orderBy("f", "t")) - 1))
+    a = ranked.where("far").select("head", "t", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), "x", F.col("pos").alias("pa"))
+    b = (ranked.where(2 * more * F.col("pos") < (less + more) * F.col("x"))
+         .select("head", "t", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("x").alias("y"), F.col("pos").alias("pb")))
+    shared = F.ceil((F.col("x") + F.col("y") - F.floor(less * (F.col("na") + F.col("nb")) / more)) / 2)
+    met = a.join(b, (a["head"] == b["head"]) & (a["t"] == b["t"]) & (F.col("ra") != F.col("rb"))
+                 & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+                 & (F.col("pa") <= F.col("x") - shared) & (F.col("pb") <= F.col("y") - shared))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _short_tokens(sets: DataFrame) -> DataFrame:
@@ -363,6 +406,11 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """Per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id`` (smallest
     id reachable by links), ``text_key`` (xxhash64 of the text) and ``first``
     (whether the row is, or repeats, the component's first)."""
+    with small_batches(df.sparkSession):
+        return _components(df, doc_id, text, width, percent)
+
+
+def _components(df: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     kept, put = Scratch(df.sparkSession, "jaccard"), Scratch(df.sparkSession, "jaccard-rounds")
     docs = df.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     rows = kept(_sketches(docs, width, percent).select(
@@ -396,21 +444,20 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         own = put(_extended(sets.join(hits, "node", "left"), percent))
         alone, count = _counted(own.where("alone").select(F.col("sig").alias("token")).distinct(), put)
         met = low.join(_small(alone, count), "token").select(F.col("token").alias("sig"), "node")
-        sigs = sigs.union(own.select("sig", "node")).union(met).distinct()
+        outer = sigs.union(met).withColumn("outer", F.lit(OUTER))
+        sigs = outer.union(own.select("sig", "node", "outer")).groupBy("sig", "node").agg(F.min("outer").alias("outer"))
+    else:
+        sigs = sigs.withColumn("outer", F.lit(OUTER))
     sigs = put(sigs)
     edges = _verified(_first_pairs(sigs), docs, nodes, width, percent, put)
-    roots = _hubs(edges, put)
-    for star in range(1, STARS):
-        live = _rooted(sigs, roots)
-        mixed = live.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c")).where("r0 < r1")
-        mixed = put(mixed.select("sig", "c"))
-        long = mixed.where(F.col("c") > LONG_LIST).select("sig")
-        if not long.limit(1).count():
-            break
-        edges = edges.union(_verified(_star_pairs(live.join(long, "sig"), star), docs, nodes, width, percent, put))
-        roots = _hubs(edges, put)
-    live = _rooted(sigs, roots).join(mixed.select("sig"), "sig").join(nodes.select("node", "n"), "node")
-    a, b = (live.select("sig", *[F.col(c).alias(c + x) for c in ("node", "root", "n")]) for x in "ab")
+    live = _rooted(sigs, _hubs(edges, put))
+    mixed = live.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c")).where("r0 < r1")
+    mixed = put(mixed.select("sig", "c"))
+    if mixed.where(F.col("c") > LONG_LIST).limit(1).count():
+        long = live.join(mixed.where(F.col("c") > LONG_LIST).select("sig"), "sig")
+        edges = edges.union(_verified(_dealt_anew(long, docs, nodes, width, percent, put), docs, nodes, width, percent, put))
+    short = live.join(mixed.where(F.col("c") <= LONG_LIST).select("sig"), "sig").join(nodes.select("node", "n"), "node")
+    a, b = (short.select("sig", *[F.col(c).alias(c + x) for c in ("node", "root", "n")]) for x in "ab")
     rest = (a.join(b, "sig").where("nodea < nodeb and roota <> rootb")
             .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
             .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
