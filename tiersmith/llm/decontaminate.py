@@ -106,7 +106,9 @@ def phrase_matches(index: Index, phrases: DataFrame, put: Scratch) -> DataFrame:
     open_ = left.where("k > 2").join(_small(rest, count), "phrase")
     probes = (open_.select("phrase", "doc", "start", "k", F.explode("rest").alias("r"))
               .select("phrase", "doc", "start", "k", (F.col("start") + F.col("r.offset")).alias("pos"), F.col("r.term").alias("term")))
-    held = index.postings.join(left.where("k > 2").select("doc").distinct(), "doc", "left_semi")
+    # Only the documents still in question: their ids are few unless much of the corpus is contaminated.
+    asked = put(left.where("k > 2").select("doc").distinct())
+    held = index.postings.join(_small(asked, asked.count()), "doc", "left_semi")
     met = probes.join(held, ["doc", "pos", "term"], "left_semi").groupBy("phrase", "doc", "start", "k").agg(F.count(F.lit(1)).alias("m"))
     return put(met.where("m = k - 2").drop("m").union(left.where("k <= 2")))
 
