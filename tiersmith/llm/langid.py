@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiersmith.llm.common import held_out, sample_key
+from tiersmith.llm.common import held_out, sample_key, tidied
 
 _WIDTH = 16  # characters of a word that features look at
 # Longer runs of letters are consecutive words, so every letter counts.
@@ -285,6 +285,7 @@ def fit_crf(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_words: int = FIT_WORD
 def language_column(model: Crf, text: str | Column = "text") -> Column:
     """Struct ``lang_pred``, ``score`` (share of the text's words, in
     expectation, that are in that language) for each text."""
+    @tidied
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             names, scores = ["und"] * len(batch), [0.0] * len(batch)

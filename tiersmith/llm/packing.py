@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiersmith.llm.bpe import byte_characters
-from tiersmith.llm.common import gapless_rank, materialize, with_rid
+from tiersmith.llm.common import gapless_rank, materialize, tidied, with_rid
 
 CAPACITY, END_TOKEN = 1024, 2
 # Branch-and-bound: nodes in all, completions tried for a bin, pieces looked at for one.
@@ -58,6 +58,7 @@ def token_pieces(df: DataFrame, keep: Sequence[str], vocabulary: str, text: str
                  end: int = END_TOKEN, ids: bool = False) -> DataFrame:
     """``keep`` and one row per piece: ``piece``, ``start``, ``length``,
     ``ids_crc32`` and, on demand, ``ids``."""
+    @tidied
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoding = byte_encoding(vocabulary)
         special = tuple(encoding.special_tokens_set)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiersmith.llm.common import held_out, sample_key
+from tiersmith.llm.common import held_out, sample_key, tidied
 
 # Bound of each sample that is fitted on: positives, negatives (calibration), unlabelled.
 FIT_ROWS = 4000
@@ -130,6 +130,7 @@ class PuModel:
 
 
 def _features_udf():
+    @tidied
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([features(t).tolist() for t in batch])
@@ -187,6 +188,7 @@ def fit_pu(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, label: str
 
 def score_column(model: PuModel, text: str | Column = "text") -> Column:
     """Score of each text, 0 to 1."""
+    @tidied
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             x = np.array([features(t) for t in batch], np.float32).reshape(-1, N_FEATURES)
