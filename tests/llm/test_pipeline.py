@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -15,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 def test_stages_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "language_id", "ngram_jaccard_join", "best_fit_packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -26,11 +27,13 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     model = pu_quality.fit_pu(docs, labels)
     good = {i: t for i, t in rows.items() if pu_quality.features(t).any() and model.score(pu_quality.features(t)[None])[0] >= pu_quality.KEEP_SCORE}
     kept = docs.where(docs["doc_id"].isin(list(good)))
-    crf = langid.fit_crf(kept)
+    crf = langid.fit_crf(kept, familiar=True)
     spoken = {}
     for i, t in good.items():
-        for _, p in crf.label_words([langid.text_words(t)]):
-            if p.mean(axis=0).max() >= corpus_pipeline.MIN_LANGUAGE_SCORE:
+        words = langid.text_words(t)
+        usual = crf.familiarity(np.mean([crf.evidence(langid.word_features([w]))[0] for w in words]), len(words)) if words else 0
+        for _, p in crf.label_words([words]):
+            if p.mean(axis=0).max() >= corpus_pipeline.MIN_LANGUAGE_SCORE and usual >= corpus_pipeline.MIN_FAMILIAR:
                 spoken[i] = t
     sets = {i: next(jaccard_join.token_sets([t])).tolist() for i, t in sorted(spoken.items())}
     group = {i: i for i in sets}
@@ -62,3 +65,15 @@ def test_stages_keep_columns_and_take_odd_rows(spark, docs):
         assert stage(spark, odd, SF).columns == odd.columns, name
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs([]), SF).count() == 0
+
+
+def test_language_stage_drops_texts_in_no_known_language(spark, docs):
+    known = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    strange = ["La casa del nostro vicino è stata venduta ieri mattina a una famiglia che viene dalla Toscana e che ha tre figli piccoli.",
+               "Η γάτα κοιμάται πάνω στο τραπέζι της κουζίνας και ο σκύλος τρέχει στον κήπο.", "今天天气很好，我们一起去公园散步，然后回家吃饭。",
+               "xqz wvk jjq qxv zzk wpq vvx kqj xzw qqk jxv", "12345 --- 678"]
+    rows = known + [(1_000_000 + i, t, None, "s", len(t)) for i, t in enumerate(strange)]
+    left = {r.doc_id for r in corpus_pipeline.language_id(spark, docs(rows), SF).collect()}
+    assert not any(i >= 1_000_000 for i in left)
+    spoken = {r[0] for r in known if r[1] and langid.text_words(r[1])}
+    assert len(spoken - left) <= 0.01 * len(spoken)

@@ -36,6 +36,10 @@ WORDS = re.compile(rf"[^\W\d_]{{1,{_WIDTH}}}")
 FIT_DOCS, FIT_WORDS = 400, 160
 BUCKETS = 1 << 16
 EPOCHS, CHAIN = 3, 48
+# Columns of :func:`word_features` with bigrams and trigrams; what an n-gram never seen counts.
+NGRAMS, GRAM_PRIOR = slice(9, None), 0.02
+# Words from which a text's own mean says how texts differ.
+LONG_TEXT = 30
 # Words of a chain that forward-backward steps through one by one; pieces run side by side.
 PIECE = 128
 # Words whose scores are held at a time while a batch of texts is labelled.
@@ -106,6 +110,45 @@ class Crf:
             out += self.weights[column]  # -1 is the zero row
         return out
 
+    def fit_familiar(self, texts: Sequence[tuple[int, Sequence[str]]]) -> Crf:
+        """Learn what texts of the labels look like at all, from ``texts``
+        (label index, words).
+
+        A word's evidence is the mean log-frequency of its n-grams in the
+        language that explains it best.  Half of the texts are judged by the
+        n-grams of the others, both ways: that gives the mean and the spread of
+        the evidence of words and of whole texts that were not learned from."""
+        def counted(some: Sequence[tuple[int, Sequence[str]]]) -> np.ndarray:
+            out = np.full((BUCKETS, len(self.labels)), GRAM_PRIOR, np.float32)
+            for label in range(len(self.labels)):
+                words = [w for lang, ws in some if lang == label for w in ws]
+                if words:
+                    grams = word_features(words)[:, NGRAMS]
+                    out[:, label] += np.bincount(grams[grams >= 0], minlength=BUCKETS)
+            return np.log(out / out.sum(axis=0)).astype(np.float32)
+
+        judged = []
+        for odd in (0, 1):
+            self.grams = counted([t for i, t in enumerate(texts) if i % 2 == odd])
+            judged += [self.evidence(word_features(list(words))) for i, (_, words) in enumerate(texts) if i % 2 != odd and len(words)]
+        self.grams = counted(texts)
+        words = np.concatenate(judged) if judged else np.zeros(1, np.float32)
+        whole = np.array([x.mean() for x in judged if len(x) >= LONG_TEXT]) if judged else words
+        self.usual, self.word_spread = float(words.mean()), float(words.std())
+        self.text_spread = float(whole.std()) if len(whole) > 1 else self.word_spread
+        return self
+
+    def evidence(self, features: np.ndarray) -> np.ndarray:
+        """Per word: the mean log-frequency of its n-grams in the language that explains it best."""
+        grams = features[:, NGRAMS]
+        held = (grams >= 0)[:, :, None]
+        return (np.where(held, self.grams[grams], 0).sum(axis=1) / np.maximum(held.sum(axis=1), 1)).max(axis=1)
+
+    def familiarity(self, mean: float, words: int) -> float:
+        """How many standard deviations a text of so many words is above (or
+        below: negative) the usual evidence."""
+        return (mean - self.usual) / (np.hypot(self.text_spread, self.word_spread / np.sqrt(words)) + 1e-6)
+
     def posteriors(self, scores: np.ndarray, sizes: np.ndarray, count_moves: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Marginals of all words of chains laid end to end and, on demand, the
         expected transitions (of chains of at most ``PIECE`` words).
@@ -213,6 +256,9 @@ class Crf:
 
     def label_words(self, texts: Sequence[list[str]]) -> Iterator[tuple[int, np.ndarray]]:
         """(index of the text, posteriors of its words), a bounded number of words at a time."""
+        return ((i, found) for i, found, _ in self._judged(texts, False))
+
+    def _judged(self, texts: Sequence[list[str]], familiar: bool) -> Iterator[tuple[int, np.ndarray, float]]:
         order = sorted((i for i, words in enumerate(texts) if words), key=lambda i: len(texts[i]))
         while order:
             some, n = [], 0
@@ -220,10 +266,17 @@ class Crf:
                 some.append(order.pop())
                 n += len(texts[some[-1]])
             codes, distinct = pd.factorize(np.array([w for i in some for w in texts[i]], dtype=object))
-            scores = np.concatenate([self.emissions(word_features(list(part))) for part in np.array_split(distinct, len(distinct) // 20_000 + 1)])
+            scores, seen = [], []
+            for part in np.array_split(distinct, len(distinct) // 20_000 + 1):
+                features = word_features(list(part))
+                scores.append(self.emissions(features))
+                seen.append(self.evidence(features) if familiar else np.zeros(len(part)))
             sizes = np.array([len(texts[i]) for i in some])
-            found, _ = self.posteriors(scores[codes], sizes)
-            yield from zip(some, np.split(found, np.cumsum(sizes)[:-1]))
+            found, _ = self.posteriors(np.concatenate(scores)[codes], sizes)
+            ends = np.cumsum(sizes)
+            means = np.add.reduceat(np.concatenate(seen)[codes], ends - sizes) / sizes
+            for i, p, mean, size in zip(some, np.split(found, ends[:-1]), means, sizes):
+                yield i, p, self.familiarity(float(mean), int(size)) if familiar else 0.0
 
 
 def text_words(text: str | None) -> list[str]:
@@ -253,8 +306,9 @@ def training_chains(texts: Sequence[tuple[str, Sequence[str]]], labels: Sequence
     return chains + ([(words, np.array(marks))] if words else [])
 
 
-def fit_crf(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_words: int = FIT_WORDS) -> Crf:
-    """Fit on documents with a language whose id is not held out.
+def fit_crf(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_words: int = FIT_WORDS, familiar: bool = False) -> Crf:
+    """Fit on documents with a language whose id is not held out; with
+    ``familiar`` also what texts of these languages look like at all.
 
     The driver gets at most ``2 * fit_docs`` samples per language of at most
     ``fit_words`` words, taken from a place in the text given by the id."""
@@ -279,22 +333,30 @@ def fit_crf(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_words: int = FIT_WORD
     drawn = (usable.where(sample_key() < share[F.col("lang")]).limit(2 * fit_docs * len(labels))
              .select("lang", F.pandas_udf(window, "array<string>")(place, "text").alias("words")))
     texts = sorted((r["lang"], tuple(r["words"])) for r in drawn.collect() if len(r["words"]))
-    return Crf(labels).fit(training_chains(texts, labels))
+    model = Crf(labels).fit(training_chains(texts, labels))
+    return model.fit_familiar([(labels.index(lang), words) for lang, words in texts]) if familiar else model
 
 
-def language_column(model: Crf, text: str | Column = "text") -> Column:
+def language_column(model: Crf, text: str | Column = "text", familiar: bool = False) -> Column:
     """Struct ``lang_pred``, ``score`` (share of the text's words, in
-    expectation, that are in that language) for each text."""
+    expectation, that are in that language) for each text.
+
+    The share is over the learned languages only, so a text in none of them has
+    some share of one.  ``familiar`` adds the evidence against that: how many
+    standard deviations its n-grams are more (or less: negative) usual than
+    those of texts in the learned languages; 0 without words or training."""
+    kind = "lang_pred string, score double" + ", familiar double" * familiar
+
     @tidied
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names, scores = ["und"] * len(batch), [0.0] * len(batch)
+            names, scores, usual = ["und"] * len(batch), [0.0] * len(batch), [0.0] * len(batch)
             if model.labels:
                 for part in range(0, len(batch), 2000):
-                    for i, p in model.label_words([text_words(t) for t in batch.iloc[part: part + 2000]]):
+                    for i, p, seen in model._judged([text_words(t) for t in batch.iloc[part: part + 2000]], familiar):
                         share = p.mean(axis=0)
                         best = int(share.argmax())
-                        names[part + i], scores[part + i] = model.labels[best], min(1.0, float(share[best]))
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+                        names[part + i], scores[part + i], usual[part + i] = model.labels[best], min(1.0, float(share[best])), seen
+            yield pd.DataFrame({"lang_pred": names, "score": scores} | ({"familiar": usual} if familiar else {}))
 
-    return F.pandas_udf(run, "lang_pred string, score double")(text)
+    return F.pandas_udf(run, kind)(text)
