@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tiersmith.llm import license_scan, url_filter
 
@@ -48,6 +49,28 @@ def test_trees_learn_from_labelled_urls(spark):
     assert sum(held) >= 0.95 * len(held)
 
 
+def test_repeated_urls_are_learned_from_once(spark):
+    """Whatever the sample's bound: three URLs in 600 rows, and one that has most rows."""
+    three = ["http://example.org/es/a", "https://example.org/fr/b?x=1", "http://other.net/c"]
+    for urls in (three * 200, three + [three[0]] * 400 + [f"http://h{i}.example.org/en/{i % 3}" for i in range(60)]):
+        df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+        for bound in (1, 10, 20_000):
+            out = url_filter.judge_urls(df, fit_rows=bound).collect()
+            assert len(out) == len(urls)
+            assert len({(urls[r.page_id], r.verdict, r.block_score) for r in out}) == len(set(urls))
+
+
+def test_suffix_statistics_leave_out_the_own_fold(spark):
+    rows = [(f"http://a.com/{i}", f"s{i % 2}", float(i % 3 == 0) if i % 4 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "_url string, suffix string, _y double")
+    fold = {r[0]: r[1] for r in df.select("_url", F.pmod(F.xxhash64("_url"), F.lit(url_filter.FOLDS))).collect()}
+    out, known, blocked = url_filter._with_suffix_statistics(df)
+    assert (known, blocked) == (30, sum(y or 0 for _, _, y in rows))
+    for r in out.collect():
+        others = [y for u, s, y in rows if s == r.suffix and y is not None and (r._y is None or fold[u] != fold[r._url])]
+        assert abs(r.suffix_blocked - (sum(others) + 5) / (len(others) + 10)) < 1e-12 and r.suffix_share == 0.5
+
+
 def test_urls_without_labels(spark):
     df = spark.createDataFrame([(1, "http://a.net/x"), (2, None)], "page_id long, url string")
     assert [r["verdict"] for r in url_filter.judge_urls(df).collect()] == ["allow", "allow"]
