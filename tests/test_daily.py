@@ -18,7 +18,7 @@ from tiersmith.plans import medallion as md
 from tiersmith.session import fresh_path
 from tiersmith.sources import catalog as cat
 from tiersmith.sources import files as fs
-from tiersmith.streaming import incremental_silver
+from tiersmith.streaming import incremental_gold_sales, incremental_silver
 from tiersmith.streaming.incremental import lines_of_days
 
 D = dt.date
@@ -136,6 +136,26 @@ def test_incremental_silver_after_days_came_again_or_went(spark):
     assert silver_rows(fs.read_layer(spark, silver)) == full_silver(spark, bronze)
 
 
+def test_incremental_gold_sales_equals_the_full_job(spark):
+    bronze, silver, gold, changes = (fresh_path(spark, n) for n in ("bg", "sg", "gg", "cg"))
+    deliveries = [
+        [("1", "O1", "08/01/2018", None), ("2", "O1", "05/01/2018", None), ("3", "O2", "05/01/2018", "09/01/2018"), ("A", "O3", "06/01/2018", None)],
+        [("4", "O1", "09/01/2018", None), ("5", "O2", "04/01/2018", None), ("6", "O4", "09/01/2018", None)],  # O2's minimum falls, O1's stays
+        [("3", "O2", "05/01/2018", "09/01/2018")],    # the 5th again: O1 loses its minimum
+        [("A", "O5", "06/01/2018", None)],            # the 6th again: O3 is gone
+        [("5", "O2", "04/01/2018", "06/01/2018")],    # the 4th again: a ship date comes first
+        [("9", "O9", "bad", None)],
+    ]
+    run = gold_run = None
+    for i, rows in enumerate(deliveries):
+        md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=source(spark, rows), mode="append" if i == 1 else "days", delivery=str(i))
+        run = incremental_silver(spark, bronze, silver, run, changes_path=changes)
+        gold_run = incremental_gold_sales(spark, changes, silver, gold, gold_run)
+        full = md.gold_sales_frame(fs.read_layer(spark, silver))
+        assert sorted(map(str, fs.read_layer(spark, gold, full.columns).collect())) == sorted(map(str, full.collect())), i
+    assert sorted(r.order_id for r in fs.read_layer(spark, gold).collect()) == ["O1", "O2", "O4", "O5"]
+
+
 def test_affected_days_prune_the_bronze_scan(spark):
     bronze = fresh_path(spark, "bp")
     md.ingest_bronze(spark, "", bronze, source=source(spark, [(str(i), "O", f"{i:02d}/01/2018", None) for i in range(1, 29)]))

@@ -243,6 +243,8 @@ ORACLES: dict[str, str] = {
     "incremental_silver_deliveries": with_(SILVER) + f"SELECT {_SILVER_YMD}",
     "incremental_silver_replaced": with_(SILVER.replace("FROM source", "FROM delivered").replace(SOURCE, f"{SOURCE}, {_DELIVERED}", 1))
     + f"SELECT {_SILVER_YMD}",
+    "incremental_gold_sales": with_(SILVER.replace("FROM source", "FROM delivered").replace(SOURCE, f"{SOURCE}, {_DELIVERED}", 1), sales_sql("silver"))
+    + f"SELECT {_SALES_COLS}, {ymd('order_date')} FROM sales",
     "bronze_ingest": with_(SOURCE) + f"SELECT {_BRONZE}",
     "bronze_scan": with_(SOURCE) + f"SELECT {_BRONZE}",
     "silver_scan": with_(SILVER) + f"SELECT {_SILVER_YMD}",

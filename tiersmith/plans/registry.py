@@ -31,7 +31,7 @@ from tiersmith.sources import catalog as cat
 from tiersmith.sources import files as fs
 from tiersmith.sources import partitions as pt
 from tiersmith.sources.testdata import order_dates, retail_lines, retail_source, table
-from tiersmith.streaming import incremental_silver
+from tiersmith.streaming import incremental_gold_sales, incremental_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -507,6 +507,21 @@ def q_incremental_silver_replaced(spark, sf_dir):
     return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, bronze)).columns)
 
 
+def q_incremental_gold_sales(spark, sf_dir):
+    # two deliveries, then days delivered again without some of their lines; gold follows each run of silver
+    bronze, silver, gold, changes = (fresh_path(spark, f"gold_{n}") for n in ("bronze", "silver", "sales", "changes"))
+    src = retail_source(spark, sf_dir)
+    later = F.pmod(F.xxhash64("Product ID"), F.lit(3)) == 0
+    day = parse_date(strip_whitespace("Order Date"))
+    again = src.where(day.between(F.lit(REPLACED_START).cast("date"), F.lit(REPLACED_END).cast("date")) & (F.col("Sub-Category") != "C3"))
+    silver_run = gold_run = None
+    for delivery, mode in ((src.where(~later), "append"), (src.where(later), "append"), (again, "days")):
+        md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=delivery, mode=mode, delivery="again")
+        silver_run = incremental_silver(spark, bronze, silver, silver_run, changes_path=changes)
+        gold_run = incremental_gold_sales(spark, changes, silver, gold, gold_run)
+    return fs.read_layer(spark, gold, [c for c, _ in GOLD_SALES_COLUMNS] + ["year", "month", "day"])
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
