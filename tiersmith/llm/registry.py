@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tiersmith.llm import bpe, decontaminate, jaccard_join, kd_shards, langid, lexical, license_scan, merkle, norm_topk, packing, pu_quality, quality_rules, url_filter
 from tiersmith.llm.common import held_out, json_bytes, table
+from tiersmith.llm.oracle import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def tokenizer_path(name: str) -> str:
@@ -91,6 +94,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_kd_tree_sharding, op2_license_scan, op3_exact_topk, op4_bpe, op5_best_fit_packing, op6_quality_rules,
     op7_url_filter, op8_language_id, op9_quality_classifier, op10_ngram_jaccard_join,
     op11_benchmark_decontamination, op12_merkle_manifest, op13_ranked_search)}
-
-# None of these can be expressed in SQL: see tests/llm for their brute-force versions.
-ORACLES: dict[str, str] = {}
