@@ -494,28 +494,32 @@ def q_incremental_silver_deliveries(spark, sf_dir):
     return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, bronze)).columns)
 
 
+def _replaced_days(spark, sf_dir):
+    """The feed without some lines of one year, and the days of that year again:
+    with these lines, but without those of a sub-category, which leave."""
+    src = retail_source(spark, sf_dir)
+    day = parse_date(strip_whitespace("Order Date"))
+    year = F.coalesce(day.between(F.lit(REPLACED_START).cast("date"), F.lit(REPLACED_END).cast("date")), F.lit(False))
+    stays = F.col("Sub-Category") != "C3"
+    late = F.pmod(F.xxhash64("Product ID"), F.lit(3)) == 0
+    return src.where(~(year & stays & late)), src.where(year & stays)
+
+
 def q_incremental_silver_replaced(spark, sf_dir):
-    # some days are delivered again, without lines that they held: these leave silver
     bronze, silver = fresh_path(spark, "bronze_replaced"), fresh_path(spark, "silver_replaced")
-    src = retail_source(spark, sf_dir)
-    md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=src)
+    first, again = _replaced_days(spark, sf_dir)
+    md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=first)
     checkpoint = incremental_silver(spark, bronze, silver)
-    day = parse_date(strip_whitespace("Order Date"))
-    again = src.where(day.between(F.lit(REPLACED_START).cast("date"), F.lit(REPLACED_END).cast("date")))
-    md.ingest_bronze(spark, "", bronze, on_bad_date="null", mode="days", delivery="again", source=again.where(F.col("Sub-Category") != "C3"))
+    md.ingest_bronze(spark, "", bronze, on_bad_date="null", mode="days", delivery="again", source=again)
     incremental_silver(spark, bronze, silver, checkpoint)
     return fs.read_layer(spark, silver, md.silver_frame(fs.read_layer(spark, bronze)).columns)
 
 
 def q_incremental_gold_sales(spark, sf_dir):
-    # two deliveries, then days delivered again without some of their lines; gold follows each run of silver
+    # gold follows each run of silver by the changes that it leaves
     bronze, silver, gold, changes = (fresh_path(spark, f"gold_{n}") for n in ("bronze", "silver", "sales", "changes"))
-    src = retail_source(spark, sf_dir)
-    later = F.pmod(F.xxhash64("Product ID"), F.lit(3)) == 0
-    day = parse_date(strip_whitespace("Order Date"))
-    again = src.where(day.between(F.lit(REPLACED_START).cast("date"), F.lit(REPLACED_END).cast("date")) & (F.col("Sub-Category") != "C3"))
     silver_run = gold_run = None
-    for delivery, mode in ((src.where(~later), "append"), (src.where(later), "append"), (again, "days")):
+    for delivery, mode in zip(_replaced_days(spark, sf_dir), ("replace", "days")):
         md.ingest_bronze(spark, "", bronze, on_bad_date="null", source=delivery, mode=mode, delivery="again")
         silver_run = incremental_silver(spark, bronze, silver, silver_run, changes_path=changes)
         gold_run = incremental_gold_sales(spark, changes, silver, gold, gold_run)
