@@ -68,7 +68,7 @@ def release(spark: SparkSession) -> None:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
     """While it lasts, Python gets that many rows at a time: the working sets
     of texts and their tokens are a batch each."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
