@@ -189,6 +189,36 @@ def test_csv_files_with_other_headers_are_refused_by_name(spark):
         fs.read_csv(spark, path).collect()
 
 
+def test_refused_lines_keep_their_reason_text_and_file(spark):
+    header = "Row ID,Order ID,Order Date,Ship Date,Ship Mode,Customer ID,Customer Name,Segment,Country,City,Sales,Quantity\n"
+    who = "Std,C1,Ann Lee,Consumer,US,Boston"
+    path = feed(spark, {"a.csv": f"{header}1,O1,05/01/2018,06/01/2018,{who},1.5,2\n1,O1,n/a,06/01/2018,{who},1.5,2\n2,O2,31/02/2018,07/01/2018,{who},1.5,2\n",
+                        "b.csv": f"{header}2,O2,,,{who},1.5,2\n3,O3,08/01/2018,,{who},1.5,two\n4,O4,09/01/2018,01/01/2018,{who},x,1\n"})
+    bronze = fresh_path(spark, "b")
+    md.ingest_bronze(spark, path, bronze, on_bad_date="null", file_column="Source File")
+    for strict, kept, rejected in ((False, {1, 3, 4}, {2: "unreadable order_date"}),
+                                   (True, {1}, {2: "unreadable order_date", 3: "no ship_date, unreadable quantity", 4: "no sales"})):
+        out = fresh_path(spark, "judged")
+        r = md.build_silver_quarantined(spark, bronze, out, strict)
+        assert (r.records_in, r.records_out, r.duplicates, r.rejected) == (6, len(kept), 2, len(rejected))
+        silver, bad = md.read_judged(spark, out, "kept"), {x.row_id: x for x in md.read_judged(spark, out, "rejected").collect()}
+        full = md.silver_frame(fs.read_layer(spark, bronze), strict)
+        assert sorted(silver.columns) == sorted(full.columns)
+        assert silver.select(full.columns).exceptAll(full).count() == 0 and full.exceptAll(silver.select(full.columns)).count() == 0
+        assert {k: x.reason for k, x in bad.items()} == rejected and {x.row_id for x in silver.collect()} == kept
+        assert (bad[2].order_date_text, bad[2].copies, bad[2].year, bad[2].day) == ("31/02/2018", 2, 2018, 7) and bad[2].source_file.endswith("a.csv")
+        if strict:
+            assert bad[3].quantity_text == "two" and bad[3].source_file.endswith("b.csv")
+
+
+def test_nothing_to_refuse_and_nothing_at_all(spark):
+    for rows, counts in (([], (0, 0, 0, 0)), ([("1", "O1", "05/01/2018", None)], (1, 1, 0, 0)), ([("1", "O1", "bad", None)], (1, 0, 0, 1))):
+        out = fresh_path(spark, "judged")
+        r = md.build_silver_quarantined(spark, "", out, source=source(spark, rows))
+        assert (r.records_in, r.records_out, r.duplicates, r.rejected) == counts
+        assert (md.read_judged(spark, out, "kept").count(), md.read_judged(spark, out, "rejected").count()) == counts[1::2]
+
+
 def test_source_rows_and_malformed_rows_reach_the_stage_metrics(spark):
     header = "Row ID,Order ID,Order Date,Ship Date,Ship Mode,Customer ID,Customer Name,Segment,Country,City\n"
     path = feed(spark, {"a.csv": header + "1,O1,05/01/2018,,Std,C1,Ann Lee,Consumer,US,Boston\n2,O2\n"})

@@ -96,16 +96,19 @@ def deduplicated_lines(
     row_key: str = "Row ID",
     order_date: str = "Order Date",
     ship_date: str = "Ship Date",
+    copies: str | None = None,
 ) -> DataFrame:
     """Steps 1-3 and 6 of :func:`cleanse`: trimmed, dates parsed, one line per
     row id, typed, snake_case -- before any line is dropped.  Of the copies of
     a row id the one with the earliest valid dates survives; lines without a
-    usable row id are all kept, with a null id."""
+    usable row id are all kept, with a null id.  ``copies`` names a column for
+    the number of lines that each one stands for."""
     lines = dated_lines(df, row_key, order_date, ship_date)
     dates = [order_date, "_ship", ship_date]
     usable = F.col("_row").isNotNull()
-    deduped = first_rows(lines.where(usable), ["_row"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], nulls_last=dates)
-    renamed = snake_case_columns(deduped.union(lines.where(~usable)).drop("_row", "_ship"))
+    deduped = first_rows(lines.where(usable), ["_row"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], copies, nulls_last=dates)
+    single = lines.where(~usable).withColumns({copies: F.lit(1).cast("bigint")} if copies else {})
+    renamed = snake_case_columns(deduped.union(single).drop("_row", "_ship"))
     return renamed.withColumns({c: safe_cast(c, t) for c, t in SILVER_CASTS.items() if c in renamed.columns})
 
 

@@ -20,11 +20,13 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tiersmith.functions.dates import parse_date, parse_date_or_fail, partition_keys
 from tiersmith.functions.text import strip_whitespace
 from tiersmith.operators.cleanse import cleanse
 from tiersmith.operators.customers import customer_metrics
+from tiersmith.operators.quarantine import KEPT, VERDICT, judged_lines
 from tiersmith.operators.sales import sales_orders
 from tiersmith.session import shared_dir
 from tiersmith.sources.catalog import BRONZE_TABLE, SILVER_TABLE
@@ -49,6 +51,8 @@ class StageResult:
     path: str
     latest_order_date: _dt.date | None = None
     malformed: int = 0
+    duplicates: int = 0
+    rejected: int = 0
 
 
 def _write_mode(mode: str) -> dict:
@@ -86,18 +90,20 @@ def bronze_frame(source: DataFrame, on_bad_date: str = "fail", date_col: str = "
 
 
 def ingest_bronze(spark: SparkSession, source_path: str, out_path: str, on_bad_date: str = "fail",
-                  source: DataFrame | None = None, mode: str = "replace", delivery: str | None = None) -> StageResult:
+                  source: DataFrame | None = None, mode: str = "replace", delivery: str | None = None,
+                  file_column: str | None = None) -> StageResult:
     """CSV (or a given source frame) -> day-partitioned bronze parquet.
     ``mode='days'`` replaces only the days of this delivery, ``'append'`` adds
     to what is there.  Undated rows belong to no day: in ``days`` mode those of
     other deliveries stay, those that an earlier run of this ``delivery`` left
     are replaced.  A delivery is named by ``source_path`` unless a name is
-    given; an unnamed frame goes by its first and last day, which takes a pass."""
+    given; an unnamed frame goes by its first and last day, which takes a pass.
+    ``file_column`` names a column for the path of each row's CSV file."""
     read = Observation("bronze_in")
     if source is not None:
         src = source.observe(read, F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("malformed"))
     else:
-        src = read_csv(spark, source_path, observation=read)
+        src = read_csv(spark, source_path, observation=read, file_column=file_column)
     frame = bronze_frame(src, on_bad_date)
     if mode == "days" and on_bad_date == "null":
         if not (delivery or source_path):
@@ -152,6 +158,37 @@ def build_silver(spark: SparkSession, bronze_path: str, out_path: str, strict: b
     return StageResult("silver", n_in, n_out, out_path, latest)
 
 
+def build_silver_quarantined(spark: SparkSession, bronze_path: str, out_path: str, strict: bool = False,
+                             source: DataFrame | None = None) -> StageResult:
+    """Silver and what it refuses, from one pass over bronze (or ``source``)
+    and one write: ``verdict=kept`` holds the days of silver, ``verdict=rejected``
+    the days of the refused lines with their reasons
+    (:func:`tiersmith.operators.quarantine.judged_lines`; read them with
+    :func:`read_judged`).  ``records_in`` comes from the footers of bronze, the
+    others are counted while writing: ``records_in == records_out + duplicates
+    + rejected`` (of a given ``source``, which has no footers, it is their sum)."""
+    written = Observation("judged_out")
+    src = source if source is not None else read_layer(spark, bronze_path, schema=BRONZE_TABLE)
+    judged = judged_lines(src.drop(*PARTITION_COLUMNS), strict=strict)
+    judged = judged.withColumns(partition_keys(F.coalesce("order_date", "ship_date")))
+    kept = F.col(VERDICT) == KEPT
+    write_partitioned(judged, out_path, [VERDICT, *PARTITION_COLUMNS], observation=written, extra_metrics=[
+        F.count_if(kept).alias("kept"), F.sum(F.col("copies") - 1).alias("duplicates"), F.max(F.when(kept, F.col("order_date"))).alias("latest")])
+    got = written.get
+    rows, n_out, duplicates = (int(got[c] or 0) for c in ("rows", "kept", "duplicates"))
+    n_in = rows + duplicates if source is not None else count_rows(spark, bronze_path, BRONZE_TABLE)
+    return StageResult("silver", n_in, n_out, out_path, got.get("latest"), duplicates=duplicates, rejected=rows - n_out)
+
+
+def read_judged(spark: SparkSession, path: str, verdict: str) -> DataFrame:
+    """The lines of one verdict (only its folders are read); of kept ones the
+    columns of silver, of rejected ones also their reasons and texts."""
+    more = [StructField(VERDICT, StringType()), StructField("copies", LongType()), StructField("reason", StringType())]
+    rows = read_layer(spark, path, schema=StructType(SILVER_TABLE.fields + more))
+    rows = rows.where(F.col(VERDICT) == verdict).drop(VERDICT)
+    return rows.drop("reason", "copies", *[c for c in rows.columns if c.endswith("_text")]) if verdict == KEPT else rows
+
+
 def gold_sales_frame(silver: DataFrame) -> DataFrame:
     return sales_orders(silver).withColumns(partition_keys("order_date"))
 

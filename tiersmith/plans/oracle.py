@@ -235,7 +235,32 @@ _DELIVERED = f"""delivered AS (
     FROM (SELECT *, {parse(strip(q('Order Date')))} AS _d FROM source))
   WHERE "Sub-Category" <> 'C3' OR _others = 0 OR _d IS NULL OR _d NOT BETWEEN DATE '2001-01-01' AND DATE '2001-12-31')"""
 
+# tiersmith.operators.quarantine.judged_lines, strict
+def _refusal(column: str, text: str | None) -> str:
+    blank = f"coalesce({text}, '') = ''" if text else "true"
+    return f"CASE WHEN {column} IS NULL THEN CASE WHEN {blank} THEN 'no {column}' ELSE 'unreadable {column}' END END"
+
+
+_JUDGED = with_(SOURCE, TRIMMED, DATED, "grp AS (SELECT _row, _own, count(*) AS copies FROM dated GROUP BY _row, _own)", DEDUP, f"""typed AS (
+  SELECT d._row AS row_id, d."Order ID" AS order_id, d._od AS order_date, d._sd AS ship_date,
+         "Ship Mode" AS ship_mode, "Customer ID" AS customer_id, "Customer Name" AS customer_name,
+         "Segment" AS segment, "Country" AS country, "City" AS city, "State" AS state, "Postal Code" AS postal_code,
+         "Region" AS region, "Product ID" AS product_id, "Category" AS category, "Sub-Category" AS sub_category,
+         "Product Name" AS product_name, "Sales" AS sales, TRY_CAST("Quantity" AS BIGINT) AS quantity, CAST(g.copies AS BIGINT) AS copies,
+         "Row ID" AS row_id_text, "Order Date" AS order_date_text, "Ship Date" AS ship_date_text, "Quantity" AS quantity_text
+  FROM dedup d JOIN grp g ON d._row IS NOT DISTINCT FROM g._row AND d._own IS NOT DISTINCT FROM g._own),
+judged AS (
+  SELECT * REPLACE (CASE WHEN ship_date < order_date THEN NULL ELSE ship_date END AS ship_date),
+         concat_ws(', ', {_refusal('order_date', 'order_date_text')}, {_refusal('ship_date', 'ship_date_text')},
+                   {_refusal('sales', None)}, {_refusal('quantity', 'quantity_text')}) AS reason
+  FROM typed)""")
+
 ORACLES: dict[str, str] = {
+    "rejected_lines": _JUDGED + f"SELECT *, {ymd('coalesce(order_date, ship_date)')} FROM judged WHERE reason <> ''",
+    "silver_kept": _JUDGED + f"SELECT {_SILVER_SEL}, {ymd('order_date')} FROM judged WHERE reason = ''",
+    "verdict_counts": _JUDGED + """SELECT CASE WHEN reason = '' THEN 'kept' ELSE 'rejected' END AS verdict, nullif(reason, '') AS reason,
+         count(*) AS lines, CAST(sum(copies) AS BIGINT) AS source_lines, CAST(sum(copies - 1) AS BIGINT) AS duplicates
+  FROM judged GROUP BY ALL""",
     # sources & sinks
     "csv_scan": with_(SOURCE) + f"SELECT {_READ_SEL} FROM source",
     "daily_rerun": with_(SOURCE) + f"SELECT {_BRONZE_TEXT}",

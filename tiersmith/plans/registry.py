@@ -24,6 +24,7 @@ from tiersmith.operators import customers as cu
 from tiersmith.operators import quality as qa
 from tiersmith.operators import reports as rp
 from tiersmith.operators.dedup import duplicate_counts, first_rows
+from tiersmith.operators.quarantine import KEPT, REJECTED, verdict_counts
 from tiersmith.operators.sales import GOLD_SALES_COLUMNS, sales_orders, sales_project
 from tiersmith.plans import medallion as md
 from tiersmith.session import fresh_path
@@ -526,6 +527,23 @@ def q_incremental_gold_sales(spark, sf_dir):
     return fs.read_layer(spark, gold, [c for c, _ in GOLD_SALES_COLUMNS] + ["year", "month", "day"])
 
 
+def _judged_path(spark, sf_dir):
+    return _layer(spark, sf_dir, "judged", lambda p: md.build_silver_quarantined(
+        spark, "", p, strict=True, source=retail_source(spark, sf_dir)))
+
+
+def q_rejected_lines(spark, sf_dir):
+    return md.read_judged(spark, _judged_path(spark, sf_dir), REJECTED)
+
+
+def q_silver_kept(spark, sf_dir):
+    return md.read_judged(spark, _judged_path(spark, sf_dir), KEPT)
+
+
+def q_verdict_counts(spark, sf_dir):
+    return verdict_counts(fs.read_layer(spark, _judged_path(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

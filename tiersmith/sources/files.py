@@ -39,7 +39,7 @@ _CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA, multi_line: bool = True,
-             observation: Observation | None = None) -> DataFrame:
+             observation: Observation | None = None, file_column: str | None = None) -> DataFrame:
     """Header CSV, typed by column *name*: every column is read as text (no
     inference pass over the data), then each column named in ``schema`` is
     ``try_cast`` to its type -- a bad value becomes null instead of failing
@@ -52,7 +52,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA,
     may hold line breaks.  Such a file is not split, so deliver many files
     rather than one large one, or pass ``False`` for files without line breaks
     in fields.  ``observation`` receives ``rows`` and ``malformed`` (rows with
-    too few or too many fields) while the files are read."""
+    too few or too many fields) while the files are read.  ``file_column`` names
+    a column for the path of each row's file."""
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
               .option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     names = reader.csv(path).columns
@@ -65,7 +66,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA,
         (F.col(f"`{c}`").try_cast(types[c]) if not isinstance(types[c], StringType) else F.col(f"`{c}`")).alias(c)
         if c in types else F.col(f"`{c}`")
         for c in names
-    ])
+    ], *([F.col("_metadata.file_path").alias(file_column)] if file_column else []))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
