@@ -12,6 +12,7 @@ from tiersmith import session
 from tiersmith.operators import cleanse as cl
 from tiersmith.operators import customers as cu
 from tiersmith.operators import reports as rp
+from tiersmith.operators.distinct import distinct_between, write_distinct_state
 from tiersmith.operators.quality import cleanse_metrics
 from tiersmith.operators.sales import sales_orders
 from tiersmith.plans import medallion as md
@@ -211,6 +212,31 @@ def test_refused_lines_keep_their_reason_text_and_file(spark):
             assert bad[3].quantity_text == "two" and bad[3].source_file.endswith("b.csv")
 
 
+def test_distinct_counts_of_any_span_come_from_the_state_of_its_days(spark):
+    def lines(first, last, step):
+        return (spark.range(first, last, step).select(F.col("id").alias("n"), (F.col("id") % 7 - 3).cast("int").alias("signed"),
+                F.when(F.col("id") % 5 > 0, F.concat(F.lit("t"), F.col("id") % 11)).alias("t"),
+                F.when(F.col("id") % 13 > 0, F.date_add(F.lit("2020-02-27").cast("date"), (F.col("id") % 6).cast("int"))).alias("order_date"))
+                .withColumn("nothing", F.lit(None).cast("bigint")))
+
+    columns, path = ["n", "signed", "t", "order_date", "nothing"], fresh_path(spark, "state")
+    old, new = lines(-40_000, 70_000, 37), lines(-90, 70_000, 31)
+    again = new.where("order_date = date'2020-02-29'")
+    write_distinct_state(old, path, columns)
+    write_distinct_state(again, path, columns)
+    now = old.where("not order_date <=> date'2020-02-29'").union(again)
+    state = fs.read_layer(spark, path)
+
+    def counts(df):
+        return {r.column_name: r.distinct_values for r in df.collect()}
+
+    assert counts(distinct_between(state, columns)) == counts(rp.distinct_counts(now, columns))
+    for start, end in (("2020-02-28", "2020-03-01"), ("2020-02-29", "2020-02-29"), ("2021-01-01", "2021-01-02")):
+        span = distinct_between(state, columns, start, end)
+        assert counts(span) == counts(rp.distinct_counts(now.where(f"order_date between '{start}' and '{end}'"), columns))
+    assert "PartitionFilters: [isnotnull" in span._jdf.queryExecution().toString()
+
+
 def test_nothing_to_refuse_and_nothing_at_all(spark):
     for rows, counts in (([], (0, 0, 0, 0)), ([("1", "O1", "05/01/2018", None)], (1, 1, 0, 0)), ([("1", "O1", "bad", None)], (1, 0, 0, 1))):
         out = fresh_path(spark, "judged")

@@ -256,6 +256,10 @@ judged AS (
   FROM typed)""")
 
 ORACLES: dict[str, str] = {
+    "distinct_counts_range": with_(SILVER) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values FROM silver "
+        "WHERE order_date BETWEEN DATE '2001-01-01' AND DATE '2001-12-31'"
+        for c in ("row_id", "quantity", "order_id", "customer_id", "city", "ship_date")),
     "rejected_lines": _JUDGED + f"SELECT *, {ymd('coalesce(order_date, ship_date)')} FROM judged WHERE reason <> ''",
     "silver_kept": _JUDGED + f"SELECT {_SILVER_SEL}, {ymd('order_date')} FROM judged WHERE reason = ''",
     "verdict_counts": _JUDGED + """SELECT CASE WHEN reason = '' THEN 'kept' ELSE 'rejected' END AS verdict, nullif(reason, '') AS reason,

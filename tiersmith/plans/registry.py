@@ -24,6 +24,7 @@ from tiersmith.operators import customers as cu
 from tiersmith.operators import quality as qa
 from tiersmith.operators import reports as rp
 from tiersmith.operators.dedup import duplicate_counts, first_rows
+from tiersmith.operators.distinct import distinct_between, write_distinct_state
 from tiersmith.operators.quarantine import KEPT, REJECTED, verdict_counts
 from tiersmith.operators.sales import GOLD_SALES_COLUMNS, sales_orders, sales_project
 from tiersmith.plans import medallion as md
@@ -527,6 +528,16 @@ def q_incremental_gold_sales(spark, sf_dir):
     return fs.read_layer(spark, gold, [c for c, _ in GOLD_SALES_COLUMNS] + ["year", "month", "day"])
 
 
+DISTINCT_COLUMNS = ("row_id", "quantity", "order_id", "customer_id", "city", "ship_date")
+
+
+def q_distinct_counts_range(spark, sf_dir):
+    # from the state of the span's days, not from its lines
+    silver = _silver(spark, sf_dir)
+    state = _layer(spark, sf_dir, "distinct_state", lambda p: write_distinct_state(silver, p, DISTINCT_COLUMNS))
+    return distinct_between(fs.read_layer(spark, state), DISTINCT_COLUMNS, REPLACED_START, REPLACED_END)
+
+
 def _judged_path(spark, sf_dir):
     return _layer(spark, sf_dir, "judged", lambda p: md.build_silver_quarantined(
         spark, "", p, strict=True, source=retail_source(spark, sf_dir)))
