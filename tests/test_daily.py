@@ -245,6 +245,18 @@ def test_nothing_to_refuse_and_nothing_at_all(spark):
         assert (md.read_judged(spark, out, "kept").count(), md.read_judged(spark, out, "rejected").count()) == counts[1::2]
 
 
+def test_files_of_several_layouts_are_united_by_name(spark):
+    path = feed(spark, {"a.csv": "Row ID,Order ID,City\n1,O1,Boston\n", "b.csv": 'City,Order ID,Row ID,Note\n"Delft, old",O2,2,x\n',
+                        "c d.csv": "Row ID,Order ID,City\r\n3,O3,\r\n", "empty.csv": ""})
+    got = fs.read_csv_layouts(spark, path, file_column="File")
+    assert got.columns == ["Row ID", "Order ID", "City", "Note", "File", "_layout"]
+    rows = {r["Row ID"]: r for r in got.collect()}
+    assert {k: (r["Order ID"], r["City"], r["Note"]) for k, r in rows.items()} == {1: ("O1", "Boston", None), 2: ("O2", "Delft, old", "x"), 3: ("O3", None, None)}
+    assert rows[1]["_layout"] == rows[3]["_layout"] != rows[2]["_layout"] and rows[2]["File"].endswith("b.csv")
+    assert len(fs.csv_layouts(spark, path)) == 2
+    assert fs.read_csv_layouts(spark, feed(spark, {"a.csv": ""})).count() == 0
+
+
 def test_source_rows_and_malformed_rows_reach_the_stage_metrics(spark):
     header = "Row ID,Order ID,Order Date,Ship Date,Ship Mode,Customer ID,Customer Name,Segment,Country,City\n"
     path = feed(spark, {"a.csv": header + "1,O1,05/01/2018,,Std,C1,Ann Lee,Consumer,US,Boston\n2,O2\n"})

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tiersmith.operators import customers as cu
 from tiersmith.operators.dedup import first_rows
+from tiersmith.operators.quarantine import judged_lines
+from tiersmith.sources.testdata import retail_source
 from tiersmith.operators.sales import sales_orders
 from tiersmith.session import fresh_path
 from tiersmith.sources import files as fs
@@ -81,3 +83,6 @@ def test_dates_are_parsed_few_times(spark):
     for key, most in parses.items():
         text = QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert 0 < text.count("cast(regexp_extract") <= most and len(text) < size, key
+    judged = judged_lines(retail_source(spark, "/root/testdata/sf0.001"), strict=True)._jdf.queryExecution()
+    assert 0 < judged.optimizedPlan().toString().count("cast(regexp_extract") <= 4
+    assert judged.executedPlan().toString().count("Exchange hashpartitioning(_row") == 1   # silver's shuffle, no second one

@@ -255,7 +255,10 @@ judged AS (
                    {_refusal('sales', None)}, {_refusal('quantity', 'quantity_text')}) AS reason
   FROM typed)""")
 
+_LATE = '"Sub-Category" IN (\'C3\', \'C5\')'
 ORACLES: dict[str, str] = {
+    "csv_layouts": with_(SOURCE) + f"""SELECT {_READ_SEL.replace('"Region"', f'CASE WHEN NOT {_LATE} THEN "Region" END AS "Region"')},
+         CASE WHEN {_LATE} THEN "Category" END AS "Line" FROM source""",
     "distinct_counts_range": with_(SILVER) + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values FROM silver "
         "WHERE order_date BETWEEN DATE '2001-01-01' AND DATE '2001-12-31'"

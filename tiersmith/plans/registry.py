@@ -108,6 +108,23 @@ def q_csv_scan(spark, sf_dir):
     return fs.read_csv(spark, _csv_path(spark, sf_dir))
 
 
+def _mixed_csv_path(spark, sf_dir):
+    """The feed in two layouts: columns turned round, one of them absent, one more."""
+    source = retail_source(spark, sf_dir)
+    late = F.col("Sub-Category").isin("C3", "C5")
+    other = source.where(late).select(*reversed([c for c in SOURCE_COLUMNS if c != "Region"]), F.col("Category").alias("Line"))
+
+    def build(path):
+        fs.write_csv(source.where(~late), f"{path}/layout=1")
+        fs.write_csv(other, f"{path}/layout=2")
+    return _layer(spark, sf_dir, "mixed_csv", build)
+
+
+def q_csv_layouts(spark, sf_dir):
+    path = _mixed_csv_path(spark, sf_dir)
+    return fs.read_csv_layouts(spark, [f"{path}/layout={n}" for n in (1, 2)], layout_column=None)
+
+
 def q_bronze_ingest(spark, sf_dir):
     path = fresh_path(spark, "bronze_ingest")
     md.ingest_bronze(spark, _csv_path(spark, sf_dir), path, on_bad_date="null")

@@ -3,6 +3,8 @@ layers (bronze, silver, gold)."""
 
 from __future__ import annotations
 
+import functools
+import zlib
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -38,7 +40,7 @@ PARTITION_COLUMNS = ("year", "month", "day")
 _CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA, multi_line: bool = True,
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType = SOURCE_SCHEMA, multi_line: bool = True,
              observation: Observation | None = None, file_column: str | None = None) -> DataFrame:
     """Header CSV, typed by column *name*: every column is read as text (no
     inference pass over the data), then each column named in ``schema`` is
@@ -69,6 +71,53 @@ def read_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_SCHEMA,
     ], *([F.col("_metadata.file_path").alias(file_column)] if file_column else []))
 
 
+def _first_line(spark: SparkSession, path) -> str:
+    """First line of a file of Spark's file systems (an empty one gives '')."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+        return jvm.java.io.BufferedReader(text).readLine() or ""
+    finally:
+        stream.close()
+
+
+def csv_layouts(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """Files below ``path`` by their header line (one line); empty files are
+    left out.  The driver reads the first line of each file, no more."""
+    jvm = spark.sparkContext._jvm
+    found: dict[str, list[str]] = {}
+    for uri in sorted(spark.read.text(path).inputFiles()):
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        header = _first_line(spark, file).removeprefix("\ufeff").rstrip("\r")
+        if header:
+            found.setdefault(header, []).append(file.toString())
+    return found
+
+
+def read_csv_layouts(spark: SparkSession, path: str | Sequence[str], schema: StructType = SOURCE_SCHEMA, multi_line: bool = True,
+                     file_column: str | None = None, layout_column: str | None = "_layout") -> DataFrame:
+    """Like :func:`read_csv`, for deliveries whose headers differ: the files of
+    each header are one read with their own column order, and the reads are
+    united by name (columns that a layout lacks are null).  Declared columns
+    come first, in their order; then extra ones by name.  ``layout_column``
+    records each row's layout: the checksum of its header, which stays the same
+    whatever other files come.  Nothing but empty files gives no rows."""
+    layouts = csv_layouts(spark, path)
+    reads = []
+    for header, files in sorted(layouts.items()):
+        rows = read_csv(spark, files, schema, multi_line, file_column=file_column)
+        reads.append(rows.withColumn(layout_column, F.lit(f"{zlib.crc32(header.encode()):08x}")) if layout_column else rows)
+    if not reads:
+        added = [StructField(c, StringType()) for c in (file_column, layout_column) if c]
+        return spark.createDataFrame([], StructType(schema.fields + added))
+    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reads)
+    added = [c for c in (file_column, layout_column) if c]
+    extra = sorted(set(rows.columns) - set(schema.fieldNames()) - set(added))
+    return rows.select(*[F.col(f"`{c}`") for c in [*[c for c in schema.fieldNames() if c in rows.columns], *extra, *added]])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV that keeps text exactly (edge whitespace, quotes and line
     breaks included)."""
