@@ -1,0 +1,39 @@
+"""What keeps bytes written and processor time in proportion to the input."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from tiersmith.functions.dates import parse_date
+from tiersmith.operators.cleanse import computed_once, filter_strict
+from tiersmith.sources.files import read_csv, write_csv
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_csv_feed_is_compressed_and_reads_back(spark, tmp_path):
+    rows = [("1", 'two "words", \n a line'), ("2", "\t padded  "), ("3", "plain")]
+    path = str(tmp_path / "feed")
+    write_csv(spark.createDataFrame(rows, "`Row ID` string, `Product Name` string"), path)
+    assert all(f.endswith(".csv.gz") for f in os.listdir(path) if f.startswith("part-"))
+    assert sorted((str(r[0]), r[1]) for r in read_csv(spark, path).collect()) == rows
+
+
+def test_filter_on_parsed_dates_parses_once(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    spark.createDataFrame([("05/01/2018", "2018-01-06"), ("n/a", None), ("1.2.2018", "Jan 3, 2018")], "a string, b string").write.parquet(path)
+    texts = spark.read.parquet(path)
+    dates = texts.select(parse_date("a").alias("order_date"), parse_date("b").alias("ship_date"))
+    once, twice = filter_strict(computed_once(dates)), filter_strict(dates)
+    assert _optimized(once).count("regexp_extract(") < _optimized(twice).count("regexp_extract(")
+    assert sorted(once.collect()) == sorted(twice.collect()) and once.count() == 2
+
+
+def test_texts_run_through_the_layouts_of_their_separator(spark):
+    texts = {"05/01/2018": "2018-01-05", "12/30/2018 10:30": "2018-12-30", "5/1/18": "2018-01-05", "2018-12-05T10:30:00": "2018-12-05",
+             "5-1-2018": "2018-01-05", "5.1.2018": "2018-01-05", "Dec 5, 2018": "2018-12-05", "5/1-2018": None, "2018/12/05": None,
+             "31/02/2018": None, "0000-01-01": None, "Dec 5/2018": None, "": None, None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_date(F.col("t")).cast("string").alias("d"))
+    assert {r.t: r.d for r in df.collect()} == texts
