@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import parse_date
 from tiersmith.operators.cleanse import computed_once, filter_strict
-from tiersmith.sources.files import read_csv, write_csv
+from tiersmith.session import shared_dir, staging
+from tiersmith.sources.files import read_csv, write_csv, write_partitioned
+from tiersmith.streaming.incremental import replace_days
 
 
 def _optimized(df) -> str:
@@ -37,3 +39,29 @@ def test_texts_run_through_the_layouts_of_their_separator(spark):
              "31/02/2018": None, "0000-01-01": None, "Dec 5/2018": None, "": None, None: None}
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_date(F.col("t")).cast("string").alias("d"))
     assert {r.t: r.d for r in df.collect()} == texts
+
+
+def _checkpoints(spark) -> set:
+    return {os.path.join(at, d) for at, folders, _ in os.walk(shared_dir(spark).removeprefix("file:")) for d in folders if d.startswith("rdd-")}
+
+
+def test_days_are_replaced_from_the_layer_itself_without_a_checkpoint(spark, tmp_path):
+    path, before = str(tmp_path / "layer"), _checkpoints(spark)
+    write_partitioned(spark.createDataFrame([(1, 2018, 1, 5), (2, 2018, 1, 5), (3, 2018, 1, 6), (4, 2018, 1, 7)], "id int, year int, month int, day int"), path)
+    layer = spark.read.parquet(path)
+    days = layer.select("year", "month", "day").where("day < 7").distinct()
+    replace_days(spark, path, layer.where("id = 1").union(layer.where("id = 1").selectExpr("id + 10", "year", "month", "day")), days)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, 2018, 1, 5), (4, 2018, 1, 7), (11, 2018, 1, 5)]
+    assert not os.path.exists(f"{path}/year=2018/month=1/day=6") and _checkpoints(spark) == before
+
+
+def test_staged_rows_stay_as_they_were_and_go_with_the_block(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3).write.parquet(path)
+    with staging(spark) as stage:
+        held, none = stage(spark.read.parquet(path)), stage(spark.createDataFrame([], "`a b` int"))
+        spark.range(5, 6).write.mode("overwrite").parquet(path)
+        assert sorted(r[0] for r in held.collect()) == [0, 1, 2] and none.count() == 0
+        folder = os.path.dirname(held.inputFiles()[0]).removeprefix("file://").removeprefix("file:")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(os.path.dirname(folder))
