@@ -51,20 +51,29 @@ def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS, is
     if not iso_fallback:
         return _rewritten(c, slashed)
     # A text runs through the layouts of its own separator only.
-    return (F.when(F.contains(c, F.lit("/")), _rewritten(c, [*slashed, *[x for x in _SHAPED if "/" in x[0]]]))
-            .otherwise(_rewritten(c, [x for x in _SHAPED if "/" not in x[0]])))
+    return _dated(F.when(F.contains(c, F.lit("/")), _rewrites(c, [*slashed, *[x for x in _SHAPED if "/" in x[0]]]))
+                  .otherwise(_rewrites(c, [x for x in _SHAPED if "/" not in x[0]])))
 
 
 def _rewritten(c: Column, layouts) -> Column:
-    """The date of a text in one of ``layouts``.  The text is one chain of
-    rewrites to year-month-day and parsed once, so the expression holds it once:
-    an expression that repeats its input multiplies with every use, until the
-    generated code is too large to be compiled."""
+    """The date of a text in one of ``layouts``."""
+    return _dated(_rewrites(c, layouts))
+
+
+def _rewrites(c: Column, layouts) -> Column:
+    """A text in one of ``layouts`` as marked year-month-day.  It is one chain of
+    rewrites, so the expression holds the text once: an expression that repeats
+    its input multiplies with every use, until the generated code is too large
+    to be compiled."""
     for shape, year_first in layouts:
         c = F.regexp_replace(c, f"^{shape}$", f"{_MARK}{year_first}")
         if "[A-Z]" in shape:
             for number, month in enumerate(_MONTHS, 1):
                 c = F.replace(c, F.lit(f"-{month}-"), F.lit(f"-{number}-"))
+    return c
+
+
+def _dated(c: Column) -> Column:
     return F.regexp_extract(c, rf"^{_MARK}((?!0000)\d{{4}}-\d{{1,2}}-\d{{1,2}})$", 1).try_cast("date")
 
 
