@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import parse_date
 from tiersmith.operators.cleanse import computed_once, filter_strict
+from tiersmith.operators.dedup import first_rows
 from tiersmith.session import shared_dir, staging
 from tiersmith.sources.files import read_csv, write_csv, write_partitioned
 from tiersmith.streaming.incremental import replace_days
@@ -65,3 +66,10 @@ def test_staged_rows_stay_as_they_were_and_go_with_the_block(spark, tmp_path):
         folder = os.path.dirname(held.inputFiles()[0]).removeprefix("file://").removeprefix("file:")
         assert os.path.isdir(folder)
     assert not os.path.exists(os.path.dirname(folder))
+
+
+def test_undated_copies_are_not_shuffled_with_their_columns(spark):
+    rows = [(1, None, "x"), (1, 5, "b"), (1, 5, "a"), (2, None, "y"), (None, 7, "z")]
+    df = spark.createDataFrame(rows, "k int, d int, t string")
+    kept = first_rows(df, ["k"], ["d"], "n", nulls_last=["d"], candidates=F.col("d").isNotNull())
+    assert sorted(map(tuple, kept.collect()), key=str) == [(1, 5, "a", 3), (None, 7, "z", 1)]

@@ -105,16 +105,20 @@ def deduplicated_lines(
     order_date: str = "Order Date",
     ship_date: str = "Ship Date",
     copies: str | None = None,
+    dated: bool = False,
 ) -> DataFrame:
     """Steps 1-3 and 6 of :func:`cleanse`: trimmed, dates parsed, one line per
     row id, typed, snake_case -- before any line is dropped.  Of the copies of
     a row id the one with the earliest valid dates survives; lines without a
     usable row id are all kept, with a null id.  ``copies`` names a column for
-    the number of lines that each one stands for."""
+    the number of lines that each one stands for.  With ``dated`` lines without an
+    order date are left out: they come last, so one survives only where no copy
+    has a date."""
     lines = dated_lines(df, row_key, order_date, ship_date)
     dates = [order_date, "_ship", ship_date]
     usable = F.col("_row").isNotNull()
-    deduped = first_rows(lines.where(usable), ["_row"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], copies, nulls_last=dates)
+    deduped = first_rows(lines.where(usable), ["_row"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], copies, nulls_last=dates,
+                         candidates=F.col(order_date).isNotNull() if dated else None)
     single = lines.where(~usable).withColumns({copies: F.lit(1).cast("bigint")} if copies else {})
     renamed = snake_case_columns(deduped.union(single).drop("_row", "_ship"))
     return renamed.withColumns({c: safe_cast(c, t) for c, t in SILVER_CASTS.items() if c in renamed.columns})
@@ -140,7 +144,7 @@ def cleanse(
     6. ``try_cast`` to silver types; names to snake_case.
     """
     validate_required_columns(df)
-    typed = deduplicated_lines(df, row_key, order_date, ship_date)
+    typed = deduplicated_lines(df, row_key, order_date, ship_date, dated=True)
     kept = filter_valid_dates(typed, snake_case(order_date))
     if strict:
         kept = filter_strict(kept, (snake_case(order_date), snake_case(ship_date), "sales", "quantity"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,22 +23,27 @@ def first_rows(
     order_by: Sequence[str] = (),
     group_size_col: str | None = None,
     nulls_last: Sequence[str] = (),
+    candidates: Column | None = None,
 ) -> DataFrame:
     """One row per distinct ``keys`` (null keys form one group, as in
     ``dropDuplicates``), keeping the first row in the total order
     ``order_by`` + all other columns.  Column order is preserved.
 
-    ``group_size_col`` adds the number of input rows of each group.
+    ``group_size_col`` adds the number of input rows of each group.  With
+    ``candidates`` only rows that pass this test are compared and shuffled, and
+    groups without one give no row.
     """
     keys = list(keys)
     order = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranked = [x for c in order for x in ([F.col(c).isNull().alias(f"_no_{c}"), F.col(c)] if c in nulls_last else [F.col(c)])]
-    packed = F.min(F.struct(*ranked, *[F.col(c) for c in rest])).alias("_first")
-    aggs = [packed]
+    row = F.struct(*ranked, *[F.col(c) for c in rest])
+    aggs = [F.min(row if candidates is None else F.when(candidates, row)).alias("_first")]
     if group_size_col:
         aggs.append(F.count(F.lit(1)).alias(group_size_col))
     grouped = df.groupBy(*keys).agg(*aggs)
+    if candidates is not None:
+        grouped = grouped.where(F.col("_first").isNotNull())
     out = [F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
     if group_size_col:
         out.append(F.col(group_size_col))
