@@ -2,13 +2,15 @@
 
 import os
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import parse_date
 from tiersmith.operators.cleanse import computed_once, filter_strict
 from tiersmith.operators.dedup import first_rows
-from tiersmith.session import shared_dir, staging
+from tiersmith.session import compiled_stages, shared_dir, staging
 from tiersmith.sources.files import read_csv, write_csv, write_partitioned
+from tiersmith.sources.testdata import retail_source
 from tiersmith.streaming.incremental import replace_days
 
 
@@ -73,3 +75,49 @@ def test_undated_copies_are_not_shuffled_with_their_columns(spark):
     df = spark.createDataFrame(rows, "k int, d int, t string")
     kept = first_rows(df, ["k"], ["d"], "n", nulls_last=["d"], candidates=F.col("d").isNotNull())
     assert sorted(map(tuple, kept.collect()), key=str) == [(1, 5, "a", 3), (None, 7, "z", 1)]
+
+
+def _method_limit_of(spark, monkeypatch, method, write):
+    """The session's limit while a job writes by this method of the writer."""
+    seen, plain = [], getattr(DataFrameWriter, method)
+    monkeypatch.setattr(DataFrameWriter, method, lambda self, *a, **k: (
+        seen.append(int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))), plain(self, *a, **k))[1])
+    write()
+    return seen
+
+
+def test_layers_are_written_by_methods_that_the_jvm_compiles(spark, tmp_path, monkeypatch):
+    before, rows = spark.conf.get("spark.sql.codegen.hugeMethodLimit"), spark.range(3).withColumn("day", F.lit(1))
+    assert _method_limit_of(spark, monkeypatch, "parquet", lambda: write_partitioned(rows, str(tmp_path / "days"), ["day"])) == [8000]
+    assert _method_limit_of(spark, monkeypatch, "csv", lambda: write_csv(rows, str(tmp_path / "feed"))) == [8000]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "500")
+        with compiled_stages(spark):
+            assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "500"
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "500"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
+def test_a_date_text_in_a_common_layout_takes_one_replacement(spark):
+    plan = _optimized(spark.range(1).select(F.concat(F.col("id").cast("string"), F.lit("/1/2018")).alias("a")).select(parse_date("a").alias("d")))
+    common = plan[plan.index("coalesce("):].split("as date)")[0]
+    assert common.count("regexp_replace(") == 1 and " replace(" not in plan
+
+
+def test_feed_formats_each_date_once(spark, tmp_path):
+    for name, rows, schema in (
+            ("region", [(0, "R")], "r_regionkey int, r_name string"), ("nation", [(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+            ("customer", [(1, "C#1", 0, "S")], "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"),
+            ("orders", [(20, 1, "1995-02-03", "P")], "o_orderkey bigint, o_custkey bigint, o_orderdate string, o_orderpriority string"),
+            ("lineitem", [(20, 1 + n % 7, n, 7 if n == 5 else 1, 1.0, 2.0, "1995-10-09") for n in range(20)],
+             "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_quantity double, l_shipdate string")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    source = retail_source(spark, str(tmp_path))
+    assert _optimized(source).count("date_format(") == 2
+    lines = sorted((int(r["Product ID"]), r["Order Date"], r["Ship Date"]) for r in source.collect())
+    assert [day for _, day, _ in lines] == [
+        *["03/02/1995"] * 5, "06/02/1995", *["03/02/1995"] * 3, "03.02.1995", "02/03/1995", "02/03/1995", "1995-02-03", "3-2-1995",
+        "3/2/1995", "3/2/1995", "03/02/1995 10:30", "\t 03/02/1995  ", "31/02/1995", "n/a"]
+    assert [ship for _, _, ship in lines] == [("1995-10-09" if n % 7 == 5 else "TBD" if n % 7 == 6 else "09/10/1995") for n in range(20)]

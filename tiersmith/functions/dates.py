@@ -11,20 +11,22 @@ from pyspark.sql import functions as F
 # Accepted text layouts, tried in this order (day first, then
 # month first).  Single pattern letters accept padded and unpadded fields.
 DAY_FIRST_FORMATS = ("d/M/yyyy", "M/d/yyyy")
-# What each layout is rewritten to, year first.  A middle field up
-# to 12 is the month (day first); only a larger one is read month first.
-_TIME = r"( \d{1,2}:\d{2}(:\d{2})?)?"
-_DAY_FIRST = (r"(\d{1,2})/(0?[1-9]|1[0-2])/(\d{4})", "$3-$2-$1")
-_MONTH_FIRST = (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+# The other layouts, by the names of their fields.  A middle field
+# up to 12 is the month (day first); only a larger one is read month first.
+_YEAR = r"(?!0000)\d{4}"
+_TIME = r"\d{1,2}:\d{2}(?::\d{2})?"
+_DAY_FIRST = (r"(\d{1,2})/(0?[1-9]|1[0-2])/(%s)" % _YEAR, "dmy")
+_MONTH_FIRST = (r"(\d{1,2})/(\d{1,2})/(%s)" % _YEAR, "mdy")
 _SHAPED = (
-    (r"(\d{4}-\d{1,2}-\d{1,2})([ T]\d{1,2}:\d{2}(:\d{2})?)?", "$1"),
-    (r"(\d{1,2})([-.])(\d{1,2})\2(\d{4})", "$4-$3-$1"),
-    (r"(\d{1,2})/(\d{1,2})/(\d{2})", "20$3-$2-$1"),
-    (r"([A-Z][a-z]{2}) (\d{1,2}), (\d{4})", "$3-$1-$2"),
+    (rf"({_YEAR})-(\d{{1,2}})-(\d{{1,2}})(?:[ T]{_TIME})?", "ymd"),
+    (rf"(\d{{1,2}})\.(\d{{1,2}})\.({_YEAR})", "dmy"),
+    (rf"(\d{{1,2}})-(\d{{1,2}})-({_YEAR})", "dmy"),
 )
-_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
-# Marks a rewritten text, so that nothing else is taken for a date.
-_MARK = "\u0001"
+_SHORT_YEAR = (r"(\d{1,2})/(\d{1,2})/(\d{2})", "dmy")
+_NAMED = rf"([A-Z][a-z]{{2}}) (\d{{1,2}}), ({_YEAR})"
+_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+# What may follow a layout: one line end.
+_LINE_END = r"(?:\r\n|[\n\r\u0085\u2028\u2029])?"
 
 ColumnOrName = Column | str
 
@@ -45,36 +47,37 @@ def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS, is
     c = _col(c)
     if tuple(formats) != DAY_FIRST_FORMATS:
         attempts = [F.try_to_date(c, fmt) for fmt in formats]
-        return F.coalesce(*attempts, *([_rewritten(c, _SHAPED)] if iso_fallback else []))
-    time = _TIME if iso_fallback else ""
-    slashed = [(_DAY_FIRST[0] + time, _DAY_FIRST[1]), (_MONTH_FIRST[0] + time, _MONTH_FIRST[1])]
+        return F.coalesce(*attempts, *([_dated(c, _SHAPED), *_rare(c)] if iso_fallback else []))
     if not iso_fallback:
-        return _rewritten(c, slashed)
-    # A text runs through the layouts of its own separator only.
-    return _dated(F.when(F.contains(c, F.lit("/")), _rewrites(c, [*slashed, *[x for x in _SHAPED if "/" in x[0]]]))
-                  .otherwise(_rewrites(c, [x for x in _SHAPED if "/" not in x[0]])))
+        return _dated(c, (_DAY_FIRST, _MONTH_FIRST))
+    timed = [(rf"{shape}(?: {_TIME})?", fields) for shape, fields in (_DAY_FIRST, _MONTH_FIRST)]
+    return F.coalesce(_dated(c, (*timed, *_SHAPED)), *_rare(c))
 
 
-def _rewritten(c: Column, layouts) -> Column:
+def _dated(c: Column, layouts, written: str = "{y}-{m}-{d}") -> Column:
     """The date of a text in one of ``layouts``."""
-    return _dated(_rewrites(c, layouts))
-
-
-def _rewrites(c: Column, layouts) -> Column:
-    """A text in one of ``layouts`` as marked year-month-day.  It is one chain of
-    rewrites, so the expression holds the text once: an expression that repeats
-    its input multiplies with every use, until the generated code is too large
-    to be compiled."""
-    for shape, year_first in layouts:
-        c = F.regexp_replace(c, f"^{shape}$", f"{_MARK}{year_first}")
-        if "[A-Z]" in shape:
-            for number, month in enumerate(_MONTHS, 1):
-                c = F.replace(c, F.lit(f"-{month}-"), F.lit(f"-{number}-"))
-    return c
-
-
-def _dated(c: Column) -> Column:
-    return F.regexp_extract(c, rf"^{_MARK}((?!0000)\d{{4}}-\d{{1,2}}-\d{{1,2}})$", 1).try_cast("date")
+    return _fields(c, layouts, written).try_cast("date")
+
+
+def _fields(c: Column, layouts, written: str) -> Column:
+    """The fields of the first layout that fits, as ``written``; of any other
+    text nothing but what stands between them.  It is one replacement for all
+    layouts: a chain of them makes the generated code of a row larger than what
+    the JVM compiles, and then every row is interpreted."""
+    groups: dict[str, str] = {"y": "", "m": "", "d": ""}
+    for number, field in enumerate("".join(fields for _, fields in layouts), 1):
+        groups[field] += f"${number}"
+    shapes = "|".join(shape for shape, _ in layouts)
+    return F.regexp_replace(c, rf"\A(?:(?:{shapes}){_LINE_END}\z|[\s\S]+)", written.format(**groups))
+
+
+def _rare(c: Column) -> list[Column]:
+    """Dates of the layouts that take more than their fields; only texts that
+    fit no other layout come here."""
+    month, day, year = (F.regexp_extract(c, rf"\A{_NAMED}{_LINE_END}\z", n) for n in (1, 2, 3))
+    number = ((F.position(month, F.lit(_MONTHS)) + 2) / 3).cast("int").cast("string")
+    named = F.concat_ws("-", year, number, day)
+    return [_dated(c, (_SHORT_YEAR,), "20{y}-{m}-{d}"), named.try_cast("date")]
 
 
 def parse_date_or_fail(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS) -> Column:

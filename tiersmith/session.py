@@ -105,6 +105,27 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+# Spark's setting for the size of a generated method from which on
+# it runs a stage without whole-stage code, and the size (bytes) up to which the
+# JVM compiles a method.
+_METHOD_LIMIT, _COMPILED_BYTES = "spark.sql.codegen.hugeMethodLimit", "8000"
+
+
+@contextlib.contextmanager
+def compiled_stages(spark: SparkSession) -> Iterator[None]:
+    """Jobs started in this block do not run generated methods that are too large
+    for the JVM's compiler: such a method is interpreted for every row.  A stage
+    of wide lines with parsed dates has one; without whole-stage code Spark
+    computes the same columns in several smaller methods.  A lower limit of the
+    session stays."""
+    before = spark.conf.get(_METHOD_LIMIT)
+    spark.conf.set(_METHOD_LIMIT, str(min(int(before), int(_COMPILED_BYTES))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_LIMIT, before)
+
+
 _MB = 1024 * 1024
 
 

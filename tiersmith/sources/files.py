@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from tiersmith.session import compiled_stages
+
 # The raw feed's columns and read types.  Dates stay text at
 # this point; parsing happens in silver (or in bronze for the partition key).
 SOURCE_SCHEMA = StructType([
@@ -122,8 +124,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV, gzipped, that keeps text exactly (edge whitespace, quotes and
     line breaks included).  A file that may hold line breaks is not split
     anyway, so compression costs its readers no parallelism."""
-    (df.write.mode("overwrite").option("compression", "gzip").option("header", True).option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    with compiled_stages(df.sparkSession):
+        (df.write.mode("overwrite").option("compression", "gzip").option("header", True).option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_layer(spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: StructType | None = None) -> DataFrame:
@@ -173,7 +176,8 @@ def write_partitioned(
               .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if cols:
         writer = writer.partitionBy(*cols)
-    writer.parquet(path)
+    with compiled_stages(df.sparkSession):
+        writer.parquet(path)
 
 
 def write_plain(df: DataFrame, path: str, mode: str = "overwrite", observation=None) -> None:

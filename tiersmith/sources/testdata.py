@@ -67,34 +67,49 @@ def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("order_date"))
 
 
+def _with_day_texts(joined: DataFrame) -> DataFrame:
+    """Order and ship day as dd/MM/yyyy, formatted once: the other layouts are
+    pieces of these.  Lines of every seventh supplier are dated three days
+    later, so that a row id lies on several days."""
+    ordered = F.date_add(F.col("o_orderdate").cast("date"), F.when(F.col("l_suppkey") % 7 == 0, 3).otherwise(0))
+    return joined.withColumns({"_ordered": F.date_format(ordered, "dd/MM/yyyy"),
+                               "_shipped": F.date_format(F.col("l_shipdate").cast("date"), "dd/MM/yyyy")})
+
+
+def _day_month_year(text: str) -> tuple[Column, Column, Column]:
+    t = F.col(text)
+    return t.substr(1, 2), t.substr(4, 2), F.substr(t, F.lit(7))
+
+
 def _order_date_text() -> Column:
     # Layout of the order-date text by k = (order key + part key)
     # % 20, so that copies of a row id differ -- 0-8 dd/MM/yyyy, 9 dd.MM.yyyy,
     # 10-11 MM/dd/yyyy, 12 ISO, 13 d-M-yyyy, 14-15 unpadded d/M/yyyy, 16
     # dd/MM/yyyy with a time, 17 dd/MM/yyyy wrapped in a tab and spaces, 18
-    # 31 February, 19 'n/a'.  Lines of every seventh supplier are dated three
-    # days later, so that a row id lies on several days.
-    d = F.date_add(F.col("o_orderdate").cast("date"), F.when(F.col("l_suppkey") % 7 == 0, 3).otherwise(0))
+    # 31 February, 19 'n/a'.
+    t = F.col("_ordered")
+    d, m, y = _day_month_year("_ordered")
+    unpadded = [F.ltrim(x, F.lit("0")) for x in (d, m)]
     k = (F.col("o_orderkey") + F.col("l_partkey")) % 20
-    return (F.when(k < 9, F.date_format(d, "dd/MM/yyyy"))
-             .when(k == 9, F.date_format(d, "dd.MM.yyyy"))
-             .when(k < 12, F.date_format(d, "MM/dd/yyyy"))
-             .when(k == 12, F.date_format(d, "yyyy-MM-dd"))
-             .when(k == 13, F.date_format(d, "d-M-yyyy"))
-             .when(k < 16, F.date_format(d, "d/M/yyyy"))
-             .when(k == 16, F.concat(F.date_format(d, "dd/MM/yyyy"), F.lit(" 10:30")))
-             .when(k == 17, F.concat(F.lit("\t "), F.date_format(d, "dd/MM/yyyy"), F.lit("  ")))
-             .when(k == 18, F.concat(F.lit("31/02/"), F.date_format(d, "yyyy")))
+    return (F.when(k < 9, t)
+             .when(k == 9, F.replace(t, F.lit("/"), F.lit(".")))
+             .when(k < 12, F.concat(m, F.lit("/"), d, F.lit("/"), y))
+             .when(k == 12, F.concat(y, F.lit("-"), m, F.lit("-"), d))
+             .when(k == 13, F.concat(unpadded[0], F.lit("-"), unpadded[1], F.lit("-"), y))
+             .when(k < 16, F.concat(unpadded[0], F.lit("/"), unpadded[1], F.lit("/"), y))
+             .when(k == 16, F.concat(t, F.lit(" 10:30")))
+             .when(k == 17, F.concat(F.lit("\t "), t, F.lit("  ")))
+             .when(k == 18, F.concat(F.lit("31/02/"), y))
              .otherwise(F.lit("n/a")))
 
 
 def _ship_date_text() -> Column:
     # Layout of the ship-date text by l_linenumber --
     # 1-5 dd/MM/yyyy, 6 ISO, 7 'TBD'.
-    d = F.col("l_shipdate").cast("date")
+    d, m, y = _day_month_year("_shipped")
     n = F.col("l_linenumber")
-    return (F.when(n <= 5, F.date_format(d, "dd/MM/yyyy"))
-             .when(n == 6, F.date_format(d, "yyyy-MM-dd"))
+    return (F.when(n <= 5, F.col("_shipped"))
+             .when(n == 6, F.concat(y, F.lit("-"), m, F.lit("-"), d))
              .otherwise(F.lit("TBD")))
 
 
@@ -117,7 +132,7 @@ def retail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = F.when(F.col("l_partkey") % 50 == 0, F.lit("n/a")) \
                 .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
     row_id = F.when(F.col("l_partkey") % 97 == 0, F.concat(F.lit("A-"), _row_id().cast("string"))).otherwise(_row_id().cast("string"))
-    return _joined(spark, sf_dir).select(
+    return _with_day_texts(_joined(spark, sf_dir)).select(
         row_id.alias("Row ID"),
         F.col("l_orderkey").cast("string").alias("Order ID"),
         _order_date_text().alias("Order Date"),
