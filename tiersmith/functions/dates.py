@@ -76,7 +76,7 @@ def _rare(c: Column) -> list[Column]:
     fit no other layout come here."""
     month, day, year = (F.regexp_extract(c, rf"\A{_NAMED}{_LINE_END}\z", n) for n in (1, 2, 3))
     number = ((F.position(month, F.lit(_MONTHS)) + 2) / 3).cast("int").cast("string")
-    named = F.concat_ws("-", year, number, day)
+    named = F.regexp_extract(F.concat_ws("-", year, number, day), r"^\d{4}-\d{1,2}-\d{1,2}$", 0)
     return [_dated(c, (_SHORT_YEAR,), "20{y}-{m}-{d}"), named.try_cast("date")]
 
 
