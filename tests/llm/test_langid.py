@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 
 from tiersmith.llm import langid
 from tiersmith.llm.common import held_out
@@ -99,3 +101,24 @@ def test_every_letter_of_a_long_run_counts(spark, docs):
     assert {r["doc_id"]: r["l"]["lang_pred"] for r in got} == {i: lang for i, (lang, _) in enumerate(runs)}
     assert "".join(langid.text_words("Ab" * 50_000 + " é")) == "ab" * 50_000 + "é"
     assert max(map(len, langid.text_words("Ab" * 50_000))) == langid._WIDTH
+
+
+def test_memory_does_not_follow_the_words_of_a_batch(monkeypatch):
+    """Four times the long texts in a batch take no more memory, and each keeps its own label."""
+    monkeypatch.setattr(langid.F, "pandas_udf", lambda run, kind: lambda text: run)
+    rng = random.Random(9)
+    fit = [(lang, langid.text_words(text(lang, 60, rng))) for lang in SYLLABLES for _ in range(30)]
+    label = langid.language_column(langid.Crf(sorted(SYLLABLES)).fit(langid.training_chains(fit, sorted(SYLLABLES))))
+    some = [text("de", 5_000, rng), None, "", "12 ½", text("es", 7, rng), text("en", 5_000, rng), text("de", 1, rng) * 3, text("es", 1_500, rng)]
+    whole, = label(iter([pd.Series(some * 5)]))
+    monkeypatch.setattr(langid, "CHUNK_WORDS", 4_000)
+    peaks = []
+    for times in (5, 20):
+        tracemalloc.start()
+        got, = label(iter([pd.Series(some * times)]))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert got["lang_pred"].tolist() == whole["lang_pred"].tolist()[:8] * times
+        assert np.allclose(got["score"], np.tile(whole["score"][:8], times))
+    assert whole["lang_pred"].tolist()[:6] == ["de", "und", "und", "und", "es", "en"] and whole["lang_pred"][7] == "es"
+    assert peaks[1] < 1.5 * peaks[0], peaks

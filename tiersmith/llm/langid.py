@@ -21,7 +21,7 @@ label in sorted order; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -42,7 +42,7 @@ NGRAMS, GRAM_PRIOR = slice(9, None), 0.02
 LONG_TEXT = 30
 # Words of a chain that forward-backward steps through one by one; pieces run side by side.
 PIECE = 128
-# Words whose scores are held at a time while a batch of texts is labelled.
+# Words that are held at a time, with their scores, while a batch of texts is labelled.
 CHUNK_WORDS = 100_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -285,6 +285,22 @@ def text_words(text: str | None) -> list[str]:
     return words if any(c.isalpha() for w in words[:1] for c in w) else [w for w in words if any(map(str.isalpha, w))]
 
 
+def _portions(texts: Iterable[str | None]) -> Iterator[tuple[int, list[list[str]]]]:
+    """Consecutive texts as (index of the first, words of each): together at most
+    ``CHUNK_WORDS`` words, or a single longer text.  A word takes about ten times
+    the memory of its letters, so a batch is not cut into words as a whole."""
+    first, some, n = 0, [], 0
+    for i, text in enumerate(texts):
+        words = text_words(text)
+        if some and n + len(words) > CHUNK_WORDS:
+            yield first, some
+            first, some, n = i, [], 0
+        some.append(words)
+        n += len(words)
+    if some:
+        yield first, some
+
+
 def training_chains(texts: Sequence[tuple[str, Sequence[str]]], labels: Sequence[str], seed: int = 3) -> list[tuple[list[str], np.ndarray]]:
     """Segments of texts of random languages, strung together to chains of about ``CHAIN`` words."""
     rng = np.random.default_rng(seed)
@@ -352,11 +368,11 @@ def language_column(model: Crf, text: str | Column = "text", familiar: bool = Fa
         for batch in batches:
             names, scores, usual = ["und"] * len(batch), [0.0] * len(batch), [0.0] * len(batch)
             if model.labels:
-                for part in range(0, len(batch), 2000):
-                    for i, p, seen in model._judged([text_words(t) for t in batch.iloc[part: part + 2000]], familiar):
+                for first, some in _portions(batch):
+                    for i, p, seen in model._judged(some, familiar):
                         share = p.mean(axis=0)
                         best = int(share.argmax())
-                        names[part + i], scores[part + i], usual[part + i] = model.labels[best], min(1.0, float(share[best])), seen
+                        names[first + i], scores[first + i], usual[first + i] = model.labels[best], min(1.0, float(share[best])), seen
             yield pd.DataFrame({"lang_pred": names, "score": scores} | ({"familiar": usual} if familiar else {}))
 
     return F.pandas_udf(run, kind)(text)
