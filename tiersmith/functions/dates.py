@@ -22,11 +22,14 @@ _SHAPED = (
     (rf"(\d{{1,2}})\.(\d{{1,2}})\.({_YEAR})", "dmy"),
     (rf"(\d{{1,2}})-(\d{{1,2}})-({_YEAR})", "dmy"),
 )
-_SHORT_YEAR = (r"(\d{1,2})/(\d{1,2})/(\d{2})", "dmy")
-_NAMED = rf"([A-Z][a-z]{{2}}) (\d{{1,2}}), ({_YEAR})"
-_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 # What may follow a layout: one line end.
 _LINE_END = r"(?:\r\n|[\n\r\u0085\u2028\u2029])?"
+# What a text lacks for a short year or a named month, put behind it: the century
+# and the months' numbers.  A text's own "|" cannot stand for it: exactly 60
+# letters and digits follow the century.
+_LACKING = "|20Jan01Feb02Mar03Apr04May05Jun06Jul07Aug08Sep09Oct10Nov11Dec12"
+_SHORT_YEAR = rf"(\d{{1,2}})/(\d{{1,2}})/(\d{{2}}){_LINE_END}\|(20)[A-Za-z0-9]{{60}}"
+_NAMED = rf"([A-Z][a-z]{{2}}) (\d{{1,2}}), ({_YEAR}){_LINE_END}\|20(?=[A-Za-z0-9]{{60}}\z)[A-Za-z0-9]*?\5(\d\d)[A-Za-z0-9]*"
 
 ColumnOrName = Column | str
 
@@ -47,11 +50,11 @@ def parse_date(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS, is
     c = _col(c)
     if tuple(formats) != DAY_FIRST_FORMATS:
         attempts = [F.try_to_date(c, fmt) for fmt in formats]
-        return F.coalesce(*attempts, *([_dated(c, _SHAPED), *_rare(c)] if iso_fallback else []))
+        return F.coalesce(*attempts, *([_dated(c, _SHAPED), _rare(c)] if iso_fallback else []))
     if not iso_fallback:
         return _dated(c, (_DAY_FIRST, _MONTH_FIRST))
     timed = [(rf"{shape}(?: {_TIME})?", fields) for shape, fields in (_DAY_FIRST, _MONTH_FIRST)]
-    return F.coalesce(_dated(c, (*timed, *_SHAPED)), *_rare(c))
+    return F.coalesce(_dated(c, (*timed, *_SHAPED)), _rare(c))
 
 
 def _dated(c: Column, layouts, written: str = "{y}-{m}-{d}") -> Column:
@@ -71,13 +74,12 @@ def _fields(c: Column, layouts, written: str) -> Column:
     return F.regexp_replace(c, rf"\A(?:(?:{shapes}){_LINE_END}\z|[\s\S]+)", written.format(**groups))
 
 
-def _rare(c: Column) -> list[Column]:
-    """Dates of the layouts that take more than their fields; only texts that
-    fit no other layout come here."""
-    month, day, year = (F.regexp_extract(c, rf"\A{_NAMED}{_LINE_END}\z", n) for n in (1, 2, 3))
-    number = ((F.position(month, F.lit(_MONTHS)) + 2) / 3).cast("int").cast("string")
-    named = F.regexp_extract(F.concat_ws("-", year, number, day), r"^\d{4}-\d{1,2}-\d{1,2}$", 0)
-    return [_dated(c, (_SHORT_YEAR,), "20{y}-{m}-{d}"), named.try_cast("date")]
+def _rare(c: Column) -> Column:
+    """The date of a layout that takes more than its fields; only texts that fit
+    no other layout come here.  It holds the text once: a filter on the date
+    repeats what the text is made of with every use."""
+    year_first = F.regexp_replace(F.concat(c, F.lit(_LACKING)), rf"\A(?:(?:{_SHORT_YEAR}|{_NAMED})\z|[\s\S]+)", "$4$3$7-$2$8-$1$6")
+    return F.regexp_extract(year_first, r"^\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date")
 
 
 def parse_date_or_fail(c: ColumnOrName, formats: tuple[str, ...] = DAY_FIRST_FORMATS) -> Column:
