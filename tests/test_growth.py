@@ -1,15 +1,19 @@
 """What keeps bytes written and processor time in proportion to the input."""
 
 import os
+import time
 
+import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tiersmith.functions.dates import parse_date
+from tiersmith.operators import cleanse
 from tiersmith.operators.cleanse import computed_once, filter_strict
 from tiersmith.operators.dedup import first_rows
-from tiersmith.session import compiled_stages, shared_dir, staging
-from tiersmith.sources.files import read_csv, write_csv, write_partitioned
+from tiersmith.plans import medallion as md
+from tiersmith.session import clustered_joins, compiled_stages, shared_dir, staging
+from tiersmith.sources.files import SOURCE_SCHEMA, read_csv, write_csv, write_partitioned, write_plain
 from tiersmith.sources.testdata import retail_source
 from tiersmith.streaming.incremental import replace_days
 
@@ -121,3 +125,80 @@ def test_feed_formats_each_date_once(spark, tmp_path):
         *["03/02/1995"] * 5, "06/02/1995", *["03/02/1995"] * 3, "03.02.1995", "02/03/1995", "02/03/1995", "1995-02-03", "3-2-1995",
         "3/2/1995", "3/2/1995", "03/02/1995 10:30", "\t 03/02/1995  ", "31/02/1995", "n/a"]
     assert [ship for _, _, ship in lines] == [("1995-10-09" if n % 7 == 5 else "TBD" if n % 7 == 6 else "09/10/1995") for n in range(20)]
+
+
+def _feed(spark):
+    """Copies on one day, on several days, undated, undated with a ship date, identical; lines without ids; a day of many lines."""
+    names = [f.name for f in SOURCE_SCHEMA]
+    rows = [("1", "b", "05/01/2018", "06/01/2018"), ("1", "a", "05/01/2018", "06/01/2018"), ("1", "a", "05/01/2018", "06/01/2018"), ("1", "c", "04/01/2018", "01/01/2018"),
+            ("2", "a", "n/a", "07/01/2018"), ("2", "a", "n/a", "05/01/2018"), ("2", "b", None, None), ("3", "a", "n/a", "05/01/2018"), ("3", "a", "05/01/2018", "TBD"),
+            ("4", "a", "n/a", "TBD"), ("4", "b", "31/02/2018", None), ("x", "a", "05/01/2018", None), ("x", "a", "05/01/2018", None), (None, "b", None, "TBD"), (None, "b", "n/a", "08/01/2018"),
+            (" 5\t", " a ", "06.01.2018", "2018-01-05"), *[(str(n), "o", "09/01/2018", "10/01/2018") for n in range(10, 60)], *[("y", "o", "09/01/2018", None)] * 5]
+    full = [dict.fromkeys(names, "t") | {"Row ID": i, "Order ID": o, "Order Date": d, "Ship Date": s, "Quantity": "2", "Sales": 1.5} for i, o, d, s in rows]
+    kinds = ", ".join(f"`{c}` {'double' if c == 'Sales' else 'string'}" for c in names)
+    return spark.createDataFrame([tuple(r[c] for c in names) for r in full], kinds)
+
+
+@pytest.mark.parametrize("most", [500_000, 7])
+def test_lines_kept_by_their_day_are_those_kept_by_their_row_id(spark, monkeypatch, most):
+    monkeypatch.setattr(cleanse, "DAY_ROWS", most)
+    feed = _feed(spark)
+    for make in (lambda **k: md.silver_frame(feed, **k), lambda **k: md.silver_frame(feed, True, **k)):
+        with staging(spark) as stage:
+            assert sorted(map(str, make(stage=stage).collect())) == sorted(map(str, make().collect()))
+
+
+def test_a_whole_line_is_shuffled_once_to_its_day(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with staging(spark) as stage, clustered_joins(spark):
+            plan = md.silver_frame(_feed(spark), stage=stage)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(_on") == 2 == plan.count("Exchange hashpartitioning(")   # whole lines; row ids and days
+        assert plan.count("REPARTITION_BY_COL") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_day_of_many_lines_goes_to_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cleanse, "DAY_ROWS", 7)
+    with staging(spark) as stage, clustered_joins(spark):
+        silver = md.silver_frame(_feed(spark), stage=stage).withColumn("_part", F.spark_partition_id())
+        key = "spark.sql.adaptive.coalescePartitions.enabled"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "false")
+        try:
+            parts = silver.where("day = 9").groupBy("_part").count().collect()
+        finally:
+            spark.conf.set(key, before)
+    assert len(parts) > 1 and sum(r["count"] for r in parts) == 55
+
+
+def _shuffle_files(spark) -> set:
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(n).getName() for n in range(found.size())) if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_a_written_layer_go_with_its_job(spark, tmp_path):
+    before, rows = _shuffle_files(spark), spark.range(100).withColumn("day", F.col("id") % 3)
+    write_partitioned(rows, str(tmp_path / "days"), ["day"])
+    write_csv(rows.repartition(2, "id"), str(tmp_path / "feed"))
+    write_plain(rows.repartition(2, "id"), str(tmp_path / "plain"))
+    with staging(spark) as stage:
+        stage(rows.repartition(2, "id"))
+    end = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < end:   # they go in the background
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_overlapping_settings_of_threads_are_restored_by_the_last(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before, first, second = spark.conf.get(key), compiled_stages(spark), compiled_stages(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "8000"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == before

@@ -3,7 +3,7 @@ cast, rename.  Each step is a lazy ``DataFrame -> DataFrame`` function."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +106,7 @@ def deduplicated_lines(
     ship_date: str = "Ship Date",
     copies: str | None = None,
     dated: bool = False,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Steps 1-3 and 6 of :func:`cleanse`: trimmed, dates parsed, one line per
     row id, typed, snake_case -- before any line is dropped.  Of the copies of
@@ -113,23 +114,75 @@ def deduplicated_lines(
     usable row id are all kept, with a null id.  ``copies`` names a column for
     the number of lines that each one stands for.  With ``dated`` lines without an
     order date are left out: they come last, so one survives only where no copy
-    has a date."""
+    has a date.  With ``stage`` (:func:`tiersmith.session.staging`) the same lines
+    come out clustered by day, see :func:`_first_lines_by_day`."""
     lines = dated_lines(df, row_key, order_date, ship_date)
     dates = [order_date, "_ship", ship_date]
     usable = F.col("_row").isNotNull()
-    deduped = first_rows(lines.where(usable), ["_row"], [*dates, *[c for c in TIE_BREAK if c in df.columns]], copies, nulls_last=dates,
-                         candidates=F.col(order_date).isNotNull() if dated else None)
-    single = lines.where(~usable).withColumns({copies: F.lit(1).cast("bigint")} if copies else {})
-    renamed = snake_case_columns(deduped.union(single).drop("_row", "_ship"))
+    order = [*dates, *[c for c in TIE_BREAK if c in df.columns]]
+    if stage is not None:
+        kept = _first_lines_by_day(lines, order, dates, copies, dated, stage)
+    else:
+        deduped = first_rows(lines.where(usable), ["_row"], order, copies, nulls_last=dates,
+                             candidates=F.col(order_date).isNotNull() if dated else None)
+        single = lines.where(~usable).withColumns({copies: F.lit(1).cast("bigint")} if copies else {})
+        kept = deduped.union(single)
+    renamed = snake_case_columns(kept.drop("_row", "_ship"))
     return renamed.withColumns({c: safe_cast(c, t) for c, t in SILVER_CASTS.items() if c in renamed.columns})
 
 
+# Fixed value: lines of a day from which on the day is dealt to several tasks.
+DAY_ROWS = 500_000
+
+
+def _first_lines_by_day(lines: DataFrame, order: Sequence[str], dates: Sequence[str], copies: str | None, dated: bool,
+                        stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The first line of each row id, and each line without one, clustered by
+    day (the order date, else the ship date) for a partitioned write.
+
+    The dates decide first, so the survivor of a row id lies on its earliest
+    order date, or, without any, on its earliest ship date.  A pass over row ids
+    and dates alone finds these days; then each whole line is shuffled once, to
+    its day, instead of once to its row id and once to its day.  The day keeps
+    the first of its lines per row id where it is that id's day.  A day of more
+    than :data:`DAY_ROWS` lines is dealt to several tasks by row id.  ``lines``
+    are read twice and must come out the same."""
+    order_date, _, ship_date = dates
+    single = F.col("_row").isNull()
+
+    def on(*found):
+        return F.coalesce(F.unix_date(F.coalesce(*found)), F.lit(-2**31)).alias("_on")
+
+    decide = [F.col(order_date)] if dated else [F.col(order_date), F.col(ship_date)]
+    whole, ids = lines.select("*", on(*decide)), lines.select("_row", *decide)
+    if dated:
+        whole, ids = (computed_once(rows).where(decide[0].isNotNull()) for rows in (whole, ids))
+    ids = ids.groupBy("_row", F.when(single, on(*decide)).alias("_at")).agg(
+        *[F.min(c).alias(f"_{n}") for n, c in enumerate(decide)], F.count(F.lit(1)).alias("_copies"))
+    ids = stage(ids.select("_row", on(*[f"_{n}" for n in range(len(decide))]), "_copies"))
+    busy = stage(ids.groupBy("_on").agg(F.sum("_copies").alias("_lines")).where(F.col("_lines") > DAY_ROWS))
+
+    def dealt(rows: DataFrame, key) -> DataFrame:
+        parts = F.coalesce(F.ceil(F.col("_lines") / DAY_ROWS), F.lit(1))  # busy days are bounded by the calendar
+        part = F.pmod(F.xxhash64(key), parts).cast("int").alias("_part")
+        return rows.join(F.broadcast(busy), "_on", "left").select(*rows.columns, part).repartition("_on", "_part")
+
+    own = whole.withColumn("_own", F.when(single, F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    by_day = ["_on", "_part", "_row"]
+    firsts = first_rows(dealt(own, F.coalesce("_row", "_own")), [*by_day, "_own"], order, nulls_last=dates)
+    days = dealt(ids.where(~single), F.col("_row"))
+    kept = firsts.join(days, by_day, "left").where(F.col("_copies").isNotNull() | single)
+    columns = [F.col(f"`{c}`") for c in lines.columns]
+    return kept.select(*columns, *([F.coalesce("_copies", F.lit(1).cast("bigint")).alias(copies)] if copies else []))
+
+
 def cleanse(
     df: DataFrame,
     row_key: str = "Row ID",
     order_date: str = "Order Date",
     ship_date: str = "Ship Date",
     strict: bool = False,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Bronze (source-named) rows -> silver rows, lazily:
 
@@ -142,9 +195,11 @@ def cleanse(
        date, sales or quantity);
     5. ship dates before the order date set to null;
     6. ``try_cast`` to silver types; names to snake_case.
+
+    ``stage`` gives the same rows clustered by day, see :func:`deduplicated_lines`.
     """
     validate_required_columns(df)
-    typed = deduplicated_lines(df, row_key, order_date, ship_date, dated=True)
+    typed = deduplicated_lines(df, row_key, order_date, ship_date, dated=True, stage=stage)
     kept = filter_valid_dates(typed, snake_case(order_date))
     if strict:
         kept = filter_strict(kept, (snake_case(order_date), snake_case(ship_date), "sales", "quantity"))

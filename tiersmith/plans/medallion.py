@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -69,10 +70,10 @@ def _write_counted(df: DataFrame, path: str, name: str, mode: str = "replace", p
 
 
 def _write_silver(df: DataFrame, path: str, mode: str = "replace") -> tuple[int, _dt.date | None]:
-    """Write silver; observe rows written and the latest order date (``max``
+    """Write silver that lies clustered by day; observe rows written and the latest order date (``max``
     is exact even if a stage is retried), which becomes gold's anchor."""
     obs = Observation("silver_out")
-    write_partitioned(df, path, PARTITION_COLUMNS, observation=obs,
+    write_partitioned(df, path, PARTITION_COLUMNS, observation=obs, clustered=True,
                       extra_metrics=[F.max("order_date").alias("latest")], **_write_mode(mode))
     got = obs.get
     return int(got["rows"]), got.get("latest")
@@ -141,10 +142,11 @@ def _write_days(spark: SparkSession, frame: DataFrame, out_path: str, delivery:
     return n
 
 
-def silver_frame(bronze: DataFrame, strict: bool = False) -> DataFrame:
-    """Bronze rows -> cleansed silver rows with partition columns."""
+def silver_frame(bronze: DataFrame, strict: bool = False, stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Bronze rows -> cleansed silver rows with partition columns; with ``stage``
+    (:func:`tiersmith.session.staging`) clustered by them, to be written at once."""
     src = bronze.drop(*[c for c in PARTITION_COLUMNS if c in bronze.columns])
-    return cleanse(src, strict=strict).withColumns(partition_keys("order_date"))
+    return cleanse(src, strict=strict, stage=stage).withColumns(partition_keys("order_date"))
 
 
 def build_silver(spark: SparkSession, bronze_path: str, out_path: str, strict: bool = False,
@@ -153,7 +155,8 @@ def build_silver(spark: SparkSession, bronze_path: str, out_path: str, strict: b
     from the bronze footers).  All of bronze is cleansed; to bring only what
     changed up to date see :mod:`tiersmith.streaming.incremental`."""
     bronze = read_layer(spark, bronze_path, schema=BRONZE_TABLE)
-    n_out, latest = _write_silver(silver_frame(bronze, strict), out_path, mode)
+    with staging(spark) as stage:
+        n_out, latest = _write_silver(silver_frame(bronze, strict, stage), out_path, mode)
     n_in = records_in if records_in is not None else count_rows(spark, bronze_path, BRONZE_TABLE)
     return StageResult("silver", n_in, n_out, out_path, latest)
 

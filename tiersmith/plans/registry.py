@@ -28,7 +28,7 @@ from tiersmith.operators.distinct import distinct_between, write_distinct_state
 from tiersmith.operators.quarantine import KEPT, REJECTED, verdict_counts
 from tiersmith.operators.sales import GOLD_SALES_COLUMNS, sales_orders, sales_project
 from tiersmith.plans import medallion as md
-from tiersmith.session import fresh_path
+from tiersmith.session import fresh_path, staging
 from tiersmith.sources import catalog as cat
 from tiersmith.sources import files as fs
 from tiersmith.sources import partitions as pt
@@ -168,8 +168,9 @@ def q_silver_scan(spark, sf_dir):
 def q_silver_write(spark, sf_dir):
     bronze = fs.read_layer(spark, _bronze_path(spark, sf_dir))
     path = fresh_path(spark, "silver_write")
-    silver = md.silver_frame(bronze)
-    fs.write_partitioned(silver, path)
+    with staging(spark) as stage:
+        silver = md.silver_frame(bronze, stage=stage)
+        fs.write_partitioned(silver, path, clustered=True)
     return fs.read_layer(spark, path, silver.columns)
 
 

@@ -7,6 +7,7 @@ import itertools
 import os
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -86,16 +87,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 @contextlib.contextmanager
-def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+def staging(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """Gives ``stage(frame)``: the frame written once under :func:`shared_dir`
     and read back, so that later steps neither compute it again nor see changes
     of its inputs.  Unlike a checkpoint the rows are compressed columns, of which
-    readers take those that they use, and they go when the block ends."""
+    readers take those that they use, and they go when the block ends.  A frame
+    made to lie together by some columns is written so with ``clustered``."""
     root, numbers = fresh_path(spark, "staged"), itertools.count()
 
-    def stage(frame: DataFrame) -> DataFrame:
+    def stage(frame: DataFrame, clustered: bool = False) -> DataFrame:
         path = f"{root}/{next(numbers)}"
-        frame.write.parquet(path)
+        with tidy_jobs(spark), clustered_joins(spark) if clustered else contextlib.nullcontext():
+            frame.write.parquet(path)
         return spark.read.schema(frame.schema).parquet(path)
 
     try:
@@ -118,12 +121,57 @@ def compiled_stages(spark: SparkSession) -> Iterator[None]:
     of wide lines with parsed dates has one; without whole-stage code Spark
     computes the same columns in several smaller methods.  A lower limit of the
     session stays."""
-    before = spark.conf.get(_METHOD_LIMIT)
-    spark.conf.set(_METHOD_LIMIT, str(min(int(before), int(_COMPILED_BYTES))))
+    limit = str(min(int(spark.conf.get(_METHOD_LIMIT)), int(_COMPILED_BYTES)))
+    with _setting(spark, _METHOD_LIMIT, limit):
+        yield
+
+
+# Fixed value: Spark's setting by which the shuffle files of a job go when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def tidy_jobs(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries started in this block go when the query has ended.
+    Otherwise they stay until the driver's JVM happens to collect its garbage, and
+    a chain of written layers holds the shuffles of all of them on disk at once."""
+    with _setting(spark, _CLEANUP, "true"):
+        yield
+
+
+# Fixed value: Spark's setting by which sides of a join that lie together by some of
+# its keys are shuffled again by all of them.
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+@contextlib.contextmanager
+def clustered_joins(spark: SparkSession) -> Iterator[None]:
+    """Joins of queries started in this block leave rows where they lie together by some of the join's keys."""
+    with _setting(spark, _ALL_KEYS, "false"):
+        yield
+
+
+_settings: dict[tuple[str, str], list] = {}
+_settings_lock = threading.Lock()
+
+
+@contextlib.contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for a block.  Blocks of several threads may
+    overlap: the last one to end restores what the first one found."""
+    at = (spark._jsparkSession.sessionUUID(), key)
+    with _settings_lock:
+        held = _settings.setdefault(at, [0, spark.conf.get(key)])
+        held[0] += 1
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_METHOD_LIMIT, before)
+        with _settings_lock:
+            held[0] -= 1
+            if not held[0]:
+                del _settings[at]
+                spark.conf.set(key, held[1])
 
 
 _MB = 1024 * 1024

@@ -3,6 +3,7 @@ layers (bronze, silver, gold)."""
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import zlib
 from collections.abc import Sequence
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tiersmith.session import compiled_stages
+from tiersmith.session import clustered_joins, compiled_stages, tidy_jobs
 
 # The raw feed's columns and read types.  Dates stay text at
 # this point; parsing happens in silver (or in bronze for the partition key).
@@ -124,7 +125,7 @@ def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV, gzipped, that keeps text exactly (edge whitespace, quotes and
     line breaks included).  A file that may hold line breaks is not split
     anyway, so compression costs its readers no parallelism."""
-    with compiled_stages(df.sparkSession):
+    with compiled_stages(df.sparkSession), tidy_jobs(df.sparkSession):
         (df.write.mode("overwrite").option("compression", "gzip").option("header", True).option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(path))
 
@@ -152,6 +153,7 @@ def write_partitioned(
     max_records_per_file: int = 5_000_000,
     observation=None,
     extra_metrics=(),
+    clustered: bool = False,
 ) -> None:
     """Snappy parquet, one directory per partition value.
 
@@ -160,6 +162,8 @@ def write_partitioned(
     task into several files, so one hot day never lands in a single task.
     ``dynamic=True`` replaces only the partitions present in ``df`` (daily
     re-runs); otherwise the whole table is replaced.  ``mode="append"`` adds files.
+    Rows that already lie together by partition value (``clustered``) are written
+    where they are, without that shuffle.
 
     ``observation`` (a ``pyspark.sql.Observation``) receives ``rows``, the
     number of rows written, and any ``extra_metrics`` aggregate columns.  It
@@ -168,7 +172,7 @@ def write_partitioned(
     are retried or executors lost.
     """
     cols = list(partition_by)
-    out = df.hint("rebalance", *cols) if cols else df
+    out = df.hint("rebalance", *cols) if cols and not clustered else df
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"), *extra_metrics)
     writer = (out.write.mode(mode).option("compression", "snappy")
@@ -176,7 +180,8 @@ def write_partitioned(
               .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if cols:
         writer = writer.partitionBy(*cols)
-    with compiled_stages(df.sparkSession):
+    spark = df.sparkSession
+    with compiled_stages(spark), tidy_jobs(spark), clustered_joins(spark) if clustered else contextlib.nullcontext():
         writer.parquet(path)
 
 
@@ -184,7 +189,8 @@ def write_plain(df: DataFrame, path: str, mode: str = "overwrite", observation=N
     """Unpartitioned snappy parquet (``observation`` as in :func:`write_partitioned`)."""
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
+    with tidy_jobs(df.sparkSession):
+        df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
 def count_rows(spark: SparkSession, path: str, schema: StructType | None = None) -> int:
