@@ -11,6 +11,7 @@ from tiersmith.functions.dates import parse_date
 from tiersmith.operators import cleanse
 from tiersmith.operators.cleanse import computed_once, filter_strict
 from tiersmith.operators.dedup import first_rows
+from tiersmith.operators.quarantine import judged_lines
 from tiersmith.plans import medallion as md
 from tiersmith.session import clustered_joins, compiled_stages, shared_dir, staging
 from tiersmith.sources.files import SOURCE_SCHEMA, read_csv, write_csv, write_partitioned, write_plain
@@ -143,7 +144,7 @@ def _feed(spark):
 def test_lines_kept_by_their_day_are_those_kept_by_their_row_id(spark, monkeypatch, most):
     monkeypatch.setattr(cleanse, "DAY_ROWS", most)
     feed = _feed(spark)
-    for make in (lambda **k: md.silver_frame(feed, **k), lambda **k: md.silver_frame(feed, True, **k)):
+    for make in (lambda **k: md.silver_frame(feed, **k), lambda **k: md.silver_frame(feed, True, **k), lambda **k: judged_lines(feed, strict=True, **k)):
         with staging(spark) as stage:
             assert sorted(map(str, make(stage=stage).collect())) == sorted(map(str, make().collect()))
 
