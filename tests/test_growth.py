@@ -149,6 +149,13 @@ def test_lines_kept_by_their_day_are_those_kept_by_their_row_id(spark, monkeypat
             assert sorted(map(str, make(stage=stage).collect())) == sorted(map(str, make().collect()))
 
 
+def test_lines_of_some_row_ids_are_found_at_their_day(spark):
+    feed, only = _feed(spark), spark.createDataFrame([(1,), (3,), (12,), (77,)], "_row bigint")
+    with staging(spark) as stage:
+        some = md.silver_frame(feed, stage=stage, only=only).collect()
+    assert sorted(map(str, some)) == sorted(map(str, md.silver_frame(feed).where("row_id is null or row_id in (1, 3, 12)").collect()))
+
+
 def test_a_whole_line_is_shuffled_once_to_its_day(spark, tmp_path):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
